@@ -60,8 +60,15 @@ def read_results(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """One file per task, header for CSV."""
-    df.write.mode("overwrite").option("header", True).format(fmt).save(path)
+    """One file per task; CSV has a header and keeps blank text as it is."""
+    writer = df.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        writer = (
+            writer.option("header", True)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
+    writer.save(path)
 
 
 def write_results(board: DataFrame, path: str) -> None:
