@@ -51,8 +51,10 @@ def lookup(
     total: int,
     out: str,
     salt_on: Sequence[str],
+    table_key: str | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Left-join ``value`` from ``table`` (unique ``key``) onto every row of ``df``.
+    """Left-join ``value`` from ``table`` (unique key) onto every row of ``df``.
 
     ``weight`` is the number of rows of ``df`` per key and ``total`` their sum. A small
     table is broadcast. Otherwise keys holding over 1/1000 of the rows (at most 1000 of
@@ -60,9 +62,9 @@ def lookup(
     a spread-out salt there, so no task receives a hot key.
     """
     side = table.select(
-        F.col(key).alias("__k"), F.col(value).alias("__v"), F.col(weight).alias("__w")
+        q(table_key or key).alias("__k"), q(value).alias("__v"), q(weight).alias("__w")
     )
-    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if side.limit(broadcast_rows + 1).count() <= broadcast_rows:
         small = F.broadcast(side.select("__k", F.col("__v").alias(out)))
         return df.join(small, q(key).eqNullSafe(F.col("__k")), "left").drop("__k")
     hot = F.col("__w") * HOT_SHARE > total

@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import chain, combinations
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura import config
 from tenura.functions.columns import nan_to_null
-from tenura.functions.tables import literal_table, lookup, materialize, q
+from tenura.functions.tables import BROADCAST_ROWS, literal_table, lookup, materialize, q
 from tenura.operators.ordered import ROWS_PER_BUCKET, average_rank, ordered_counts
 from tenura.operators.profile import to_long
 
 INLINE_VALUES = 100
+MANY_PAIRS = 50
+_ROWS = "|rows"
 
 
 def _correlate(df: DataFrame, pairs: Sequence[tuple[str, str, str, str]]) -> DataFrame:
@@ -29,6 +33,17 @@ def _correlate(df: DataFrame, pairs: Sequence[tuple[str, str, str, str]]) -> Dat
     return one_row.select(F.inline(F.array(*structs)))
 
 
+def _correlate_vectors(df: DataFrame, pairs: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """The same for many pairs of columns without nulls: one matrix product over the rows."""
+    used = sorted({c for _, _, a, b in pairs for c in (a, b)})
+    at = {c: i for i, c in enumerate(used)}
+    vectors = df.select(array_to_vector(F.array(*[q(c) for c in used])).alias("v"))
+    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    rows = [(x, y, float(matrix[at[a], at[b]])) for x, y, a, b in pairs]
+    table = literal_table(df.sparkSession, rows, ["col_a", "col_b", "corr"])
+    return table.withColumn("corr", nan_to_null(F.col("corr")))
+
+
 def pearson(
     df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]] | None = None
 ) -> DataFrame:
@@ -43,6 +58,7 @@ def spearman(
     columns: Sequence[str],
     pairs: Sequence[tuple[str, str]] | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Spearman correlation per pair: average ranks among the rows where both are present.
 
@@ -52,66 +68,77 @@ def spearman(
     """
     pairs = list(pairs or combinations(columns, 2))
     wide = df.select(*[nan_to_null(q(c).cast("double")).alias(c) for c in columns])
-    facts = wide.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count(q(c)).alias(c) for c in columns]
-    ).first()
-    holey = {c for c in columns if facts[c] < facts["rows"]}
+    # a constant column counts the rows, which shows the columns that have gaps
+    ranks = _ranks(wide.withColumn(_ROWS, F.lit(0.0)), [*columns, _ROWS], rows_per_bucket)
+    sizes = _sizes(ranks)
+    rows = sizes.pop(_ROWS, (0, 0))[1]
+    holey = {c for c in columns if sizes.get(c, (0, 0))[1] < rows}
+    lookups = [(ranks, sizes)]
 
     def ranked_name(a: str, b: str) -> str:
         return f"{a}|{b}" if b in holey else a
 
-    needed = {}
-    for a, b in pairs:
-        needed[ranked_name(a, b)] = (a, b)
-        needed[ranked_name(b, a)] = (b, a)
-    wide = wide.select(
-        *[
-            (F.when(q(b).isNotNull(), q(a)) if b in holey else q(a)).alias(name)
-            for name, (a, b) in needed.items()
-        ]
+    if holey:
+        gaps = {ranked_name(a, b): (a, b) for x in pairs for a, b in (x, x[::-1]) if b in holey}
+        wide = wide.select(
+            "*", *[F.when(q(b).isNotNull(), q(a)).alias(name) for name, (a, b) in gaps.items()]
+        )
+        more = _ranks(wide, list(gaps), rows_per_bucket)
+        lookups.append((more, _sizes(more)))
+    named = [
+        (a, b, f"rank:{ranked_name(a, b)}", f"rank:{ranked_name(b, a)}") for a, b in pairs
+    ]
+    used = {c.removeprefix("rank:") for pair in named for c in pair[2:]}
+    out = wide
+    for table, distinct in lookups:
+        out = _with_ranks(out, table, distinct, used, columns, broadcast_rows)
+    empty = [c for c in sorted(used) if f"rank:{c}" not in out.columns]
+    out = out.select("*", *[F.lit(None).cast("double").alias(f"rank:{c}") for c in empty])
+    if holey or len(pairs) <= MANY_PAIRS or not rows:
+        return _correlate(out, named)
+    return _correlate_vectors(out, named)
+
+
+def _ranks(wide: DataFrame, columns: Sequence[str], rows_per_bucket: int) -> DataFrame:
+    counts = ordered_counts(
+        to_long(wide, columns), "value", ["column_name"], rows_per_bucket=rows_per_bucket
     )
-    ranks = materialize(
-        ordered_counts(
-            to_long(wide, list(needed)), "value", ["column_name"], rows_per_bucket=rows_per_bucket
-        ).select("column_name", "value", "n", "total", average_rank().alias("rank"))
+    return materialize(
+        counts.select("column_name", "value", "n", "total", average_rank().alias("rank"))
+    )
+
+
+def _sizes(ranks: DataFrame) -> dict[str, tuple[int, int]]:
+    """Distinct values and rows per column; one row per listed column."""
+    per_column = ranks.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("distinct"), F.max("total").alias("total")
     )
-    sizes = {
-        r["column_name"]: (r["values"], r["total"])
-        for r in ranks.groupBy("column_name")
-        .agg(F.count(F.lit(1)).alias("values"), F.max("total").alias("total"))
-        .collect()
-    }
-    few = [c for c, (values, _) in sizes.items() if values <= INLINE_VALUES]
+    return {r["column_name"]: (r["distinct"], r["total"]) for r in per_column.collect()}
+
+
+def _with_ranks(
+    df: DataFrame, ranks: DataFrame, sizes: dict, used: set, salt_on: Sequence[str], broadcast_rows
+) -> DataFrame:
+    few = [c for c, (distinct, _) in sizes.items() if c in used and distinct <= INLINE_VALUES]
     constants: dict[str, dict] = {c: {} for c in few}
     for r in ranks.filter(F.col("column_name").isin(few)).collect():
         constants[r["column_name"]][r["value"]] = r["rank"]
     # -0.0 and 0.0 are one group above, so adding 0.0 makes them one key here
-    by_constant = {
-        c: F.element_at(
+    by_constant = [
+        F.element_at(
             F.create_map(*chain.from_iterable((F.lit(v), F.lit(k)) for v, k in table.items())),
             q(c) + 0.0,
-        )
+        ).alias(f"rank:{c}")
         for c, table in constants.items()
-    }
-    out = wide.select(
-        "*",
-        *[
-            by_constant.get(c, F.lit(None).cast("double")).alias(f"rank:{c}")
-            for c in needed
-            if c in constants or c not in sizes
-        ],
-    )
-    for c, (values, total) in sizes.items():
-        if c not in constants:
+    ]
+    out = df.select("*", *by_constant)
+    for c, (_, total) in sizes.items():
+        if c in used and c not in constants:
             table = ranks.filter(F.col("column_name") == c)
-            out = lookup(out, table, c, "rank", "n", total, f"rank:{c}", list(needed))
-    return _correlate(
-        out,
-        [
-            (a, b, f"rank:{ranked_name(a, b)}", f"rank:{ranked_name(b, a)}")
-            for a, b in pairs
-        ],
-    )
+            out = lookup(
+                out, table, c, "rank", "n", total, f"rank:{c}", salt_on, "value", broadcast_rows
+            )
+    return out
 
 
 def full_matrix(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura import config
-from tenura.functions.tables import literal_table, q
-from tenura.operators.ordered import ROWS_PER_BUCKET, roc_auc
+from tenura.functions.tables import q
+from tenura.operators.ordered import (
+    ROWS_PER_BUCKET, area_from_sums, ordered_counts, rank_sums,
+)
 
 STANDARD = ["Accuracy", "Precision", "Recall", "F1", "ROC-AUC"]
 BUSINESS = ["Revenue_Saved", "Revenue_Leakage"]
@@ -46,16 +48,19 @@ def confusion(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*[q(k) for k in keys]).agg(*[c.alias(n) for n, c in cells.items()])
 
 
-def from_confusion(table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Accuracy, precision, recall and F1 of class 1; 0 where undefined."""
+def quality_columns() -> list[Column]:
+    """Accuracy, precision, recall and F1 of class 1 from tn, fp, fn, tp; 0 where undefined."""
     tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
-    return table.select(
-        *[q(k) for k in keys],
+    return [
         _share(tp + tn, tp + tn + fp + fn).alias("Accuracy"),
         _share(tp, tp + fp).alias("Precision"),
         _share(tp, tp + fn).alias("Recall"),
         _share(2 * tp, 2 * tp + fp + fn).alias("F1"),
-    )
+    ]
+
+
+def from_confusion(table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return table.select(*[q(k) for k in keys], *quality_columns())
 
 
 def business_value(
@@ -77,18 +82,47 @@ def business_value(
 def scoreboard(
     df: DataFrame, keys: Sequence[str] = ("Model",), rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
-    """The five standard and, where charges are known, the two business metrics per group."""
+    """The five standard and, where charges are known, the two business metrics per group.
+
+    One pass over the scored rows: counts and charges are tallied per distinct probability.
+    """
     keys = list(keys)
-    board = from_confusion(confusion(df, keys), keys).join(
-        roc_auc(df, "probability", "label", keys, rows_per_bucket).withColumnRenamed(
-            "roc_auc", "ROC-AUC"
-        ),
-        keys,
-        "left",
+    part = [q(k) for k in keys]
+    label, hit = q("label") == 1, q("prediction") == 1
+    tallies = {
+        "pos": label.cast("long"),
+        "tp": (label & hit).cast("long"),
+        "fp": (~label & hit).cast("long"),
+    }
+    charged = "MonthlyCharges" in df.columns
+    if charged:
+        charge = F.coalesce(q("MonthlyCharges"), F.lit(0.0))
+        known = q("MonthlyCharges").isNotNull()
+        tallies |= {
+            "tp_money": F.when(label & hit, charge).otherwise(0.0),
+            "fn_money": F.when(label & ~hit, charge).otherwise(0.0),
+            "tp_known": (label & hit & known).cast("long"),
+            "fn_known": (label & ~hit & known).cast("long"),
+        }
+    counts = ordered_counts(df, "probability", keys, tallies, rows_per_bucket)
+    sums = counts.groupBy(*part).agg(
+        *rank_sums(), *[F.sum(t).alias(f"{t}_") for t in tallies if t != "pos"]
+    )
+    cells = sums.withColumns(
+        {
+            "tp": F.col("tp_"),
+            "fp": F.col("fp_"),
+            "fn": F.col("__pos") - F.col("tp_"),
+            "tn": F.col("__total") - F.col("__pos") - F.col("fp_"),
+        }
     )
-    if "MonthlyCharges" in df.columns:
-        board = board.join(business_value(df, keys), keys)
-    return board
+    area = area_from_sums().alias("ROC-AUC")
+    extra = []
+    if charged:
+        for name, rows in (("tp", "Revenue_Saved"), ("fn", "Revenue_Leakage")):
+            mean = _share(F.col(f"{name}_money_"), F.col(f"{name}_known_"))
+            extra.append(F.bround(F.col(name) * mean * config.LIFETIME_MONTHS, 2).alias(rows))
+    return cells.select(*part, *quality_columns(), area, *extra)
 
 
 def metrics_long(board: DataFrame, keys: Sequence[str] = ("Model",)) -> DataFrame:
@@ -119,18 +153,14 @@ def best_model(board: DataFrame, metric: str = "ROC-AUC") -> DataFrame:
 
 
 def scorecard(board: DataFrame, sort_by: str = "ROC-AUC") -> DataFrame:
-    """Models sorted by a metric, with a flag and a text per metric.
+    """Models sorted by a metric, with a best-of flag and a text per metric.
 
-    The best values come from one aggregated row, looked up as scalars.
+    The window spans the scoreboard, which has one row per model.
     """
     measures = [c for c in STANDARD if c in board.columns]
-    best = {m: board.select(F.max(q(m))).scalar() for m in measures}
-    flags = [(q(m) == best[m]).alias(f"best_{m}") for m in measures]
+    every = Window.partitionBy()
+    flags = [(q(m) == F.max(q(m)).over(every)).alias(f"best_{m}") for m in measures]
     texts = [F.format_string("%.4f", q(m)).alias(f"text_{m}") for m in measures]
     return board.select("Model", *[q(m) for m in measures], *flags, *texts).orderBy(
         F.desc(sort_by), "Model"
     )
-
-
-def metric_order(spark, measures: Sequence[str] = STANDARD) -> DataFrame:
-    return literal_table(spark, [(m, i) for i, m in enumerate(measures)], ["metric", "position"])

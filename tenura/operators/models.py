@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from tenura import config
 from tenura.functions.tables import literal_table, q
 from tenura.operators import metrics
-from tenura.operators.ordered import roc_auc
 from tenura.operators.rates import balanced_weights
 
 LABEL, WEIGHT, FEATURES = "label", "weight", "features"
@@ -164,11 +163,9 @@ def cross_validate(
     """Per candidate and fold: accuracy, precision, recall, F1 (and AUC), in one grouped job."""
     keys = ["candidate", "fold"]
     scored = _fold_scores(train, jobs, folds, threads, threshold)
-    board = metrics.from_confusion(metrics.confusion(scored, keys), keys)
     if with_auc:
-        area = roc_auc(scored, "probability", LABEL, keys).withColumnRenamed("roc_auc", "ROC-AUC")
-        board = board.join(area, keys, "left")
-    return board
+        return metrics.scoreboard(scored, keys)
+    return metrics.from_confusion(metrics.confusion(scored, keys), keys)
 
 
 def params_text(params: Mapping) -> dict[str, str]:

@@ -3,9 +3,9 @@
 Everything here works on (key, distinct value, count) rows, so a value that fills a
 third of the table is one row after the map-side combine. The running count is a
 two-level prefix sum: values fall into ordered buckets holding a bounded number of
-rows, each bucket is summed on its own, and the bucket totals give the offsets. The
-bucket borders are plain numbers in the plan, so a recomputed task lands on the
-same buckets.
+distinct values, each bucket is summed on its own, and the bucket totals give the
+offsets. The bucket borders are plain numbers in the plan, so a recomputed task lands
+on the same buckets.
 """
 
 from __future__ import annotations
@@ -16,25 +16,21 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenura.functions.tables import q
+from tenura.functions.tables import materialize, q
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
 SKETCH_ACCURACY = 20_000
 
 
-def bucket_borders(df: DataFrame, value: str, rows_per_bucket: int) -> list[float]:
-    """Interior borders that leave about ``rows_per_bucket`` rows in each bucket."""
-    probs = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    col = q(value).cast("double")
-    row = df.agg(
-        F.count(col).alias("n"), F.percentile_approx(col, probs, SKETCH_ACCURACY).alias("at")
-    ).first()
-    buckets = min(MAX_BUCKETS, -(-row["n"] // rows_per_bucket))
+def bucket_borders(counts: DataFrame, value: str, rows_per_bucket: int) -> list[float]:
+    """Interior borders that leave about ``rows_per_bucket`` distinct rows in each bucket."""
+    buckets = min(MAX_BUCKETS, -(-counts.count() // rows_per_bucket))
     if buckets <= 1:
         return []
-    picks = {row["at"][round(i * MAX_BUCKETS / buckets) - 1] for i in range(1, buckets)}
-    return sorted(p for p in picks if p not in (float("inf"), float("-inf")))
+    probs = [i / buckets for i in range(1, buckets)]
+    at = counts.agg(F.percentile_approx(q(value).cast("double"), probs, SKETCH_ACCURACY)).first()
+    return sorted({p for p in at[0] if p not in (float("inf"), float("-inf"))})
 
 
 def ordered_counts(
@@ -46,6 +42,9 @@ def ordered_counts(
 ) -> DataFrame:
     """Per key and distinct value: ``n`` rows, ``before`` rows with a smaller value and the
     key's ``total``. Rows with a null key, or a null or NaN value, are left out.
+
+    The input is evaluated once: its grouped counts are checkpointed, and everything
+    after reads those.
     """
     keys = list(keys)
     present = q(value).isNotNull()
@@ -53,15 +52,17 @@ def ordered_counts(
         present = present & q(key).isNotNull()
     if dict(df.dtypes)[value] in ("double", "float"):
         present = present & ~F.isnan(q(value))
-    rows = df.filter(present)
     sums = [F.sum(c).alias(name) for name, c in (tallies or {}).items()]
-    counts = rows.groupBy(*[q(k) for k in keys], q(value)).agg(
-        F.count(F.lit(1)).alias("n"), *sums
+    counts = materialize(
+        df.filter(present)
+        .groupBy(*[q(k) for k in keys], q(value))
+        .agg(F.count(F.lit(1)).alias("n"), *sums)
     )
-    borders = bucket_borders(rows, value, rows_per_bucket)
+    borders = bucket_borders(counts, value, rows_per_bucket)
     part = [q(k) for k in keys]
     earlier = (Window.unboundedPreceding, -1)
     if not borders:
+        # the whole table fits one bucket, so a window per key is bounded
         running = Window.partitionBy(*part).orderBy(q(value)).rowsBetween(*earlier)
         return counts.withColumns(
             {
@@ -89,8 +90,7 @@ def ordered_counts(
         bucketed.withColumn("__in", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .join(offsets, [*keys, "__bucket"])
         .withColumn("before", F.col("__base") + F.col("__in"))
-        .drop("__x", "__bucket", "__base", "__in")
-        .select(*counts.columns, "before", "total")
+        .select(*[q(c) for c in counts.columns], "before", "total")
     )
 
 
@@ -145,20 +145,23 @@ def roc_auc(
     counts = ordered_counts(
         rows, score, keys, {"pos": q(label).cast("long")}, rows_per_bucket=rows_per_bucket
     )
-    pos, total = F.col("__pos"), F.col("__total")
     part = [q(k) for k in keys]
-    return (
-        counts.groupBy(*part)
-        .agg(
-            F.sum(F.col("pos") * average_rank()).alias("__ranks"),
-            F.sum("pos").alias("__pos"),
-            F.max("total").alias("__total"),
-        )
-        .select(
-            *part,
-            F.try_divide(
-                F.col("__ranks") - pos * (pos + 1) / 2,
-                pos.cast("double") * (total - pos),
-            ).alias("roc_auc"),
-        )
+    return counts.groupBy(*part).agg(*rank_sums()).select(
+        *part, area_from_sums().alias("roc_auc")
+    )
+
+
+def rank_sums() -> list[Column]:
+    """Aggregates over ``ordered_counts`` with a ``pos`` tally that the area needs."""
+    return [
+        F.sum(F.col("pos") * average_rank()).alias("__ranks"),
+        F.sum("pos").alias("__pos"),
+        F.max("total").alias("__total"),
+    ]
+
+
+def area_from_sums() -> Column:
+    pos = F.col("__pos").cast("double")
+    return F.try_divide(
+        F.col("__ranks") - pos * (pos + 1) / 2, pos * (F.col("__total") - pos)
     )

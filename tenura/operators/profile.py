@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tenura import config
 from tenura.functions.columns import nan_to_null
 from tenura.functions.tables import q
-from tenura.operators.ordered import ordered_counts, quantiles, quantiles_of
+from tenura.operators.ordered import (
+    ordered_counts, quantile_columns, quantiles, quantiles_of,
+)
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -49,15 +51,21 @@ def _per_column(df: DataFrame, columns: Sequence[str], measures: dict) -> DataFr
 
 
 def describe(df: DataFrame, columns: Sequence[str] = config.NUMERIC) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column."""
-    basic = _per_column(
-        df,
-        columns,
-        {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max},
+    """count, mean, std, min, quartiles and max per column, all from the distinct values."""
+    counts = ordered_counts(to_long(df, columns), "value", ["column_name"])
+    aggs, finals = quantile_columns("value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    v, n = F.col("value"), F.col("n")
+    basic = counts.groupBy("column_name").agg(
+        *aggs, (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
+    ).select("column_name", F.col("total").alias("count"), "mean", "min", *finals, "max")
+    # one row per listed column, so the broadcast is bounded by the argument
+    means = F.broadcast(basic.select("column_name", "mean", "count"))
+    spread = counts.join(means, "column_name").groupBy("column_name").agg(
+        F.sqrt(
+            F.try_divide(F.sum(n * F.pow(v - F.col("mean"), F.lit(2.0))), F.max("count") - 1.0)
+        ).alias("std")
     )
-    probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    mid = quantiles(to_long(df, columns), "value", probs, ["column_name"])
-    return basic.join(mid, "column_name", "left").select(
+    return basic.join(spread, "column_name").select(
         "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 

@@ -66,14 +66,6 @@ def in_domain_order(table: DataFrame, key: str, labels: Sequence[str]) -> DataFr
     return domain.join(table, key, "left").orderBy("position")
 
 
-def _matrix(df, row, column, labels, cell, names, fill):
-    rows = df.filter(q(row).isNotNull())
-    table = rows.groupBy(q(row)).pivot(column, list(labels)).agg(cell)
-    if names:
-        table = table.toDF(row, *names)
-    return table.na.fill(fill, table.columns[1:]) if fill is not None else table
-
-
 def rate_matrix(
     df: DataFrame,
     row: str,
@@ -83,8 +75,15 @@ def rate_matrix(
     names: Sequence[str] | None = None,
     fill: float | None = None,
 ) -> DataFrame:
-    """Mean of the target in percent, rows by columns; the column labels are declared."""
-    return _matrix(df, row, column, labels, F.avg(q(target)) * 100, names, fill)
+    """Mean of the target in percent, rows by columns; the column labels are declared.
+
+    One conditional aggregate per label, so the table is grouped by the row key only.
+    """
+    rows = df.filter(q(row).isNotNull())
+    cells = [F.avg(F.when(q(column) == F.lit(v), q(target))) * 100 for v in labels]
+    shown = [c if fill is None else F.coalesce(c, F.lit(fill)) for c in cells]
+    labelled = [c.alias(str(n)) for c, n in zip(shown, names or labels)]
+    return rows.groupBy(q(row)).agg(*labelled)
 
 
 def count_matrix(

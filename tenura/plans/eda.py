@@ -158,15 +158,21 @@ def pair_density(df: DataFrame, column: str) -> DataFrame:
     return profile.kernel_density(with_churn_label(df), column, "Churn_label", common_norm=True)
 
 
-def feature_charts(df: DataFrame) -> dict[str, DataFrame]:
-    """Boxes, density and rates of the derived features (takes featured accounts)."""
-    return {
-        "addon_boxes": profile.box_stats(
-            df, ["MonthlyCharges"], [config.ADDON_TOTAL, config.LABEL]
-        ),
-        "cost_boxes": profile.box_stats(df, [config.COST_PER_SERVICE], [config.LABEL]),
-        "cost_density": profile.kernel_density(df, config.COST_PER_SERVICE, config.LABEL),
-        "rates": rates.rates_for(
-            df, [config.AUTO_PAY, config.LOYALTY, config.HIGH_FRICTION, config.HOUSEHOLD]
-        ),
-    }
+def addon_boxes(df: DataFrame) -> DataFrame:
+    return profile.box_stats(df, ["MonthlyCharges"], [config.ADDON_TOTAL, config.LABEL])
+
+
+def cost_boxes(df: DataFrame) -> DataFrame:
+    """Cost per service by class; accounts without services have no finite cost."""
+    finite = df.filter(F.abs(q(config.COST_PER_SERVICE)) != float("inf"))
+    return profile.box_stats(finite, [config.COST_PER_SERVICE], [config.LABEL])
+
+
+def cost_density(df: DataFrame) -> DataFrame:
+    return profile.kernel_density(df, config.COST_PER_SERVICE, config.LABEL)
+
+
+def feature_rates(df: DataFrame) -> DataFrame:
+    return rates.rates_for(
+        df, [config.AUTO_PAY, config.LOYALTY, config.HIGH_FRICTION, config.HOUSEHOLD]
+    )

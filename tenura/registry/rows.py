@@ -307,10 +307,12 @@ def threshold_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_stage(
         "cleaned",
         """SELECT "customerID", substr(CAST("Contract" AS VARCHAR), 1, 5) AS clipped,
-             round_even("TotalCharges" / 8, 2) AS eighth FROM cleaned""",
+             (CASE WHEN c % 8 > 4 OR (c % 8 = 4 AND (c // 8) % 2 = 1) THEN c // 8 + 1 ELSE c // 8 END) / 100.0 AS eighth
+           FROM (SELECT *, CAST(round("TotalCharges" * 100) AS BIGINT) AS c FROM cleaned) AS t""",
     ),
 )
 def charge_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clipped text and half-even rounding; the SQL rounds whole cents, so ties are exact."""
     df = inputs.cleaned(spark, sf_dir, KEY, "Contract", "TotalCharges")
     return df.select(
         KEY,

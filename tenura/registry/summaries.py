@@ -253,7 +253,7 @@ register(
 )
 register(
     "charge_boxes_by_addons_and_churn",
-    lambda s, d: eda.feature_charts(inputs.featured(s, d))["addon_boxes"],
+    lambda s, d: eda.addon_boxes(inputs.featured(s, d)),
     _box_sql(
         "featured", ["MonthlyCharges"],
         {"_Total_AddOns-Services": '"_Total_AddOns-Services"', "Churn": '"Churn"'},
@@ -261,10 +261,7 @@ register(
 )
 register(
     "cost_boxes_by_churn",
-    lambda s, d: profile.box_stats(
-        inputs.featured(s, d).filter(F.abs(q(config.COST_PER_SERVICE)) != float("inf")),
-        [config.COST_PER_SERVICE], [LABEL],
-    ),
+    lambda s, d: eda.cost_boxes(inputs.featured(s, d)),
     _box_sql(
         "featured", ["_Cost_Per_Service"], {"Churn": '"Churn"'}, 'isfinite("_Cost_Per_Service")'
     ),
@@ -364,7 +361,7 @@ register(
 )
 register(
     "density_cost_by_churn",
-    lambda s, d: eda.feature_charts(inputs.featured(s, d))["cost_density"],
+    lambda s, d: eda.cost_density(inputs.featured(s, d)),
     _density_sql("featured", "_Cost_Per_Service", '"Churn"'),
 )
 register(
@@ -717,7 +714,7 @@ register(
 )
 register(
     "feature_rates",
-    lambda s, d: eda.feature_charts(inputs.featured(s, d))["rates"],
+    lambda s, d: eda.feature_rates(inputs.featured(s, d)),
     _rates_sql(
         "featured",
         {c: f'"{c}"' for c in [config.AUTO_PAY, config.LOYALTY, config.HIGH_FRICTION, config.HOUSEHOLD]},
