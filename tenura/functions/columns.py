@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import chain
 from operator import add
 
 from pyspark.sql import Column
@@ -31,17 +32,18 @@ def fill_zero(col: Column) -> Column:
 
 
 def map_codes(col: Column, codes: Mapping, strict: bool = False, name: str = "") -> Column:
-    """Look a value up in a small fixed map; unmapped is null, or an error if strict."""
-    branches = [(col == F.lit(k), F.lit(v)) for k, v in codes.items()]
-    out = F.when(*branches[0])
-    for cond, value in branches[1:]:
-        out = out.when(cond, value)
+    """Look a value up in a small fixed map; unmapped is null, or an error if strict.
+
+    A map lookup names its input once, so stacked expressions stay small for the optimizer.
+    """
+    table = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in codes.items()))
+    found = F.try_element_at(table, col)
     if strict:
         message = F.concat(
             F.lit(f"unmapped value in {name}: "), F.coalesce(col.cast("string"), F.lit("null"))
         )
-        return out.otherwise(F.raise_error(message).cast("int"))
-    return out
+        return F.coalesce(found, F.raise_error(message).cast("int"))
+    return found
 
 
 def trimmed_yes_no(col: Column) -> Column:
@@ -70,22 +72,16 @@ def ratio(num: Column, den: Column, on_zero: str = "inf") -> Column:
     num, den = num.cast("double"), den.cast("double")
     if on_zero == "null":
         return F.when(den != 0, num / den)
-    return (
-        F.when(den != 0, num / den)
-        .when(num > 0, F.lit(float("inf")))
-        .when(num < 0, F.lit(float("-inf")))
-        .when(num == 0, F.lit(float("nan")))
-    )
+    return F.when(den == 0, num * F.lit(float("inf"))).otherwise(num / den)
 
 
 def band(col: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
     """Left-open, right-closed band label; values outside every band are null."""
     if len(labels) != len(edges) - 1:
         raise ValueError("need one label per band")
-    out = None
-    for lo, hi, label in zip(edges, edges[1:], labels):
-        cond = (col > lo) & (col <= hi) & ~F.isnan(col.cast("double"))
-        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
+    out = F.when(col <= edges[0], F.lit(None).cast("string"))
+    for edge, label in zip(edges[1:], labels):
+        out = out.when(col <= edge, F.lit(label))
     return out
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,29 @@ def q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+_TYPES = {bool: "boolean", int: "bigint", float: "double", str: "string"}
+
+
+def _type_of(values: Sequence) -> str:
+    kinds = {type(v) for v in values if v is not None}
+    return _TYPES[float if kinds == {int, float} else kinds.pop()] if kinds else "string"
+
+
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], names: Sequence[str]) -> DataFrame:
-    """A table of constants that never leaves the plan."""
-    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A small table of constants that stays inside the plan (one JSON literal)."""
+    fields = ", ".join(
+        f"`{n}`: {_type_of([r[i] for r in rows])}" for i, n in enumerate(names)
+    )
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    parsed = F.from_json(F.lit(text), f"array<struct<{fields}>>")
+    return spark.range(1).select(F.inline(parsed))
+
+
+def literal_map(table: Mapping[float, float]) -> Column:
+    """A constant double-to-double map."""
+    keys, values = (F.from_json(F.lit(json.dumps(list(x))), "array<double>") for x in
+                    (table.keys(), table.values()))
+    return F.map_from_arrays(keys, values)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import chain, combinations
+from itertools import combinations
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from tenura import config
 from tenura.functions.columns import nan_to_null
-from tenura.functions.tables import BROADCAST_ROWS, literal_table, lookup, materialize, q
+from tenura.functions.tables import (
+    BROADCAST_ROWS, literal_map, literal_table, lookup, materialize, q,
+)
 from tenura.operators.ordered import ROWS_PER_BUCKET, average_rank, ordered_counts
 from tenura.operators.profile import to_long
 
@@ -125,10 +127,7 @@ def _with_ranks(
         constants[r["column_name"]][r["value"]] = r["rank"]
     # -0.0 and 0.0 are one group above, so adding 0.0 makes them one key here
     by_constant = [
-        F.element_at(
-            F.create_map(*chain.from_iterable((F.lit(v), F.lit(k)) for v, k in table.items())),
-            q(c) + 0.0,
-        ).alias(f"rank:{c}")
+        F.try_element_at(literal_map(table), q(c) + 0.0).alias(f"rank:{c}")
         for c, table in constants.items()
     ]
     out = df.select("*", *by_constant)

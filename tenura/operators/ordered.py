@@ -33,31 +33,49 @@ def bucket_borders(counts: DataFrame, value: str, rows_per_bucket: int) -> list[
     return sorted({p for p in at[0] if p not in (float("inf"), float("-inf"))})
 
 
-def ordered_counts(
+def value_counts_of(
     df: DataFrame,
     value: str,
     keys: Sequence[str] = (),
     tallies: Mapping[str, Column] | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Per key and distinct value: ``n`` rows, ``before`` rows with a smaller value and the
-    key's ``total``. Rows with a null key, or a null or NaN value, are left out.
+    """Rows ``n`` per key and distinct value, checkpointed so the input is evaluated once.
 
-    The input is evaluated once: its grouped counts are checkpointed, and everything
-    after reads those.
+    Rows with a null key, or a null or NaN value, are left out.
     """
-    keys = list(keys)
     present = q(value).isNotNull()
     for key in keys:
         present = present & q(key).isNotNull()
     if dict(df.dtypes)[value] in ("double", "float"):
         present = present & ~F.isnan(q(value))
     sums = [F.sum(c).alias(name) for name, c in (tallies or {}).items()]
-    counts = materialize(
+    return materialize(
         df.filter(present)
         .groupBy(*[q(k) for k in keys], q(value))
         .agg(F.count(F.lit(1)).alias("n"), *sums)
     )
+
+
+def ordered_counts(
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str] = (),
+    tallies: Mapping[str, Column] | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """Per key and distinct value: ``n`` rows, ``before`` rows with a smaller value and the
+    key's ``total``. Everything after the grouping reads its checkpoint.
+    """
+    keys = list(keys)
+    counts = value_counts_of(df, value, keys, tallies)
+    return with_running(counts, value, keys, rows_per_bucket)
+
+
+def with_running(
+    counts: DataFrame, value: str, keys: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """Add ``before`` and ``total`` to materialised value counts."""
+    keys = list(keys)
     borders = bucket_borders(counts, value, rows_per_bucket)
     part = [q(k) for k in keys]
     earlier = (Window.unboundedPreceding, -1)

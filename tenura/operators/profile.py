@@ -11,7 +11,7 @@ from tenura import config
 from tenura.functions.columns import nan_to_null
 from tenura.functions.tables import q
 from tenura.operators.ordered import (
-    ordered_counts, quantile_columns, quantiles, quantiles_of,
+    ordered_counts, quantile_columns, quantiles, quantiles_of, value_counts_of, with_running,
 )
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -129,14 +129,15 @@ def histogram(
     Bins span the whole column, also when counting per group.
     """
     ids = [by] if by else []
-    long = to_long(df, columns, ids).filter(
-        F.col("value").isNotNull() & (F.abs("value") != float("inf"))
-    )
-    span = long.groupBy("column_name").agg(
-        F.min("value").alias("__min"), F.max("value").alias("__max"), F.count("value").alias("__n")
+    finite = to_long(df, columns, ids).filter(F.abs("value") != float("inf"))
+    counts = value_counts_of(finite, "value", ["column_name", *ids])
+    span = counts.groupBy("column_name").agg(
+        F.min("value").alias("__min"), F.max("value").alias("__max"), F.sum("n").alias("__n")
     )
     if bins == "auto":
-        mids = quantiles(long, "value", QUARTILES, ["column_name"])
+        merged = counts.groupBy("column_name", "value").agg(F.sum("n").alias("n")) if by else counts
+        ordered = with_running(merged, "value", ["column_name"])
+        mids = quantiles_of(ordered, "value", ["column_name"], QUARTILES)
         width = F.col("__max") - F.col("__min")
         n = F.col("__n").cast("double")
         fd = 2 * (F.col("q3") - F.col("q1")) / F.pow(n, F.lit(1 / 3))
@@ -154,7 +155,7 @@ def histogram(
         F.when(flat, F.col("__max") + 0.5).otherwise(F.col("__max")).alias("__hi"),
     ).withColumn("__w", (F.col("__hi") - F.col("__lo")) / F.col("__bins"))
     # one row per listed column, so the broadcast is bounded by the argument
-    placed = long.join(F.broadcast(span), "column_name")
+    placed = counts.join(F.broadcast(span), "column_name")
     guess = F.least(
         F.floor((F.col("value") - F.col("__lo")) / F.col("__w")), F.col("__bins") - 1
     ).cast("int")
@@ -162,17 +163,17 @@ def histogram(
     up = (F.col("value") >= F.col("__lo") + (F.col("__i") + 1) * F.col("__w")) & (
         F.col("__i") < F.col("__bins") - 1
     )
-    counts = (
+    filled = (
         placed.withColumn("__i", guess)
         .withColumn("bin", F.col("__i") - F.when(down, 1).otherwise(0) + F.when(up, 1).otherwise(0))
         .groupBy("column_name", *[q(c) for c in ids], "bin")
-        .agg(F.count(F.lit(1)).alias("__count"))
+        .agg(F.sum("n").alias("__count"))
     )
     every_bin = span.select("*", F.explode(F.sequence(F.lit(0), F.col("__bins") - 1)).alias("bin"))
     if by:
-        groups = counts.filter(q(by).isNotNull()).select("column_name", q(by)).distinct()
+        groups = filled.select("column_name", q(by)).distinct()
         every_bin = every_bin.join(groups, "column_name")
-    return every_bin.join(counts, ["column_name", *ids, "bin"], "left").select(
+    return every_bin.join(filled, ["column_name", *ids, "bin"], "left").select(
         "column_name",
         *[q(c) for c in ids],
         "bin",
@@ -196,21 +197,22 @@ def kernel_density(
     fixed grid; those sums combine on the map side.
     """
     key = F.lit("all") if by is None else q(by).cast("string")
-    x = q(column).cast("double")
-    rows = df.select(key.alias("group"), x.alias("value")).filter(
-        F.col("group").isNotNull() & x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    rows = df.select(key.alias("group"), q(column).cast("double").alias("value"))
+    counts = value_counts_of(rows.filter(F.abs("value") != float("inf")), "value", ["group"])
+    v, n = F.col("value"), F.col("n")
+    basic = counts.groupBy("group").agg(
+        F.sum(n).alias("m"),
+        (F.sum(v * n) / F.sum(n)).alias("mean"),
+        F.min(v).alias("lo"),
+        F.max(v).alias("hi"),
     )
-    counts = rows.groupBy("group", "value").agg(F.count(F.lit(1)).alias("n"))
-    bw = F.pow(F.col("m").cast("double"), F.lit(-0.2)) * F.col("sd")
+    squares = counts.join(basic, "group").groupBy("group", "m", "lo", "hi").agg(
+        F.sum(n * F.pow(v - F.col("mean"), F.lit(2.0))).alias("ss")
+    )
+    sd = F.sqrt(F.try_divide(F.col("ss"), F.col("m") - 1.0))
+    bw = F.pow(F.col("m").cast("double"), F.lit(-0.2)) * sd
     stats = (
-        rows.groupBy("group")
-        .agg(
-            F.count(F.lit(1)).alias("m"),
-            F.stddev_samp("value").alias("sd"),
-            F.min("value").alias("lo"),
-            F.max("value").alias("hi"),
-        )
-        .filter(F.col("sd") > 0)
+        squares.filter(F.col("ss") > 0)
         .select("group", "m", bw.alias("bw"), "lo", "hi")
         .withColumn("start", F.col("lo") - cut * F.col("bw"))
         .withColumn("step", (F.col("hi") + cut * F.col("bw") - F.col("start")) / (grid - 1))
@@ -219,10 +221,10 @@ def kernel_density(
         "point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))
     )
     at = F.col("start") + F.col("point") * F.col("step")
-    z = (at - F.col("value")) / F.col("bw")
-    weight = F.col("m") if not common_norm else rows.select(F.count(F.lit(1))).scalar()
+    z = (at - v) / F.col("bw")
+    weight = F.col("m") if not common_norm else counts.select(F.sum("n")).scalar()
     scale = weight * F.col("bw") * F.sqrt(2 * F.pi())
     return points.groupBy("group", "point").agg(
         F.max(at).alias("x"),
-        F.sum(F.col("n") * F.exp(-0.5 * z * z) / scale).alias("density"),
+        F.sum(n * F.exp(-0.5 * z * z) / scale).alias("density"),
     )

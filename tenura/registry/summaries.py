@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tenura import config
 from tenura.functions import columns as C
-from tenura.functions.tables import q
+from tenura.functions.tables import materialize, q
 from tenura.operators import (
     correlation, metrics, ordered, profile, quality, rates, segments, splits,
 )
@@ -496,8 +496,10 @@ train AS (SELECT parted.* REPLACE (share AS "Contract") FROM parted JOIN shares
 
 
 def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows, computed once because the correlations pass over them several times."""
     parts = splits.train_test_split(inputs.featured(spark, sf_dir))
-    return splits.frequency_encode(parts).filter(q("split") == "train")
+    train = parts.filter(q("split") == "train").withColumn("split", F.lit("train"))
+    return materialize(splits.frequency_encode(materialize(train)))
 
 
 register(

@@ -14,6 +14,18 @@ from pyspark.sql import functions as F
 
 from tenura.config import RAW_SCHEMA
 
+# Declared, so that opening a table costs no job.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
 LINE_COLUMNS = {
     "OnlineSecurity", "OnlineBackup", "DeviceProtection",
     "TechSupport", "StreamingTV", "StreamingMovies",
@@ -37,11 +49,15 @@ def _yes_no(cond: Column) -> Column:
     return F.when(cond, F.lit("Yes")).otherwise(F.lit("No"))
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def _order_facts(spark: SparkSession, sf_dir: str, with_lines: bool) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = table(spark, sf_dir, "orders")
     if with_lines:
         lines = (
-            spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+            table(spark, sf_dir, "lineitem")
             .groupBy("l_orderkey")
             .agg(
                 F.count_if(F.col("l_returnflag") == "R").alias("r"),
@@ -82,12 +98,12 @@ def raw_accounts(
     with_lines = bool(LINE_COLUMNS & set(wanted))
     with_region = bool(REGION_COLUMNS & set(wanted))
 
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customer = table(spark, sf_dir, "customer")
     facts = _order_facts(spark, sf_dir, with_lines)
     df = customer.join(facts, customer.c_custkey == facts.o_custkey)
     if with_region:
-        nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-        region = spark.read.parquet(f"{sf_dir}/region.parquet")
+        nation = table(spark, sf_dir, "nation")
+        region = table(spark, sf_dir, "region")
         places = nation.join(region, nation.n_regionkey == region.r_regionkey)
         df = df.join(places, df.c_nationkey == places.n_nationkey)
 
@@ -138,7 +154,7 @@ def raw_accounts(
             "StreamingMovies": addon(F.col("ls") * 2 >= F.col("c")),
         }
     if "Churn" in wanted:
-        newest = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.max("o_orderdate"))
+        newest = table(spark, sf_dir, "orders").select(F.max("o_orderdate"))
         recency = F.datediff(newest.scalar(), F.col("last_order"))
         rules["Churn"] = _yes_no(recency > 300)
     return df.select(*[rules[c].alias(c) for c in wanted])
