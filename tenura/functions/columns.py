@@ -14,12 +14,13 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+BLANKS = " \t\n\r\f\v"
 NUMBER_PATTERN = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
 
 
 def to_number(col: Column) -> Column:
     """Text to double; blanks and unparsable text become null."""
-    text = F.trim(col.cast("string"))
+    text = F.btrim(col.cast("string"), F.lit(BLANKS))
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
@@ -48,7 +49,7 @@ def map_codes(col: Column, codes: Mapping, strict: bool = False, name: str = "")
 
 def trimmed_yes_no(col: Column) -> Column:
     """' Yes ' and ' No ' to 1 and 0, anything else to null."""
-    return map_codes(F.trim(col), {"Yes": 1, "No": 0})
+    return map_codes(F.btrim(col, F.lit(BLANKS)), {"Yes": 1, "No": 0})
 
 
 def label_or_self(col: Column, labels: Mapping) -> Column:

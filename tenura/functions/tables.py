@@ -43,11 +43,6 @@ def literal_map(table: Mapping[float, float]) -> Column:
     return F.map_from_arrays(keys, values)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the table stays under the bound."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage through a reliable checkpoint."""
     spark = df.sparkSession

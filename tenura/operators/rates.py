@@ -16,8 +16,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     counted = df.filter(q(column).isNotNull()).groupBy(q(column)).agg(
         F.count(F.lit(1)).alias("count")
     )
-    # the window runs over the grouped rows only
-    share = F.col("count") / F.sum("count").over(Window.partitionBy()) * 100
+    share = F.col("count") / counted.select(F.sum("count")).scalar() * 100
     return counted.withColumn("share", share).orderBy(F.desc("count"), q(column))
 
 
@@ -30,8 +29,11 @@ def value_counts_many(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    whole = F.sum("count").over(Window.partitionBy("column_name"))
-    return counted.withColumn("share", F.col("count") / whole * 100)
+    # one row per listed column, so the broadcast is bounded by the argument
+    totals = F.broadcast(counted.groupBy("column_name").agg(F.sum("count").alias("whole")))
+    return counted.join(totals, "column_name").select(
+        "column_name", "value", "count", (F.col("count") / F.col("whole") * 100).alias("share")
+    )
 
 
 def rate_by(df: DataFrame, keys: Sequence[str], target: str = config.LABEL) -> DataFrame:
@@ -124,6 +126,7 @@ def class_ratio(df: DataFrame, label: str = config.LABEL) -> DataFrame:
 def balanced_weights(df: DataFrame, label: str = config.LABEL) -> DataFrame:
     """Per class n / (classes * n_class)."""
     sizes = df.filter(q(label).isNotNull()).groupBy(q(label)).agg(F.count(F.lit(1)).alias("n"))
+    # the window spans one row per class
     every = Window.partitionBy()
     weight = F.sum("n").over(every) / (F.count(F.lit(1)).over(every) * F.col("n"))
     return sizes.withColumn("weight", weight)

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura import config
-from tenura.functions.tables import broadcast_if_small, q
-from tenura.operators.ordered import ROWS_PER_BUCKET, ordered_counts
+from tenura.functions.tables import literal_table, lookup, materialize, q
 
 HASH_RANGE = 1 << 32
 MAX_STRATA = 1000
@@ -50,13 +49,12 @@ def assign_parts(
     stratum: str | None = config.LABEL,
     seed: int = config.SEED,
     mode: str = "approx",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add a column naming the part each row falls in, by the hash of its key.
 
     ``approx`` cuts the hash range by the shares: a pure projection. ``exact`` finds, per
     stratum, the hash that gives the wanted row count; only the cut points reach the driver.
-    Rows with equal keys always share a part.
+    Rows with equal hashes, so also rows with equal keys, always share a part.
     """
     h = key_hash(key, seed)
     ends = _fractions(shares)
@@ -67,36 +65,76 @@ def assign_parts(
         return df.withColumn(out, part)
     if mode != "exact":
         raise ValueError("mode must be 'approx' or 'exact'")
-    level = q(stratum).cast("string") if stratum else F.lit("all")
-    hashed = df.select(F.coalesce(level, F.lit("")).alias("s"), h.alias("h"))
+    level = F.coalesce(q(stratum).cast("string"), F.lit("")) if stratum else F.lit("all")
+    cuts = _exact_cuts(df.select(level.alias("s"), h.alias("h")), ends)
+    part = F.lit(None).cast("string" if isinstance(names[0], str) else "int")
+    for s, at in cuts.items():
+        inner = F.lit(names[-1])
+        for name, cut in reversed(list(zip(names, at))):
+            inner = F.when(h <= cut, F.lit(name)).otherwise(inner)
+        part = F.when(level == s, inner).otherwise(part)
+    return df.withColumn(out, part)
+
+
+def _exact_cuts(hashed: DataFrame, ends: Sequence[float]) -> dict[str, list[int]]:
+    """Per stratum, the hash at which each running share of its rows is reached.
+
+    The hash is selected half by half: rows are counted by its upper 16 bits, then, only
+    within the upper halves that hold a cut, by the lower 16. Both counts combine on
+    the map side, and neither has more than 65,536 rows per stratum or cut.
+    """
+    earlier = (Window.unboundedPreceding, -1)
+    coarse = materialize(
+        hashed.groupBy("s", F.shiftright("h", 16).alias("hi")).agg(F.count(F.lit(1)).alias("n"))
+    )
     sizes = {
-        r["s"]: r["count"] for r in hashed.groupBy("s").count().limit(MAX_STRATA + 1).collect()
+        r["s"]: r["n"]
+        for r in coarse.groupBy("s").agg(F.sum("n").alias("n")).limit(MAX_STRATA + 1).collect()
     }
     if len(sizes) > MAX_STRATA:
         raise ValueError(f"more than {MAX_STRATA} strata")
-    counts = ordered_counts(hashed, "h", ["s"], rows_per_bucket=rows_per_bucket)
+    if not sizes:
+        return {}
     wanted = [_allocate(sizes, end) for end in ends]
-    cut_rows = []
-    for s in sizes:
-        for i, alloc in enumerate(wanted):
-            hit = (
-                (F.col("s") == s)
-                & (F.col("before") < alloc[s])
-                & (F.col("before") + F.col("n") >= alloc[s])
-            )
-            cut_rows.append(F.max(F.when(hit, F.col("h"))).alias(f"{len(cut_rows)}"))
-    found = counts.agg(*cut_rows).first()
-    part = F.lit(None).cast("string" if isinstance(names[0], str) else "int")
-    at = 0
-    for s in sizes:
-        inner = F.lit(names[-1])
-        cuts = [found[at + i] for i in range(len(ends))]
-        at += len(ends)
-        for name, cut in reversed(list(zip(names, cuts))):
-            if cut is not None:
-                inner = F.when(h <= cut, F.lit(name)).otherwise(inner)
-        part = F.when(F.coalesce(level, F.lit("")) == s, inner).otherwise(part)
-    return df.withColumn(out, part)
+    goals = literal_table(
+        hashed.sparkSession,
+        [(s, i, w[s]) for s in sizes for i, w in enumerate(wanted)],
+        ["s", "cut", "goal"],
+    )
+    before = F.coalesce(
+        F.sum("n").over(Window.partitionBy("s").orderBy("hi").rowsBetween(*earlier)), F.lit(0)
+    )
+    reached = (F.col("before") < F.col("goal")) & (F.col("before") + F.col("n") >= F.col("goal"))
+    targets = (
+        coarse.withColumn("before", before)
+        .join(F.broadcast(goals), "s")
+        .filter(reached)
+        .select("s", "cut", "hi", "before", "goal")
+        .collect()
+    )
+    found = {s: [-1] * len(ends) for s in sizes}
+    if not targets:
+        return found
+    halves = literal_table(hashed.sparkSession, [tuple(t) for t in targets], list(targets[0].asDict()))
+    fine = (
+        hashed.withColumn("hi", F.shiftright("h", 16))
+        .join(F.broadcast(halves.select("s", "hi").distinct()), ["s", "hi"], "left_semi")
+        .groupBy("s", "hi", "h")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    inside = F.coalesce(
+        F.sum("n").over(Window.partitionBy("s", "hi").orderBy("h").rowsBetween(*earlier)), F.lit(0)
+    )
+    exact = (
+        fine.withColumn("inside", inside)
+        .join(F.broadcast(halves), ["s", "hi"])
+        .withColumn("before", F.col("before") + F.col("inside"))
+        .filter(reached)
+        .select("s", "cut", "h")
+    )
+    for r in exact.collect():
+        found[r["s"]][r["cut"]] = r["h"]
+    return found
 
 
 def train_test_split(
@@ -137,11 +175,12 @@ def uncovered(whole: DataFrame, parts: DataFrame, key: str = config.KEY) -> Data
 
 
 def category_shares(df: DataFrame, column: str) -> DataFrame:
-    """Share of each category among non-null rows."""
+    """Rows and share of each category among non-null rows."""
     counted = df.filter(q(column).isNotNull()).groupBy(q(column)).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return counted.select(q(column), "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))
+    whole = counted.select(F.sum("n")).scalar()
+    return counted.select(q(column), "n", (F.col("n") / whole).alias("share"))
 
 
 def frequency_encode(
@@ -153,9 +192,13 @@ def frequency_encode(
 
 
 def apply_shares(df: DataFrame, shares: DataFrame, column: str) -> DataFrame:
-    """Left lookup of fitted shares, in place of the category."""
-    fitted = shares.select(q(column).alias("__category"), F.col("share").alias("__share"))
-    joined = df.join(broadcast_if_small(fitted), q(column) == F.col("__category"), "left")
+    """Left lookup of fitted shares, in place of the category.
+
+    The fitted table is checkpointed; its size decides how the lookup is joined.
+    """
+    fitted = materialize(shares)
+    total = fitted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    joined = lookup(df, fitted, column, "share", "n", total, "__share", df.columns)
     return joined.select(
         *[F.col("__share").alias(column) if c == column else q(c) for c in df.columns]
     )
