@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import chain
 from operator import add
 
 from pyspark.sql import Column
@@ -32,13 +31,20 @@ def fill_zero(col: Column) -> Column:
     return F.coalesce(col, F.lit(0.0))
 
 
+def _sql(value) -> str:
+    """A constant as SQL text."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+
 def map_codes(col: Column, codes: Mapping, strict: bool = False, name: str = "") -> Column:
     """Look a value up in a small fixed map; unmapped is null, or an error if strict.
 
     A map lookup names its input once, so stacked expressions stay small for the optimizer.
     """
-    table = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in codes.items()))
-    found = F.try_element_at(table, col)
+    pairs = ", ".join(f"{_sql(k)}, {_sql(v)}" for k, v in codes.items())
+    found = F.try_element_at(F.expr(f"map({pairs})"), col)
     if strict:
         message = F.concat(
             F.lit(f"unmapped value in {name}: "), F.coalesce(col.cast("string"), F.lit("null"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.config import RAW_SCHEMA
@@ -31,60 +31,86 @@ LINE_COLUMNS = {
     "TechSupport", "StreamingTV", "StreamingMovies",
 }
 REGION_COLUMNS = LINE_COLUMNS | {"InternetService"}
-ORDER_COLUMNS = {
-    "Partner", "Dependents", "tenure", "PhoneService", "MultipleLines", "Contract",
-    "PaperlessBilling", "MonthlyCharges", "TotalCharges", "Churn",
-}
-
 
-def _cents(col: Column) -> Column:
-    return F.round(col * 100).cast("long")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _half_up_cents(col: Column) -> Column:
-    return F.floor(col + 0.5).cast("long")
+LINE_FACTS = {
+    "r": "count_if(l_returnflag = 'R')",
+    "a": "count_if(l_returnflag = 'A')",
+    "dsc": "count_if(l_discount >= 0.08D)",
+    "tx": "count_if(l_tax >= 0.06D)",
+    "qty": "sum(cast(l_quantity AS bigint))",
+    "ls": "count_if(l_linestatus = 'O')",
+    "c": "count(*)",
+}
+ORDER_FACTS = {
+    "n": "count(*)",
+    "cents": "sum(cast(round(o_totalprice * 100) AS bigint))",
+    "span": "datediff(max(o_orderdate), min(o_orderdate))",
+    "last_order": "max(o_orderdate)",
+    "f": "count_if(o_orderstatus = 'F')",
+    "p": "count_if(o_orderstatus = 'P')",
+    "urgent": "count_if(o_orderpriority = '1-URGENT')",
+}
 
 
-def _yes_no(cond: Column) -> Column:
-    return F.when(cond, F.lit("Yes")).otherwise(F.lit("No"))
+def _yes_no(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 'Yes' ELSE 'No' END"
+
+
+def _addon(condition: str) -> str:
+    return (
+        "CASE WHEN r_name = 'AFRICA' THEN 'No internet service' "
+        f"WHEN {condition} THEN 'Yes' ELSE 'No' END"
+    )
+
+
+BILL_CENTS = "floor(cents / (n * 3800) + 0.5D)"
+TOTAL_CENTS = "floor(cents / 3800 + 0.5D)"
+RULES = {
+    "customerID": "concat('C-', c_custkey)",
+    "gender": "CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END",
+    "SeniorCitizen": "cast(c_acctbal < 0 AS int)",
+    "Partner": _yes_no("n >= 10"),
+    "Dependents": _yes_no("f >= 4"),
+    "tenure": "cast(floor(span / 33) AS int)",
+    "PhoneService": _yes_no("p >= 1"),
+    "MultipleLines": "CASE WHEN p = 0 THEN 'No phone service' WHEN p >= 4 THEN 'Yes' ELSE 'No' END",
+    "InternetService": "CASE WHEN r_name IN ('ASIA', 'EUROPE') THEN 'Fiber optic' "
+    "WHEN r_name = 'AFRICA' THEN 'No' ELSE 'DSL' END",
+    "OnlineSecurity": _addon("r >= 13"),
+    "OnlineBackup": _addon("a >= 13"),
+    "DeviceProtection": _addon("tx >= 10"),
+    "TechSupport": _addon("dsc >= 10"),
+    "StreamingTV": _addon("qty >= c * 25.5D"),
+    "StreamingMovies": _addon("ls * 2 >= c"),
+    "Contract": "CASE WHEN n < 8 THEN 'Month-to-month' WHEN n < 12 THEN 'One year' "
+    "ELSE 'Two year' END",
+    "PaperlessBilling": _yes_no("urgent >= 1"),
+    "PaymentMethod": "CASE c_mktsegment WHEN 'BUILDING' THEN 'Electronic check' "
+    "WHEN 'AUTOMOBILE' THEN 'Mailed check' WHEN 'MACHINERY' THEN 'Credit card (automatic)' "
+    "ELSE 'Bank transfer (automatic)' END",
+    "MonthlyCharges": f"{BILL_CENTS} / 100D",
+    "TotalCharges": "CASE WHEN span = 0 THEN ' ' ELSE "
+    f"concat({TOTAL_CENTS} div 100, '.', lpad({TOTAL_CENTS} % 100, 2, '0')) END",
+    "Churn": _yes_no("datediff(newest, last_order) > 300"),
+}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+def _aliased(exprs: dict[str, str]) -> list:
+    return [F.expr(f"{sql} AS `{name}`") for name, sql in exprs.items()]
 
 
 def _order_facts(spark: SparkSession, sf_dir: str, with_lines: bool) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
+    facts = dict(ORDER_FACTS)
     if with_lines:
-        lines = (
-            table(spark, sf_dir, "lineitem")
-            .groupBy("l_orderkey")
-            .agg(
-                F.count_if(F.col("l_returnflag") == "R").alias("r"),
-                F.count_if(F.col("l_returnflag") == "A").alias("a"),
-                F.count_if(F.col("l_discount") >= 0.08).alias("dsc"),
-                F.count_if(F.col("l_tax") >= 0.06).alias("tx"),
-                F.sum(F.col("l_quantity").cast("long")).alias("qty"),
-                F.count_if(F.col("l_linestatus") == "O").alias("ls"),
-                F.count(F.lit(1)).alias("c"),
-            )
-        )
-        orders = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-    aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.sum(_cents(F.col("o_totalprice"))).alias("cents"),
-        F.datediff(F.max("o_orderdate"), F.min("o_orderdate")).alias("span"),
-        F.max("o_orderdate").alias("last_order"),
-        F.count_if(F.col("o_orderstatus") == "F").alias("f"),
-        F.count_if(F.col("o_orderstatus") == "P").alias("p"),
-        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
-    ]
-    if with_lines:
-        aggs += [
-            F.coalesce(F.sum(c), F.lit(0)).alias(c)
-            for c in ("r", "a", "dsc", "tx", "qty", "ls", "c")
-        ]
-    return orders.groupBy("o_custkey").agg(*aggs)
+        lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*_aliased(LINE_FACTS))
+        orders = orders.join(lines, F.expr("o_orderkey = l_orderkey"), "left")
+        facts |= {name: f"coalesce(sum({name}), 0)" for name in LINE_FACTS}
+    return orders.groupBy("o_custkey").agg(*_aliased(facts))
 
 
 def raw_accounts(
@@ -95,66 +121,13 @@ def raw_accounts(
     ``columns`` restricts the output; tables that feed none of them are not read.
     """
     wanted = list(columns) if columns else RAW_SCHEMA.fieldNames()
-    with_lines = bool(LINE_COLUMNS & set(wanted))
-    with_region = bool(REGION_COLUMNS & set(wanted))
-
-    customer = table(spark, sf_dir, "customer")
-    facts = _order_facts(spark, sf_dir, with_lines)
-    df = customer.join(facts, customer.c_custkey == facts.o_custkey)
-    if with_region:
-        nation = table(spark, sf_dir, "nation")
-        region = table(spark, sf_dir, "region")
-        places = nation.join(region, nation.n_regionkey == region.r_regionkey)
-        df = df.join(places, df.c_nationkey == places.n_nationkey)
-
-    africa = F.col("r_name") == "AFRICA"
-    n = F.col("n")
-
-    def addon(cond: Column) -> Column:
-        return F.when(africa, F.lit("No internet service")).otherwise(_yes_no(cond))
-
-    bill_cents = _half_up_cents(F.col("cents") / (n * 3800))
-    total_cents = _half_up_cents(F.col("cents") / 3800)
-    rules = {
-        "customerID": F.concat(F.lit("C-"), F.col("c_custkey").cast("string")),
-        "gender": F.when(F.col("c_custkey") % 2 == 0, "Male").otherwise("Female"),
-        "SeniorCitizen": (F.col("c_acctbal") < 0).cast("int"),
-        "Partner": _yes_no(n >= 10),
-        "Dependents": _yes_no(F.col("f") >= 4),
-        "tenure": F.floor(F.col("span") / 33).cast("int"),
-        "PhoneService": _yes_no(F.col("p") >= 1),
-        "MultipleLines": F.when(F.col("p") == 0, "No phone service").otherwise(
-            _yes_no(F.col("p") >= 4)
-        ),
-        "InternetService": F.when(F.col("r_name").isin("ASIA", "EUROPE"), "Fiber optic")
-        .when(africa, "No")
-        .otherwise("DSL"),
-        "Contract": F.when(n < 8, "Month-to-month").when(n < 12, "One year").otherwise("Two year"),
-        "PaperlessBilling": _yes_no(F.col("urgent") >= 1),
-        "PaymentMethod": F.when(F.col("c_mktsegment") == "BUILDING", "Electronic check")
-        .when(F.col("c_mktsegment") == "AUTOMOBILE", "Mailed check")
-        .when(F.col("c_mktsegment") == "MACHINERY", "Credit card (automatic)")
-        .otherwise("Bank transfer (automatic)"),
-        "MonthlyCharges": bill_cents / 100,
-        "TotalCharges": F.when(F.col("span") == 0, " ").otherwise(
-            F.concat(
-                F.floor(total_cents / 100).cast("string"),
-                F.lit("."),
-                F.lpad((total_cents % 100).cast("string"), 2, "0"),
-            )
-        ),
-    }
-    if with_lines:
-        rules |= {
-            "OnlineSecurity": addon(F.col("r") >= 13),
-            "OnlineBackup": addon(F.col("a") >= 13),
-            "DeviceProtection": addon(F.col("tx") >= 10),
-            "TechSupport": addon(F.col("dsc") >= 10),
-            "StreamingTV": addon(F.col("qty") >= F.col("c") * 25.5),
-            "StreamingMovies": addon(F.col("ls") * 2 >= F.col("c")),
-        }
+    facts = _order_facts(spark, sf_dir, bool(LINE_COLUMNS & set(wanted)))
+    df = table(spark, sf_dir, "customer").join(facts, F.expr("c_custkey = o_custkey"))
+    if REGION_COLUMNS & set(wanted):
+        nation, region = (table(spark, sf_dir, t) for t in ("nation", "region"))
+        places = nation.join(region, F.expr("n_regionkey = r_regionkey"))
+        df = df.join(places, F.expr("c_nationkey = n_nationkey"))
     if "Churn" in wanted:
         newest = table(spark, sf_dir, "orders").select(F.max("o_orderdate"))
-        recency = F.datediff(newest.scalar(), F.col("last_order"))
-        rules["Churn"] = _yes_no(recency > 300)
-    return df.select(*[rules[c].alias(c) for c in wanted])
+        df = df.withColumn("newest", newest.scalar())
+    return df.select(*_aliased({c: RULES[c] for c in wanted}))
