@@ -73,11 +73,11 @@ def run(
     result = ChurnRun(quality.dq_report(raw), featured)
     table = model_table(featured, mode).persist()
     names = feature_columns(table)
-    table, names = correlation.drop_correlated(table, names)
-    train, test = table.filter(q("split") == "train"), table.filter(q("split") == "test")
+    kept, names = correlation.drop_correlated(table, names)
+    train, test = kept.filter(q("split") == "train"), kept.filter(q("split") == "test")
 
     params = importance_params or {"trees": 300, "max_depth": 10}
-    ready = models.prepare(table, names)
+    ready = models.prepare(kept, names)
     chooser = models.fit(ready.filter(q("split") == "train"), "Random Forest", params)
     result.importance = selection.permutation_importance(
         chooser, ready.filter(q("split") == "test"), names, repeats
@@ -95,6 +95,8 @@ def run(
     result.threshold_cv = models.cross_validate_best(
         train_ready, last, result.best[last], threads=threads
     )
+    train_ready.unpersist()
+    table.unpersist()
     return result
 
 

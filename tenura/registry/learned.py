@@ -43,7 +43,7 @@ def names_of(df: DataFrame) -> list[str]:
 
 
 def train_and_test(df: DataFrame, features: list[str]) -> tuple[DataFrame, DataFrame]:
-    ready = models.prepare(df, features, ["MonthlyCharges"]).persist()
+    ready = models.prepare(df, features, ["MonthlyCharges"])
     return ready.filter(q("split") == "train"), ready.filter(q("split") == "test")
 
 
@@ -101,6 +101,27 @@ def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.permutation_importance(model, test, features)
 
 
+@query(
+    "shuffled_column_totals",
+    with_stage(
+        "cleaned",
+        """SELECT repeat, count(*) AS rows, CAST(sum(tenure) AS BIGINT) AS total, CAST(sum(tenure * tenure) AS BIGINT) AS squares,
+             count(DISTINCT tenure) AS distinct_values
+           FROM cleaned, (SELECT unnest([0, 1, 2]) AS repeat) AS r GROUP BY 1""",
+    ),
+)
+def shuffled_column_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A shuffled column keeps its values: the totals of the donors are those of the column."""
+    df = inputs.cleaned(spark, sf_dir, config.KEY, "tenure")
+    donor = F.col("donor")
+    return selection.shuffled(df, "tenure", 3, rows_per_cycle=400).groupBy("repeat").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(donor).alias("total"),
+        F.sum(donor * donor).alias("squares"),
+        F.count_distinct(donor).alias("distinct_values"),
+    )
+
+
 @query("logistic_grid_search")
 def logistic_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir)
@@ -145,10 +166,6 @@ def threshold_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def subset_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir).filter(q("split") == "train")
     subsets = {"selected": config.SELECTED_FEATURES, "all kept": names_of(df)}
-    return models_compare(df, subsets)
-
-
-def models_compare(df: DataFrame, subsets: dict) -> DataFrame:
     return selection.compare_subsets(df, subsets)
 
 
