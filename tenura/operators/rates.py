@@ -12,26 +12,25 @@ from tenura.functions.tables import literal_table, q
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value, most frequent first (ties by value), with the share in percent."""
-    counted = df.filter(q(column).isNotNull()).groupBy(q(column)).agg(
-        F.count(F.lit(1)).alias("count")
-    )
-    share = F.col("count") / counted.select(F.sum("count")).scalar() * 100
-    return counted.withColumn("share", share).orderBy(F.desc("count"), q(column))
+    """Rows per non-null value, most frequent first (ties by value), and percent of all rows."""
+    grouped = df.groupBy(q(column)).agg(F.count(F.lit(1)).alias("count"))
+    share = F.col("count") / grouped.select(F.sum("count")).scalar() * 100
+    counted = grouped.filter(q(column).isNotNull()).withColumn("share", share)
+    return counted.orderBy(F.desc("count"), q(column))
 
 
 def value_counts_many(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows and share per value of many columns, in one pass."""
+    """Rows per non-null value and percent of all rows, for many columns in one pass."""
     wide = df.select(*[q(c).cast("string").alias(c) for c in columns])
-    counted = (
+    grouped = (
         wide.unpivot([], [q(c) for c in columns], "column_name", "value")
-        .filter(F.col("value").isNotNull())
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("count"))
     )
     # one row per listed column, so the broadcast is bounded by the argument
-    totals = F.broadcast(counted.groupBy("column_name").agg(F.sum("count").alias("whole")))
-    return counted.join(totals, "column_name").select(
+    totals = F.broadcast(grouped.groupBy("column_name").agg(F.sum("count").alias("whole")))
+    counted = grouped.filter(F.col("value").isNotNull()).join(totals, "column_name")
+    return counted.select(
         "column_name", "value", "count", (F.col("count") / F.col("whole") * 100).alias("share")
     )
 

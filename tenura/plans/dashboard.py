@@ -52,11 +52,11 @@ def churn_split(df: DataFrame) -> DataFrame:
 
 
 def tenure_band_churn(df: DataFrame) -> DataFrame:
-    """Observed bands only, with rate, count and text."""
+    """Observed bands only, with rate, count of known outcomes and text."""
+    known = (F.col("churned") + F.col("stayed")).alias("total")
+    text = C.percent_text(F.col("rate")).alias("rate_text")
     grouped = rates.rate_by(df, ["tenure_band"])
-    return grouped.select(
-        "tenure_band", "rate", "total", C.percent_text(F.col("rate")).alias("rate_text")
-    ).orderBy("tenure_band")
+    return grouped.select("tenure_band", "rate", known, text).orderBy("tenure_band")
 
 
 def charge_histogram(df: DataFrame, bins: int = 40) -> DataFrame:

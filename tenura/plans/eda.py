@@ -33,6 +33,11 @@ def numeric_histograms(df: DataFrame, bins: int | str = "auto") -> DataFrame:
     return profile.histogram(df, config.NUMERIC, bins)
 
 
+def numeric_density(df: DataFrame, column: str) -> DataFrame:
+    """The curve over a column's histogram; it ends at the smallest and largest value."""
+    return profile.kernel_density(df, column, cut=0.0)
+
+
 def numeric_boxes(df: DataFrame) -> DataFrame:
     return profile.box_stats(df, config.NUMERIC)
 

@@ -324,7 +324,7 @@ points AS (SELECT 'MonthlyCharges' AS column_name, {STATUS} AS status, "MonthlyC
 )
 
 
-def _density_sql(stage: str, column: str, group: str, common: bool = False) -> str:
+def _density_sql(stage: str, column: str, group: str, common: bool = False, cut: int = 3) -> str:
     weight = "(SELECT count(*) FROM points)" if common else "m"
     return with_stage(
         stage,
@@ -337,7 +337,7 @@ def _density_sql(stage: str, column: str, group: str, common: bool = False) -> s
 points AS (SELECT CAST({group} AS VARCHAR) AS "group", CAST("{column}" AS DOUBLE) AS value
            FROM {stage} WHERE isfinite(CAST("{column}" AS DOUBLE))),
 stats AS (
-  SELECT *, lo - 3 * bw AS start, (hi + 3 * bw - (lo - 3 * bw)) / 199 AS step
+  SELECT *, lo - {cut} * bw AS start, (hi + {cut} * bw - (lo - {cut} * bw)) / 199 AS step
   FROM (SELECT "group", count(*) AS m, pow(count(*), -0.2::DOUBLE) * stddev_samp(value) AS bw, min(value) AS lo,
                max(value) AS hi FROM points GROUP BY 1)
 )""",
@@ -364,6 +364,11 @@ register(
     lambda s, d: eda.cost_density(inputs.featured(s, d)),
     _density_sql("featured", "_Cost_Per_Service", '"Churn"'),
 )
+register(
+    "density_monthly_within_range",
+    lambda s, d: eda.numeric_density(inputs.cleaned(s, d, "MonthlyCharges"), "MonthlyCharges"),
+    _density_sql("cleaned", "MonthlyCharges", "'all'", cut=0),
+)
 register(
     "density_tenure_overall",
     lambda s, d: profile.kernel_density(inputs.cleaned(s, d, "tenure"), "tenure"),
@@ -535,15 +540,16 @@ register(
 RATE = 'round(avg("Churn") * 100, 6)'
 
 
-def _counts_many_sql(columns) -> str:
+def _counts_many_sql(columns, table: str = "cleaned", *extra: str) -> str:
     return with_stage(
-        "cleaned",
-        """SELECT column_name, value, count(*) AS count,
-             round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY column_name) * 100, 6) AS share FROM ("""
+        "raw" if extra else table,
+        f"""SELECT column_name, value, count(*) AS count,
+             round(count(*)::DOUBLE / (SELECT count(*) FROM {table}) * 100, 6) AS share FROM ("""
         + " UNION ALL ".join(
-            f"""SELECT '{c}' AS column_name, CAST("{c}" AS VARCHAR) AS value FROM cleaned""" for c in columns
+            f"""SELECT '{c}' AS column_name, CAST("{c}" AS VARCHAR) AS value FROM {table}""" for c in columns
         )
         + ") AS t WHERE value IS NOT NULL GROUP BY 1, 2",
+        *extra,
     )
 
 
@@ -598,6 +604,11 @@ register(
     lambda s, d: eda.categorical_distributions(inputs.cleaned(s, d, *eda.CATEGORICAL)),
     _counts_many_sql(eda.CATEGORICAL),
 )
+register(
+    "counts_with_missing_values",
+    lambda s, d: rates.value_counts_many(inputs.dirty(s, d), ["gender", "Partner", "MultipleLines"]),
+    _counts_many_sql(["gender", "Partner", "MultipleLines"], "dirty", inputs.DIRTY_SQL),
+)
 register(
     "distinct_customers",
     lambda s, d: inputs.dirty(s, d).agg(

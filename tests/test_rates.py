@@ -9,8 +9,10 @@ from tenura.plans import dashboard, eda
 def test_value_counts_skip_null(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "k string")
     assert rows_of(rates.value_counts(df, "k")) == [
-        ("a", 2, pytest.approx(200 / 3)), ("b", 1, pytest.approx(100 / 3)),
+        ("a", 2, 50.0), ("b", 1, 25.0),
     ]
+    many = rows_of(rates.value_counts_many(df, ["k"]).orderBy("value"))
+    assert many == [("k", "a", 2, 50.0), ("k", "b", 1, 25.0)]
 
 
 def test_rates_per_key(spark):
