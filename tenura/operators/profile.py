@@ -50,8 +50,16 @@ def _per_column(df: DataFrame, columns: Sequence[str], measures: dict) -> DataFr
     return one_row.select(F.inline(F.array(*structs)))
 
 
-def describe(df: DataFrame, columns: Sequence[str] = config.NUMERIC) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, all from the distinct values."""
+def describe(
+    df: DataFrame, columns: Sequence[str] = config.NUMERIC, accuracy: int | None = None
+) -> DataFrame:
+    """count, mean, std, min, quartiles and max per column.
+
+    Exact by default, from the distinct values. With an ``accuracy`` the quartiles come from
+    a mergeable sketch of relative rank error 1/accuracy, in one pass without moving values.
+    """
+    if accuracy is not None:
+        return _describe_sketched(df, columns, accuracy)
     counts = ordered_counts(to_long(df, columns), "value", ["column_name"])
     aggs, finals = quantile_columns("value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     v, n = F.col("value"), F.col("n")
@@ -70,6 +78,26 @@ def describe(df: DataFrame, columns: Sequence[str] = config.NUMERIC) -> DataFram
     )
 
 
+def _describe_sketched(df: DataFrame, columns: Sequence[str], accuracy: int) -> DataFrame:
+    at = F.col("__at")
+    return (
+        to_long(df, columns)
+        .groupBy("column_name")
+        .agg(
+            F.count("value").alias("count"),
+            F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"),
+            F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("__at"),
+            F.max("value").alias("max"),
+        )
+        .select(
+            "column_name", "count", "mean", "std", "min",
+            at[0].alias("p25"), at[1].alias("p50"), at[2].alias("p75"), "max",
+        )
+    )
+
+
 def shape(df: DataFrame, columns: Sequence[str] = config.NUMERIC) -> DataFrame:
     """Bias-adjusted skewness and excess kurtosis per column."""
     return _per_column(df, columns, {"skewness": skewness, "kurtosis": kurtosis})
@@ -93,12 +121,30 @@ def outlier_rows(df: DataFrame, column: str = "TotalCharges", reach: float = 1.5
 
 
 def box_stats(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), reach: float = 1.5
+    df: DataFrame,
+    columns: Sequence[str],
+    by: Sequence[str] = (),
+    reach: float = 1.5,
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """Quartiles, whiskers at the last value inside the fences, and outlier counts."""
+    """Quartiles, whiskers at the last value inside the fences, and outlier counts.
+
+    Exact by default. With an ``accuracy`` the quartiles come from a sketch, and two passes over
+    the rows replace the grouping of values; whiskers and counts are exact for those fences.
+    """
     keys = ["column_name", *by]
-    counts = ordered_counts(to_long(df, columns, by), "value", keys)
-    mids = quantiles_of(counts, "value", keys, QUARTILES)
+    long = to_long(df, columns, by)
+    if accuracy is None:
+        counts = ordered_counts(long, "value", keys)
+        mids = quantiles_of(counts, "value", keys, QUARTILES)
+    else:
+        present = long.filter(F.col("value").isNotNull())
+        counts = present.withColumn("n", F.lit(1))
+        at = F.percentile_approx("value", list(QUARTILES.values()), accuracy)
+        mids = present.groupBy(*[q(k) for k in keys]).agg(at.alias("__at")).select(
+            *[q(k) for k in keys],
+            *[F.col("__at")[i].alias(name) for i, name in enumerate(QUARTILES)],
+        )
     iqr = F.col("q3") - F.col("q1")
     fenced = mids.select(
         "*",
@@ -130,7 +176,13 @@ def histogram(
     """
     ids = [by] if by else []
     finite = to_long(df, columns, ids).filter(F.abs("value") != float("inf"))
-    counts = value_counts_of(finite, "value", ["column_name", *ids])
+    if by:
+        finite = finite.filter(q(by).isNotNull())
+    if bins == "auto":
+        counts = value_counts_of(finite, "value", ["column_name", *ids])
+    else:
+        # two passes that combine on the map side; no value is moved
+        counts = finite.withColumn("n", F.lit(1))
     span = counts.groupBy("column_name").agg(
         F.min("value").alias("__min"), F.max("value").alias("__max"), F.sum("n").alias("__n")
     )

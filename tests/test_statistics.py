@@ -84,6 +84,18 @@ def test_describe(table):
         assert [got[column][n] for n in names] == pytest.approx(want[column].tolist())
 
 
+def test_sketched_statistics_are_close(table):
+    exact = profile.describe(table, ["u"]).drop("column_name").first()
+    near = profile.describe(table, ["u"], accuracy=10_000).drop("column_name").first()
+    assert near.asDict() == pytest.approx(exact.asDict(), rel=0.05, abs=0.5)
+    box, rough = (
+        profile.box_stats(table, ["u"], ["g"], accuracy=a).orderBy("g").collect() for a in (None, 10_000)
+    )
+    for a, b in zip(box, rough):
+        assert (a["g"], a["count"]) == (b["g"], b["count"])
+        assert b["median"] == pytest.approx(a["median"], abs=0.5)
+
+
 def test_shape(table, spark):
     got = {r["column_name"]: r for r in profile.shape(table, ["v", "u"]).collect()}
     for column in ("v", "u"):
