@@ -141,15 +141,18 @@ def cross_validate(
     threads: int = 4,
     threshold: float | None = None,
     with_auc: bool = True,
+    holdout: bool = False,
 ) -> DataFrame:
     """Per candidate and fold: accuracy, precision, recall, F1 (and AUC).
 
     ``jobs`` pairs a candidate with a function from the total weight to an estimator. Each
     is fitted on every fold's complement; the held-out scores of up to ``SCORED_TOGETHER``
-    fits are measured in one grouped job. Only the metric rows reach the driver.
+    fits are measured in one grouped job. Only the metric rows reach the driver. With
+    ``holdout`` the first fold alone is scored: one fit per candidate.
     """
     keys = ["candidate", "fold"]
-    weighted = [add_weights(train.filter(F.col("fold") != i)) for i in range(folds)]
+    scored_folds = range(1 if holdout else folds)
+    weighted = [add_weights(train.filter(F.col("fold") != i)) for i in scored_folds]
     totals = [part.agg(F.sum(WEIGHT)).first()[0] for part in weighted]
 
     def one(item):
@@ -158,7 +161,7 @@ def cross_validate(
         held_out = train.filter(F.col("fold") == i).select(LABEL, "fold", FEATURES)
         return score(model, held_out, threshold).withColumn("candidate", F.lit(name))
 
-    items = [(job, i) for job in jobs for i in range(folds)]
+    items = [(job, i) for job in jobs for i in scored_folds]
     rows = []
     for at in range(0, len(items), SCORED_TOGETHER):
         parts = _in_threads(one, items[at : at + SCORED_TOGETHER], threads)
@@ -183,12 +186,16 @@ def grid_search(
     grid: Mapping[str, Sequence] | None = None,
     folds: int = config.FOLDS,
     threads: int = 4,
+    holdout: bool = False,
 ) -> tuple[dict, list[dict]]:
-    """The parameters with the best mean F1 over the folds (first one on ties), and all results."""
+    """The parameters with the best mean F1 over the folds (first one on ties), and all results.
+
+    ``holdout`` is the fast mode: every combination is judged on the first fold only.
+    """
     make, default = FAMILIES[family]
     combos = combinations_of(grid or default)
     jobs = [(i, lambda total, p=p: make(p, total)) for i, p in enumerate(combos)]
-    per_fold = cross_validate(train, jobs, folds, threads, with_auc=False)
+    per_fold = cross_validate(train, jobs, folds, threads, with_auc=False, holdout=holdout)
     means = metrics.mean_and_spread(per_fold, ["F1"], ["candidate"]).collect()
     by_id = {r["candidate"]: r for r in means}
     results = [
@@ -205,12 +212,13 @@ def grid_search_all(
     grids: Mapping[str, Mapping] | None = None,
     folds: int = config.FOLDS,
     threads: int = 4,
+    holdout: bool = False,
 ) -> tuple[dict[str, dict], list[dict]]:
     """Best parameters per family, over the declared grids unless others are passed."""
     grids = grids or {name: grid for name, (_, grid) in FAMILIES.items()}
     best, results = {}, []
     for family, grid in grids.items():
-        best[family], rows = grid_search(train, family, grid, folds, threads)
+        best[family], rows = grid_search(train, family, grid, folds, threads, holdout)
         results += rows
     return best, results
 

@@ -138,6 +138,15 @@ def tree_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.search_table(spark, results)
 
 
+@query("forest_grid_search_holdout")
+def forest_grid_search_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full forest grid, judged on one fold."""
+    df = table(spark, sf_dir)
+    train, _ = train_and_test(df, names_of(df))
+    _, results = models.grid_search(train, "Random Forest", holdout=True)
+    return models.search_table(spark, results)
+
+
 @query("best_parameters")
 def best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir)

@@ -4,20 +4,11 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenura import config
 from tenura.functions.tables import literal_table, q
 
-RESULTS_SCHEMA = T.StructType(
-    [T.StructField("Model", T.StringType())]
-    + [
-        T.StructField(m, T.DoubleType())
-        for m in ["Accuracy", "Precision", "Recall", "F1", "ROC-AUC"]
-    ]
-)
-
 
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     """Every CSV file of a folder, with header, under the declared schema (no inference pass)."""
@@ -95,6 +86,3 @@ def first_by_key(df: DataFrame, rows: int = 5, key: str = config.KEY) -> DataFra
     """A reproducible preview: the first rows in key order."""
     return df.orderBy(q(key)).limit(rows)
 
-
-def with_run(df: DataFrame, experiment: str, run_id: str) -> DataFrame:
-    return df.select(F.lit(experiment).alias("experiment"), F.lit(run_id).alias("run_id"), "*")

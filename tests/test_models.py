@@ -84,6 +84,14 @@ def test_search_evaluate_and_cross_validate(spark, ready):
     assert 0 <= cv["F1_mean"] <= 1 and cv["ROC-AUC_std"] >= 0
 
 
+def test_holdout_search_scores_one_fold(ready):
+    train = ready.filter("split = 'train'")
+    _, results = models.grid_search(train, "Decision Tree", {"max_depth": [1, 3], "min_split": [2]}, holdout=True)
+    jobs = [("t", lambda total: models.tree({"max_depth": 3, "min_split": 2}, total))]
+    first = models.cross_validate(train, jobs).filter("fold = 0").first()
+    assert results[1]["F1_mean"] == pytest.approx(first["F1"]) and results[1]["F1_std"] == 0.0
+
+
 def test_cross_validation_by_hand(ready):
     """Fold scores equal those of separate fits on each fold's complement."""
     train = ready.filter("split = 'train'").cache()
