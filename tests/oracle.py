@@ -7,7 +7,8 @@ import os
 
 import duckdb
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+          "documents", "pages", "benchmark"]
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
