@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import decontamination, url_filter
+from tenura.llm import (
+    decontamination,
+    fingerprints,
+    html_extraction,
+    language_id,
+    line_templates,
+    mixing,
+    ngram_join,
+    pseudonyms,
+    url_filter,
+    warc,
+)
+from tenura.llm.storage import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +40,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_html_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extraction.extract(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op2_ngram_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
+PSEUDONYM_KEY = b"an example key; give your own"
+
+
+@query("op3_pseudonyms")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY).select(
+        "doc_id", "text", F.size("spans").cast("bigint").alias("n_found"),
+        F.array_join(F.sort_array(F.array_distinct("spans.kind")), ",").alias("kinds"))
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language_id.held_out(F.col("doc_id"))
+    dictionaries = language_id.learn(docs.where(~out))
+    found = language_id.identify(docs.select("doc_id", "text"), dictionaries)
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
+                        "margin", "rejected")
+
+
+@query("op5_mixing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.draw(table(spark, sf_dir, "documents"), carry=("doc_id",))
+    taken = F.aggregate("draws", F.lit(0).cast("bigint"), lambda total, d: total + d["n_words"])
+    return drawn.select("row.doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -68,6 +121,26 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules).drop("url")
 
 
+@query("op7_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edited(table(spark, sf_dir, "documents"))
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), path)
+    found = warc.read(spark, path, with_payload=False)
+    return found.select(F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+                        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
+@query("op9_line_templates")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs)
+
+
 OP10_SQL = r"""
 WITH item_words AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
@@ -113,3 +186,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
