@@ -41,12 +41,12 @@ CLOSES = {
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"},
          "th": {"table"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
 #: Never the article, whatever stands inside.
-STRANGE = set("""ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie
-cookies consent gdpr comment comments disqus reply replies respond related recommended recommendations newsletter subscribe
-subscription popup modal overlay share sharing social breadcrumb breadcrumbs pagination pager login signup
-paywall toast""".split())
+STRANGE = set("""ad ads adv advert adverts advertisement advertising adsbygoogle banner sponsor sponsored promo promotion
+cookie cookies consent gdpr comment comments commentlist disqus reply replies respond related recommended recommendations
+newsletter subscribe subscription popup modal overlay share sharing social breadcrumb breadcrumbs pagination pager login
+signup paywall toast""".split())
 #: Not the article, unless one stands inside.
-AROUND = set("""nav navbar navigation menu menus sidebar sidebars footer header masthead topbar toolbar widget widgets
+AROUND = set("""nav navbar navigation topnav sidenav subnav menu menus sidebar sidebars footer header masthead topbar toolbar widget widgets
 notice notices notification alert alerts announcement copyright legal disclaimer search skip aside""".split())
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog",
          "alert", "menu", "menubar", "toolbar"}
@@ -114,8 +114,10 @@ def _read_kind(tag: str, attributes: str) -> tuple[str, str, int]:
     elif tag not in ("html", "body") and tag not in INLINE:
         if names and not STRANGE.isdisjoint(names):
             out = "strange"
-        elif tag in ASIDE or role in ROLES or names and not AROUND.isdisjoint(names):
+        elif tag in ASIDE or role in ROLES:
             out = "around"
+        elif names and not (AROUND - {"header"} if not MAIN.isdisjoint(names) else AROUND).isdisjoint(names):
+            out = "around"  # an article's header holds its title
         if names and not out and not MAIN.isdisjoint(names):
             level = ARTICLE_LIKE
     elif tag in INLINE and names and not STRANGE.isdisjoint(names):
