@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -75,60 +76,54 @@ def _starts_record(chunk: bytes) -> bool | None:
     if chunk == EMPTY_MEMBER[3:]:
         return True
     try:
-        begin = zlib.decompressobj(31).decompress(MAGIC + chunk[:4096], 5)
+        begin = zlib.decompressobj(31).decompress(MAGIC + chunk[:1 << 16], 5)
     except zlib.error:
         return False
     return True if begin == b"WARC/" else None if b"WARC/".startswith(begin) else False
 
 
-def _inflate(member: bytes) -> bytes | None:
-    """The record in a member; None if the member isn't whole."""
-    unpack = zlib.decompressobj(31)
-    try:
-        data = unpack.decompress(member)
-    except zlib.error as broken:
-        raise ValueError(f"a record starts well but does not inflate: {broken}") from broken
-    return data if unpack.eof else None
+def _members(pieces: Iterable[bytes]) -> Iterator[tuple[bool, bytes]]:
+    """The members in bytes that begin with one: (True, what it inflates to), at last (False, the bytes of a cut one)."""
+    raw, unpack, data = [], zlib.decompressobj(31), []
+    for piece in pieces:
+        while piece:
+            raw.append(piece)
+            try:
+                data.append(unpack.decompress(piece))
+            except zlib.error as broken:
+                raise ValueError(f"a record does not inflate: {broken}") from broken
+            piece = b""
+            if unpack.eof:
+                piece = unpack.unused_data
+                yield True, b"".join(data)
+                raw, unpack, data = [], zlib.decompressobj(31), []
+    if raw:
+        yield False, b"".join(raw)
 
 
 def _range(chunks: Iterable[bytes]) -> Iterator[tuple[str, bytes]]:
     """The parts of a byte range's chunks, each of which stood behind a magic: ``tail`` (of a record that
-    started before), then each ``record``, inflated, and at most one ``open`` record, cut at the end."""
-    tail, member, unsure = [], None, b""
+    started before), then each ``record``, inflated, and at most one ``open`` record, cut at the end.
+
+    The first chunk that begins a record is found by its header; from there on the members follow one another.
+    """
+    chunks = iter(chunks)
+    seen: list[bytes] = []
+    unsure: list[int] = []
+    begin = None
     for chunk in chunks:
-        begins = _starts_record(unsure + MAGIC + chunk if unsure else chunk)
-        if unsure and begins is False:  # what was in doubt belongs to the record before
-            (tail if member is None else member).append(MAGIC + unsure)
-            unsure, begins = b"", _starts_record(chunk)
-        chunk = unsure + MAGIC + chunk if unsure else chunk
-        unsure = chunk if begins is None else b""
-        if begins:
-            if member is not None:
-                yield from _whole(member)
-            member = [MAGIC + chunk]
-        elif begins is False:
-            (tail if member is None else member).append(MAGIC + chunk)
-    if unsure and member is not None and _inflate(b"".join(member)) is not None:
-        yield from _whole(member)
-        member = [MAGIC + unsure]
-    elif unsure:
-        (tail if member is None else member).append(MAGIC + unsure)
-    if tail:
-        yield "tail", b"".join(tail)
-    if member is not None:
-        data = _inflate(joined := b"".join(member))
-        if data is None:
-            yield "open", joined
-        elif data:
-            yield "record", data
-
-
-def _whole(member: list[bytes]) -> Iterator[tuple[str, bytes]]:
-    data = _inflate(b"".join(member))
-    if data is None:
-        raise ValueError("a record ends early although another follows it")
-    if data:
-        yield "record", data
+        seen.append(MAGIC + chunk)
+        told = {i: _starts_record(b"".join(seen[i:])[len(MAGIC):]) for i in (*unsure, len(seen) - 1)}
+        unsure = [i for i, t in told.items() if t is None]
+        begin = next((i for i, t in told.items() if t), None)
+        if begin is not None:
+            break
+    if seen[:begin]:
+        yield "tail", b"".join(seen[:begin])
+    if begin is not None:
+        for whole, data in _members(chain(seen[begin:], (MAGIC + c for c in chunks))):
+            if data:
+                yield "record" if whole else "open", data
 
 
 def plan_records(pages: DataFrame, page_id="page_id", url="url", html="html", least=100) -> DataFrame:
@@ -228,15 +223,11 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame
     def stitch(parts: pd.DataFrame) -> pd.DataFrame:
         """The records of a file that were cut between ranges."""
         parts = parts.sort_values(["at", "kind"], ascending=[True, False])  # a range's tail, then its open record
-        out, member = [], None
-        for kind, data in zip(parts["kind"], parts["part"]):
-            member = data if member is None else member + data
-            data = _inflate(member)
-            if data is not None:
-                out += [_parse(data)] if data else []
-                member = None
-        if member is not None:
-            raise ValueError("the last record of a file is cut")
+        out = []
+        for whole, data in _members(parts["part"]):
+            if not whole:
+                raise ValueError("the last record of a file is cut")
+            out += [_parse(data)] if data else []
         made = pd.DataFrame(out, columns=[x.split()[0] for x in RECORD.split(", ")])
         if not with_payload:
             made["payload"] = None
