@@ -134,7 +134,7 @@ def drop_recurring_lines(
     text: str = "text",
     min_docs: int = 10,
     depth: int = 3,
-    constant: float = 0.5,
+    constant: float = 0.6,
     similarity: float = 0.8,
     least_tokens: int = 5,
 ) -> DataFrame:

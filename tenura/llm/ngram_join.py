@@ -32,7 +32,8 @@ BLOCK_TEXTS, BLOCK_WORDS = 2048, 500_000
 def band_plan(threshold: float, recall: float, most_hashes: int = 128) -> tuple[int, int]:
     """(bands, rows): the most rows in a band for which the wanted share of pairs at ``threshold`` meets."""
     for rows in range(most_hashes, 0, -1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
+        meets = threshold**rows
+        bands = 1 if meets == 1 else math.ceil(math.log1p(-recall) / math.log1p(-meets))
         if bands * rows <= most_hashes:
             return bands, rows
     raise ValueError(f"{most_hashes} hashes cannot reach a recall of {recall}")
