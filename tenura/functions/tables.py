@@ -1,17 +1,14 @@
-"""Small table helpers: literal tables, checked broadcast, lineage cuts, hot-key lookups."""
+"""Small table helpers: literal tables, lineage cuts."""
 
 from __future__ import annotations
 
 import json
 import tempfile
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-HOT_SHARE = 1000
-
 
 def q(name: str) -> Column:
     """A column by its exact name, whatever characters it holds."""
@@ -36,15 +33,13 @@ def literal_table(spark: SparkSession, rows: Sequence[Sequence], names: Sequence
     return spark.range(1).select(F.inline(parsed))
 
 
-def literal_map(table: Mapping[float, float]) -> Column:
-    """A constant double-to-double map."""
-    keys, values = (F.from_json(F.lit(json.dumps(list(x))), "array<double>") for x in
-                    (table.keys(), table.values()))
-    return F.map_from_arrays(keys, values)
-
-
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage through a reliable checkpoint."""
+    """Compute once and cut the lineage through a reliable checkpoint.
+
+    The folder is ``spark.checkpoint.dir``; only where that is unset, as in a local trial, a
+    temporary one is taken. With ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark removes
+    a checkpoint when nothing refers to it any more.
+    """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
@@ -55,42 +50,3 @@ def materialize(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="tenura-")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
-
-
-def lookup(
-    df: DataFrame,
-    table: DataFrame,
-    key: str,
-    value: str,
-    weight: str,
-    total: int,
-    out: str,
-    salt_on: Sequence[str],
-    table_key: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Left-join ``value`` from ``table`` (unique key) onto every row of ``df``.
-
-    ``weight`` is the number of rows of ``df`` per key and ``total`` their sum. A small
-    table is broadcast. Otherwise keys holding over 1/1000 of the rows (at most 1000 of
-    them) are broadcast and the rest is joined by shuffle; rows already matched get
-    a spread-out salt there, so no task receives a hot key.
-    """
-    side = table.select(
-        q(table_key or key).alias("__k"), q(value).alias("__v"), q(weight).alias("__w")
-    )
-    if side.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        small = F.broadcast(side.select("__k", F.col("__v").alias(out)))
-        return df.join(small, q(key).eqNullSafe(F.col("__k")), "left").drop("__k")
-    hot = F.col("__w") * HOT_SHARE > total
-    hot_side = side.filter(hot).select(F.col("__k").alias("__hk"), F.col("__v").alias("__hv"))
-    cold = side.filter(~hot).select("__k", "__v", F.lit(0).alias("__ks"))
-    spread = F.pmod(F.xxhash64(*[q(c) for c in salt_on]), F.lit(1 << 20)) + 1
-    salted = df.join(F.broadcast(hot_side), q(key) == F.col("__hk"), "left").withColumn(
-        "__s", F.when(F.col("__hk").isNotNull() | q(key).isNull(), spread).otherwise(0)
-    )
-    return (
-        salted.join(cold, (q(key) == F.col("__k")) & (F.col("__s") == F.col("__ks")), "left")
-        .withColumn(out, F.coalesce("__hv", "__v"))
-        .drop("__hk", "__hv", "__s", "__ks", "__k", "__v")
-    )

@@ -12,15 +12,12 @@ from pyspark.sql import functions as F
 
 from tenura import config
 from tenura.functions.columns import nan_to_null
-from tenura.functions.tables import (
-    BROADCAST_ROWS, literal_map, literal_table, lookup, materialize, q,
-)
+from tenura.functions.tables import literal_table, q
 from tenura.operators.ordered import ROWS_PER_BUCKET, average_rank, ordered_counts
 from tenura.operators.profile import to_long
 
-INLINE_VALUES = 100
+#: From this many listed pairs on, one matrix product replaces an aggregate for each pair.
 MANY_PAIRS = 50
-_ROWS = "|rows"
 
 
 def _correlate(df: DataFrame, pairs: Sequence[tuple[str, str, str, str]]) -> DataFrame:
@@ -60,84 +57,49 @@ def spearman(
     columns: Sequence[str],
     pairs: Sequence[tuple[str, str]] | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Spearman correlation per pair: average ranks among the rows where both are present.
 
-    Ranks are looked up by value. Columns with few distinct values get them as
-    constants in the plan; others through a size-checked join, so a row-level shuffle
-    happens only for columns with very many distinct values.
+    All columns are ranked together as (row, column, value): the ranks of the distinct
+    values are joined to the values, and one grouping puts the rows together again. So
+    values move twice, whatever the number of columns and of distinct values.
     """
     pairs = list(pairs or combinations(columns, 2))
     wide = df.select(*[nan_to_null(q(c).cast("double")).alias(c) for c in columns])
-    # a constant column counts the rows, which shows the columns that have gaps
-    ranks = _ranks(wide.withColumn(_ROWS, F.lit(0.0)), [*columns, _ROWS], rows_per_bucket)
-    sizes = _sizes(ranks)
-    rows = sizes.pop(_ROWS, (0, 0))[1]
-    holey = {c for c in columns if sizes.get(c, (0, 0))[1] < rows}
-    lookups = [(ranks, sizes)]
+    present = wide.agg(F.count(F.lit(1)).alias("|rows"), *[F.count(q(c)).alias(c) for c in columns])
+    filled = present.first().asDict()
+    rows = filled.pop("|rows")
+    holey = {c for c in columns if filled[c] < rows}
 
     def ranked_name(a: str, b: str) -> str:
+        """A column among the rows where the other has a value."""
         return f"{a}|{b}" if b in holey else a
 
-    if holey:
-        gaps = {ranked_name(a, b): (a, b) for x in pairs for a, b in (x, x[::-1]) if b in holey}
-        wide = wide.select(
-            "*", *[F.when(q(b).isNotNull(), q(a)).alias(name) for name, (a, b) in gaps.items()]
-        )
-        more = _ranks(wide, list(gaps), rows_per_bucket)
-        lookups.append((more, _sizes(more)))
+    gaps = {ranked_name(a, b): (a, b) for x in pairs for a, b in (x, x[::-1]) if b in holey}
+    wide = wide.select(
+        "*", *[F.when(q(b).isNotNull(), q(a)).alias(name) for name, (a, b) in gaps.items()]
+    )
+    used = sorted({ranked_name(a, b) for x in pairs for a, b in (x, x[::-1])})
+    ranked = _ranked(wide, used, rows_per_bucket)
     named = [
         (a, b, f"rank:{ranked_name(a, b)}", f"rank:{ranked_name(b, a)}") for a, b in pairs
     ]
-    used = {c.removeprefix("rank:") for pair in named for c in pair[2:]}
-    out = wide
-    for table, distinct in lookups:
-        out = _with_ranks(out, table, distinct, used, columns, broadcast_rows)
-    empty = [c for c in sorted(used) if f"rank:{c}" not in out.columns]
-    out = out.select("*", *[F.lit(None).cast("double").alias(f"rank:{c}") for c in empty])
     if holey or len(pairs) <= MANY_PAIRS or not rows:
-        return _correlate(out, named)
-    return _correlate_vectors(out, named)
+        return _correlate(ranked, named)
+    return _correlate_vectors(ranked, named)
 
 
-def _ranks(wide: DataFrame, columns: Sequence[str], rows_per_bucket: int) -> DataFrame:
+def _ranked(wide: DataFrame, columns: Sequence[str], rows_per_bucket: int) -> DataFrame:
+    """The columns ``rank:...`` of every row that has a value."""
+    numbered = wide.withColumn("|row", F.monotonically_increasing_id())
+    long = to_long(numbered, columns, ["|row"]).filter(F.col("value").isNotNull())
     counts = ordered_counts(
-        to_long(wide, columns), "value", ["column_name"], rows_per_bucket=rows_per_bucket
-    )
-    return materialize(
-        counts.select("column_name", "value", "n", "total", average_rank().alias("rank"))
-    )
-
-
-def _sizes(ranks: DataFrame) -> dict[str, tuple[int, int]]:
-    """Distinct values and rows per column; one row per listed column."""
-    per_column = ranks.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("distinct"), F.max("total").alias("total")
+        long.select("column_name", "value"), "value", ["column_name"], rows_per_bucket=rows_per_bucket
     )
-    return {r["column_name"]: (r["distinct"], r["total"]) for r in per_column.collect()}
-
-
-def _with_ranks(
-    df: DataFrame, ranks: DataFrame, sizes: dict, used: set, salt_on: Sequence[str], broadcast_rows
-) -> DataFrame:
-    few = [c for c, (distinct, _) in sizes.items() if c in used and distinct <= INLINE_VALUES]
-    constants: dict[str, dict] = {c: {} for c in few}
-    for r in ranks.filter(F.col("column_name").isin(few)).collect():
-        constants[r["column_name"]][r["value"]] = r["rank"]
-    # -0.0 and 0.0 are one group above, so adding 0.0 makes them one key here
-    by_constant = [
-        F.try_element_at(literal_map(table), q(c) + 0.0).alias(f"rank:{c}")
-        for c, table in constants.items()
-    ]
-    out = df.select("*", *by_constant)
-    for c, (_, total) in sizes.items():
-        if c in used and c not in constants:
-            table = ranks.filter(F.col("column_name") == c)
-            out = lookup(
-                out, table, c, "rank", "n", total, f"rank:{c}", salt_on, "value", broadcast_rows
-            )
-    return out
+    ranks = counts.select("column_name", "value", average_rank().alias("rank"))
+    joined = long.join(ranks, ["column_name", "value"])
+    cells = [F.max(F.when(F.col("column_name") == c, F.col("rank"))).alias(f"rank:{c}") for c in columns]
+    return joined.groupBy("|row").agg(*cells)
 
 
 def full_matrix(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:

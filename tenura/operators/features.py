@@ -16,7 +16,8 @@ def encode(df: DataFrame, strict: bool = True) -> DataFrame:
     """Codes for two- and three-valued columns, indicators for nominal ones.
 
     The first value of each nominal domain gets no indicator. The key column stays.
-    With ``strict`` an unmapped value fails the job; otherwise it becomes null.
+    With ``strict`` an unmapped value fails the job; otherwise it becomes null. A missing
+    nominal value has no indicator set, in both modes.
     """
     codes = {
         "gender": config.GENDER_CODES,
@@ -29,20 +30,30 @@ def encode(df: DataFrame, strict: bool = True) -> DataFrame:
         for n in df.columns
         if n not in config.ONE_HOT
     ]
-    return df.select(*kept, *one_hot(df, config.ONE_HOT))
+    return df.select(*kept, *one_hot(df, config.ONE_HOT, strict))
 
 
-def one_hot(df: DataFrame, domains: Mapping) -> list:
-    return [
-        C.indicator(q(column), value).alias(f"{column}_{value}")
-        for column, values in domains.items()
-        if column in df.columns
-        for value in sorted(values)[1:]
-    ]
+def one_hot(df: DataFrame, domains: Mapping, strict: bool = False) -> list:
+    """An indicator for each value but the first; with ``strict`` other values fail the job."""
+    out = []
+    for column, values in domains.items():
+        if column not in df.columns:
+            continue
+        message = F.concat(F.lit(f"unmapped value in {column}: "), q(column).cast("string"))
+        known = q(column).isNull() | q(column).isin(list(values))
+        for value in sorted(values)[1:]:
+            hit = C.indicator(q(column), value)
+            if strict:
+                hit = F.when(known, hit).otherwise(F.raise_error(message).cast("byte"))
+            out.append(hit.alias(f"{column}_{value}"))
+    return out
 
 
 def encode_rejects(df: DataFrame) -> DataFrame:
-    """Values that the strict encoding would refuse, counted per column."""
+    """Values that the strict encoding would refuse, counted per column.
+
+    A missing code is refused, a missing nominal value is not.
+    """
     domains = {
         "gender": list(config.GENDER_CODES),
         "PhoneService": list(config.YES_NO),
@@ -52,7 +63,12 @@ def encode_rejects(df: DataFrame) -> DataFrame:
     aggs = [
         F.count_if(~F.coalesce(q(c).isin(v), F.lit(False))).alias(c) for c, v in domains.items()
     ]
-    return df.agg(*aggs).unpivot([], list(domains), "column_name", "rejected")
+    aggs += [
+        F.count_if(q(c).isNotNull() & ~q(c).isin(list(v))).alias(c)
+        for c, v in config.ONE_HOT.items()
+    ]
+    names = [*domains, *config.ONE_HOT]
+    return df.agg(*aggs).unpivot([], names, "column_name", "rejected")
 
 
 def loyalty_means(df: DataFrame) -> dict[str, float]:
@@ -73,8 +89,9 @@ def add_engineered_features(
         & (q(config.CREDIT_CARD) == 0)
     )
     if means is None:
-        tenure_mean = df.select(F.avg("tenure")).scalar()
-        charge_mean = df.select(F.avg("MonthlyCharges")).scalar()
+        both = F.struct(F.avg("tenure").alias("tenure"), F.avg("MonthlyCharges").alias("charge"))
+        fitted = df.select(both).scalar()
+        tenure_mean, charge_mean = fitted["tenure"], fitted["charge"]
     else:
         tenure_mean, charge_mean = F.lit(means["tenure"]), F.lit(means["MonthlyCharges"])
     loyal = (q("tenure") > tenure_mean) & (q("MonthlyCharges") < charge_mean)

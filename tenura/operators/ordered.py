@@ -25,7 +25,7 @@ SKETCH_ACCURACY = 20_000
 
 def bucket_borders(counts: DataFrame, value: str, rows_per_bucket: int) -> list[float]:
     """Interior borders that leave about ``rows_per_bucket`` distinct rows in each bucket."""
-    buckets = min(MAX_BUCKETS, -(-counts.count() // rows_per_bucket))
+    buckets = -(-counts.count() // rows_per_bucket)
     if buckets <= 1:
         return []
     probs = [i / buckets for i in range(1, buckets)]

@@ -63,12 +63,11 @@ def segment_table(df: DataFrame) -> DataFrame:
 
 
 def segment_lookup(df: DataFrame) -> DataFrame:
-    """The same counts and rates, with the rate looked up by segment."""
-    counts = df.groupBy(F.col("risk").alias("segment")).agg(F.count(F.lit(1)).alias("count"))
-    rates = df.groupBy(F.col("risk").alias("segment")).agg(
-        (F.avg(config.LABEL) * 100).alias("churn_rate")
+    """Counts with the rate of each segment, from one grouping of the rows."""
+    grouped = df.groupBy(F.col("risk").alias("segment")).agg(
+        F.count(F.lit(1)).alias("count"), (F.avg(config.LABEL) * 100).alias("churn_rate")
     )
-    return counts.join(rates, "segment", "left")
+    return grouped.select("segment", "count", "churn_rate")
 
 
 def revenue_at_risk(df: DataFrame) -> DataFrame:

@@ -3,47 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura import config
-from tenura.functions.tables import literal_table, lookup, materialize, q
+from tenura.functions.tables import materialize, q
 
-HASH_RANGE = 1 << 32
-MAX_STRATA = 1000
+HASH_BITS, STEP_BITS = 60, 15
 
 
 def key_hash(key: str, seed: int) -> Column:
-    """The first 32 bits of md5(seed|key), as a number."""
+    """The first 60 bits of md5(seed|key), as a number."""
     digest = F.md5(F.concat(F.lit(f"{seed}|"), q(key).cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def _fractions(shares: Sequence[float]) -> list[float]:
-    ends, acc = [], 0.0
-    for share in shares:
-        acc += share
-        ends.append(acc)
-    return [e / acc for e in ends[:-1]]
-
-
-def _allocate(sizes: dict, share: float) -> dict:
-    """Rows per stratum for one part: proportional, with largest remainders topped up."""
-    whole = sum(sizes.values())
-    wanted = -(-whole * round(share * 1_000_000) // 1_000_000)
-    exact = {s: n * wanted / whole for s, n in sizes.items()}
-    out = {s: int(x) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (out[s] - exact[s], str(s)))
-    for s in order[: wanted - sum(out.values())]:
-        out[s] += 1
-    return out
+def _fractions(shares: Sequence[float | Fraction]) -> list[Fraction]:
+    """The running shares, as exact ratios; a float counts as the simple ratio it is nearest to."""
+    exact = [Fraction(s).limit_denominator(1_000_000_000) for s in shares]
+    ends = [sum(exact[: i + 1], Fraction(0)) for i in range(len(exact))]
+    return [e / ends[-1] for e in ends[:-1]]
 
 
 def assign_parts(
     df: DataFrame,
     names: Sequence,
-    shares: Sequence[float],
+    shares: Sequence[float | Fraction],
     out: str,
     key: str = config.KEY,
     stratum: str | None = config.LABEL,
@@ -53,88 +40,96 @@ def assign_parts(
     """Add a column naming the part each row falls in, by the hash of its key.
 
     ``approx`` cuts the hash range by the shares: a pure projection. ``exact`` finds, per
-    stratum, the hash that gives the wanted row count; only the cut points reach the driver.
+    stratum, the hash that gives the wanted row count; the table of cuts has a row per
+    stratum, a null stratum included, and is joined to the rows.
     Rows with equal hashes, so also rows with equal keys, always share a part.
     """
     h = key_hash(key, seed)
     ends = _fractions(shares)
-    if mode == "approx":
+
+    def part_of(ranges: Sequence[Column]) -> Column:
         part = F.lit(names[-1])
-        for name, end in reversed(list(zip(names, ends))):
-            part = F.when(h < int(end * HASH_RANGE), F.lit(name)).otherwise(part)
-        return df.withColumn(out, part)
+        for name, inside in reversed(list(zip(names, ranges))):
+            part = F.when(inside, F.lit(name)).otherwise(part)
+        return part
+
+    if mode == "approx":
+        limits = [int(end * (1 << HASH_BITS)) for end in ends]
+        return df.withColumn(out, part_of([h < limit for limit in limits]))
     if mode != "exact":
         raise ValueError("mode must be 'approx' or 'exact'")
-    level = F.coalesce(q(stratum).cast("string"), F.lit("")) if stratum else F.lit("all")
+    level = q(stratum) if stratum else F.lit("all")
     cuts = _exact_cuts(df.select(level.alias("s"), h.alias("h")), ends)
-    part = F.lit(None).cast("string" if isinstance(names[0], str) else "int")
-    for s, at in cuts.items():
-        inner = F.lit(names[-1])
-        for name, cut in reversed(list(zip(names, at))):
-            inner = F.when(h <= cut, F.lit(name)).otherwise(inner)
-        part = F.when(level == s, inner).otherwise(part)
-    return df.withColumn(out, part)
+    hashed = df.select("*", level.alias("__s"), h.alias("__h"))
+    joined = hashed.join(cuts, F.col("__s").eqNullSafe(F.col("s")), "left")
+    ranges = [F.col("__h") <= F.col(f"cut{i}") for i in range(len(ends))]
+    return joined.select(*[q(c) for c in df.columns], part_of(ranges).alias(out))
+
+
+def _wanted_rows(sizes: DataFrame, ends: Sequence[Fraction]) -> DataFrame:
+    """Rows up to each cut per stratum (s, cut, goal): proportional in whole numbers, with
+    the largest remainders topped up to the rounded-up total (ties by stratum)."""
+    each = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("cut"), F.lit(e.numerator).alias("num"), F.lit(e.denominator).alias("den")
+            )
+            for i, e in enumerate(ends)
+        ]
+    )
+    wide = "decimal(38,0)"
+    rows = sizes.crossJoin(sizes.agg(F.sum("n").alias("whole"))).select("s", "n", "whole", F.inline(each))
+    rows = rows.withColumn("wanted", F.expr(f"(cast(whole as {wide}) * num + den - 1) div den"))
+    rows = rows.withColumns(
+        {
+            "base": F.expr(f"(cast(n as {wide}) * wanted) div whole"),
+            "rest": F.expr(f"(cast(n as {wide}) * wanted) % whole"),
+        }
+    )
+    # one row per stratum and cut
+    by_rest = Window.partitionBy("cut").orderBy(F.desc("rest"), F.col("s").cast("string"))
+    missing = F.col("wanted") - F.sum("base").over(Window.partitionBy("cut"))
+    top_up = F.when(F.row_number().over(by_rest) <= missing, 1).otherwise(0)
+    return rows.select("s", "cut", (F.col("base") + top_up).cast("long").alias("goal"))
 
 
-def _exact_cuts(hashed: DataFrame, ends: Sequence[float]) -> dict[str, list[int]]:
-    """Per stratum, the hash at which each running share of its rows is reached.
+def _exact_cuts(hashed: DataFrame, ends: Sequence[Fraction]) -> DataFrame:
+    """Per stratum ``s`` the hash (``cut0``, ``cut1``, ...) at which each running share of its rows is reached.
 
-    The hash is selected half by half: rows are counted by its upper 16 bits, then, only
-    within the upper halves that hold a cut, by the lower 16. Both counts combine on
-    the map side, and neither has more than 65,536 rows per stratum or cut.
+    The hash is selected 15 bits at a time: rows are counted by the next bits, only where
+    the bits before hold a cut. Counts combine on the map side, and there are at most
+    32,768 for each stratum and cut. The input is evaluated once.
     """
-    earlier = (Window.unboundedPreceding, -1)
-    coarse = materialize(
-        hashed.groupBy("s", F.shiftright("h", 16).alias("hi")).agg(F.count(F.lit(1)).alias("n"))
+    hashed = materialize(hashed)
+    sizes = hashed.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    found = _wanted_rows(sizes, ends).select(
+        "s", "cut", "goal", F.lit(0).cast("long").alias("bits"), F.lit(0).cast("long").alias("before")
     )
-    sizes = {
-        r["s"]: r["n"]
-        for r in coarse.groupBy("s").agg(F.sum("n").alias("n")).limit(MAX_STRATA + 1).collect()
-    }
-    if len(sizes) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata")
-    if not sizes:
-        return {}
-    wanted = [_allocate(sizes, end) for end in ends]
-    goals = literal_table(
-        hashed.sparkSession,
-        [(s, i, w[s]) for s in sizes for i, w in enumerate(wanted)],
-        ["s", "cut", "goal"],
-    )
-    before = F.coalesce(
-        F.sum("n").over(Window.partitionBy("s").orderBy("hi").rowsBetween(*earlier)), F.lit(0)
-    )
-    reached = (F.col("before") < F.col("goal")) & (F.col("before") + F.col("n") >= F.col("goal"))
-    targets = (
-        coarse.withColumn("before", before)
-        .join(F.broadcast(goals), "s")
-        .filter(reached)
-        .select("s", "cut", "hi", "before", "goal")
-        .collect()
-    )
-    found = {s: [-1] * len(ends) for s in sizes}
-    if not targets:
-        return found
-    halves = literal_table(hashed.sparkSession, [tuple(t) for t in targets], list(targets[0].asDict()))
-    fine = (
-        hashed.withColumn("hi", F.shiftright("h", 16))
-        .join(F.broadcast(halves.select("s", "hi").distinct()), ["s", "hi"], "left_semi")
-        .groupBy("s", "hi", "h")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    inside = F.coalesce(
-        F.sum("n").over(Window.partitionBy("s", "hi").orderBy("h").rowsBetween(*earlier)), F.lit(0)
-    )
-    exact = (
-        fine.withColumn("inside", inside)
-        .join(F.broadcast(halves), ["s", "hi"])
-        .withColumn("before", F.col("before") + F.col("inside"))
-        .filter(reached)
-        .select("s", "cut", "h")
-    )
-    for r in exact.collect():
-        found[r["s"]][r["cut"]] = r["h"]
-    return found
+    earlier = (Window.unboundedPreceding, -1)
+    for step in range(1, HASH_BITS // STEP_BITS + 1):
+        shift = HASH_BITS - step * STEP_BITS
+        found = materialize(found)
+        known = found.select(F.col("s").alias("s0"), F.col("bits").alias("b0")).distinct()
+        at = hashed.select("s", F.shiftright("h", shift).alias("bits"))
+        inside = at.join(
+            known,
+            F.col("s").eqNullSafe(F.col("s0")) & (F.shiftright("bits", STEP_BITS) == F.col("b0")),
+            "left_semi",
+        )
+        counts = inside.groupBy("s", "bits").agg(F.count(F.lit(1)).alias("n"))
+        group = Window.partitionBy("s", F.shiftright("bits", STEP_BITS)).orderBy("bits")
+        counts = counts.select(
+            F.col("s").alias("s1"), F.col("bits").alias("b1"), "n",
+            F.coalesce(F.sum("n").over(group.rowsBetween(*earlier)), F.lit(0)).alias("less"),
+        )
+        same = F.col("s").eqNullSafe(F.col("s1")) & (F.shiftright("b1", STEP_BITS) == F.col("bits"))
+        need = F.col("goal") - F.col("before")
+        found = found.join(counts, same).filter((F.col("less") < need) & (F.col("less") + F.col("n") >= need))
+        found = found.select(
+            "s", "cut", "goal", F.col("b1").alias("bits"), (F.col("before") + F.col("less")).alias("before")
+        )
+    at = [F.max(F.when(F.col("cut") == i, F.col("bits"))).alias(f"cut{i}") for i in range(len(ends))]
+    return found.groupBy("s").agg(*at)
 
 
 def train_test_split(
@@ -160,18 +155,18 @@ def assign_folds(
 ) -> DataFrame:
     """Add ``fold`` 0 … folds-1, independent of the train/test hash."""
     return assign_parts(
-        df, list(range(folds)), [1 / folds] * folds, "fold", key, stratum, seed, mode
+        df, list(range(folds)), [Fraction(1, folds)] * folds, "fold", key, stratum, seed, mode
     )
 
 
 def overlap(left: DataFrame, right: DataFrame, key: str = config.KEY) -> DataFrame:
     """Keys of the left table that occur in the right one."""
-    return left.join(right.select(q(key)).distinct(), key, "left_semi")
+    return left.join(right.select(q(key)), key, "left_semi")
 
 
 def uncovered(whole: DataFrame, parts: DataFrame, key: str = config.KEY) -> DataFrame:
     """Keys of the whole table that no part holds."""
-    return whole.join(parts.select(q(key)).distinct(), key, "left_anti")
+    return whole.join(parts.select(q(key)), key, "left_anti")
 
 
 def category_shares(df: DataFrame, column: str) -> DataFrame:
@@ -192,13 +187,9 @@ def frequency_encode(
 
 
 def apply_shares(df: DataFrame, shares: DataFrame, column: str) -> DataFrame:
-    """Left lookup of fitted shares, in place of the category.
-
-    The fitted table is checkpointed; its size decides how the lookup is joined.
-    """
-    fitted = materialize(shares)
-    total = fitted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    joined = lookup(df, fitted, column, "share", "n", total, "__share", df.columns)
+    """Left join of fitted shares, in place of the category; the join is left to the planner."""
+    fitted = shares.select(q(column).alias("__category"), F.col("share").alias("__share"))
+    joined = df.join(fitted, q(column) == F.col("__category"), "left")
     return joined.select(
         *[F.col("__share").alias(column) if c == column else q(c) for c in df.columns]
     )

@@ -42,6 +42,8 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         "OnlineSecurity": F.when((net == "No") & (q("SeniorCitizen") == 1), "Yes")
         .when((net == "DSL") & (tenure == 55), "No internet service")
         .otherwise(q("OnlineSecurity")),
+        "InternetService": F.when(tenure == 41, "Satellite").when(tenure != 42, net),
+        "PaymentMethod": F.when(tenure == 40, "Crypto").otherwise(q("PaymentMethod")),
         "MonthlyCharges": F.when(bill > 110, -bill).otherwise(bill),
         "TotalCharges": F.when(bill < 30, "n/a")
         .when(tenure == 50, "12d")
@@ -62,6 +64,8 @@ dirty AS (
     CASE WHEN "InternetService" = 'No' AND "SeniorCitizen" = 1 THEN 'Yes'
          WHEN "InternetService" = 'DSL' AND tenure = 55 THEN 'No internet service'
          ELSE "OnlineSecurity" END AS "OnlineSecurity",
+    CASE WHEN tenure = 41 THEN 'Satellite' WHEN tenure <> 42 THEN "InternetService" END AS "InternetService",
+    CASE WHEN tenure = 40 THEN 'Crypto' ELSE "PaymentMethod" END AS "PaymentMethod",
     CASE WHEN "MonthlyCharges" > 110 THEN -"MonthlyCharges" ELSE "MonthlyCharges" END AS "MonthlyCharges",
     CASE WHEN "MonthlyCharges" < 30 THEN 'n/a' WHEN tenure = 50 THEN '12d' WHEN tenure = 51 THEN ' 7.5 '
          WHEN tenure = 52 THEN '-3' ELSE "TotalCharges" END AS "TotalCharges")
@@ -74,6 +78,18 @@ checked AS (
 )"""
 
 
+def repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty accounts, with some of them a second and a third time."""
+    df = dirty(spark, sf_dir)
+    again = df.filter((q("tenure") < 20) | q("gender").isNull())
+    return df.unionByName(again).unionByName(again.filter(q("tenure") < 10))
+
+
+REPEATED_SQL = """
+again AS (SELECT * FROM dirty WHERE tenure < 20 OR gender IS NULL),
+repeated AS (SELECT * FROM dirty UNION ALL SELECT * FROM again UNION ALL SELECT * FROM again WHERE tenure < 10)"""
+
+
 def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts scored by three fixed rules, shaped like classifier output."""
     df = segments.with_risk(featured(spark, sf_dir))

@@ -102,23 +102,31 @@ def padded_yes_no(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty.select(KEY, C.trimmed_yes_no(padded).alias("Partner"))
 
 
+_REJECTED = """SELECT '{c}' AS column_name, count(*) FILTER (WHERE {bad}) AS rejected FROM dirty"""
+
+
+def _listed(column: str, values) -> str:
+    return f'"{column}" IN (' + ", ".join(f"'{v}'" for v in values) + ")"
+
+
 @query(
     "encode_rejects",
     with_stage(
         "raw",
         " UNION ALL ".join(
-            f"""SELECT '{c}' AS column_name,
-                count(*) FILTER (WHERE NOT coalesce("{c}" IN ({", ".join(f"'{v}'" for v in ok)}), false))
-                AS rejected FROM dirty"""
-            for c, ok in {
-                "gender": ["Male", "Female"],
-                "PhoneService": ["Yes", "No"],
-                "PaperlessBilling": ["Yes", "No"],
-                **{
-                    c: ["Yes", "No", "No internet service", "No phone service"]
-                    for c in config.TERNARY
-                },
-            }.items()
+            [
+                _REJECTED.format(c=c, bad=f"NOT coalesce({_listed(c, ok)}, false)")
+                for c, ok in {
+                    "gender": config.GENDER_CODES,
+                    "PhoneService": config.YES_NO,
+                    "PaperlessBilling": config.YES_NO,
+                    **{c: config.TERNARY_CODES for c in config.TERNARY},
+                }.items()
+            ]
+            + [
+                _REJECTED.format(c=c, bad=f"NOT {_listed(c, ok)}")
+                for c, ok in config.ONE_HOT.items()
+            ]
         ),
         inputs.DIRTY_SQL,
     ),
@@ -197,7 +205,7 @@ def cost_per_service_or_null(spark: SparkSession, sf_dir: str) -> DataFrame:
              AND "MonthlyCharges" < (SELECT avg("MonthlyCharges") FROM halves WHERE split = 'train')
              THEN 1 ELSE 0 END AS value FROM featured""",
         """
-halves AS (SELECT *, CASE WHEN ('0x' || substr(md5('42|' || "customerID"), 1, 8))::BIGINT < 858993459
+halves AS (SELECT *, CASE WHEN ('0x' || substr(md5('42|' || "customerID"), 1, 15))::BIGINT < 230584300921369395
                      THEN 'test' ELSE 'train' END AS split FROM featured)""",
     ),
 )
@@ -378,10 +386,11 @@ def sample_missing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- splits -------------------------------------------------------------------------
 
-HASH_SQL = """('0x' || substr(md5('{seed}|' || "customerID"), 1, 8))::BIGINT"""
+HASH_SQL = """('0x' || substr(md5('{seed}|' || "customerID"), 1, 15))::BIGINT"""
+FIFTHS = [(i << 60) // 5 for i in range(1, 5)]
 SPLIT_SQL = f"""
 parted AS (
-  SELECT *, CASE WHEN {HASH_SQL.format(seed=42)} < 858993459 THEN 'test' ELSE 'train' END AS split
+  SELECT *, CASE WHEN {HASH_SQL.format(seed=42)} < {FIFTHS[0]} THEN 'test' ELSE 'train' END AS split
   FROM featured
 )"""
 
@@ -395,8 +404,8 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(KEY, "Churn", "split")
 
 
-def _exact_sql(seed: int, parts: int, share: float, name: str, last: str) -> str:
-    """Rows in hash order per class; the first share (or fifths) of each class."""
+def _exact_sql(seed: int) -> str:
+    """Rows in hash order per class, and the sizes of the classes."""
     return f"""
 hashed AS (SELECT "customerID", "Churn", {HASH_SQL.format(seed=seed)} AS h FROM cleaned),
 placed AS (SELECT *, row_number() OVER (PARTITION BY "Churn" ORDER BY h) AS place FROM hashed),
@@ -409,7 +418,7 @@ sizes AS (SELECT "Churn", count(*) AS size, sum(count(*)) OVER () AS whole FROM
         "cleaned",
         """SELECT "customerID", "Churn", CASE WHEN place <= take THEN 'test' ELSE 'train' END AS split
            FROM placed JOIN taken USING ("Churn")""",
-        _exact_sql(42, 2, 0.2, "test", "train"),
+        _exact_sql(42),
         """
 wanted AS (SELECT "Churn", ceil(whole * 0.2) AS total_take, size * ceil(whole * 0.2) / whole AS exact_take FROM sizes),
 taken AS (
@@ -429,8 +438,8 @@ def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     "hash_folds",
     with_stage(
         "cleaned",
-        f"""SELECT "customerID", "Churn", CASE WHEN h < 858993459 THEN 0 WHEN h < 1717986918 THEN 1
-              WHEN h < 2576980377 THEN 2 WHEN h < 3435973836 THEN 3 ELSE 4 END AS fold
+        f"""SELECT "customerID", "Churn", CASE WHEN h < {FIFTHS[0]} THEN 0 WHEN h < {FIFTHS[1]} THEN 1
+              WHEN h < {FIFTHS[2]} THEN 2 WHEN h < {FIFTHS[3]} THEN 3 ELSE 4 END AS fold
             FROM (SELECT "customerID", "Churn", {HASH_SQL.format(seed=43)} AS h FROM cleaned) AS t""",
     ),
 )
@@ -447,7 +456,7 @@ def hash_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
              SELECT "Churn", CASE WHEN place <= c0 THEN 0 WHEN place <= c1 THEN 1 WHEN place <= c2 THEN 2
                                   WHEN place <= c3 THEN 3 ELSE 4 END AS fold
              FROM placed JOIN cuts USING ("Churn")) AS t GROUP BY 1, 2""",
-        _exact_sql(43, 5, 0.2, "", ""),
+        _exact_sql(43),
         """
 shares AS (SELECT unnest([1, 2, 3, 4]) AS j),
 wanted AS (SELECT "Churn", j, ceil(whole * j / 5) AS total_take, size * ceil(whole * j / 5) / whole AS exact_take
@@ -474,7 +483,8 @@ def exact_fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "featured",
         """SELECT (SELECT count(*) FROM parted WHERE split = 'train' AND "customerID" IN
                      (SELECT "customerID" FROM parted WHERE split = 'test')) AS shared,
-                  0 AS uncovered""",
+                  (SELECT count(*) FROM featured WHERE "customerID" NOT IN
+                     (SELECT "customerID" FROM parted WHERE split IN ('train', 'test'))) AS uncovered""",
         SPLIT_SQL,
     ),
 )

@@ -136,3 +136,15 @@ def test_texts(spark):
 def test_encoding_is_repeatable(cleaned):
     first, second = (rows_of(features.encode(cleaned).orderBy("customerID")) for _ in range(2))
     assert first == second
+
+
+def test_unknown_nominal_values(spark, cleaned):
+    odd = cleaned.withColumn("PaymentMethod", F.when(F.col("customerID") == "A-01", "Crypto").otherwise(F.col("PaymentMethod")))
+    odd = odd.withColumn("InternetService", F.when(F.col("customerID") != "A-02", F.col("InternetService")))
+    rejected = {r["column_name"]: r["rejected"] for r in features.encode_rejects(odd).collect()}
+    assert rejected["PaymentMethod"] == 1 and rejected["InternetService"] == 0 and len(rejected) == 12
+    with pytest.raises(Exception, match="unmapped value in PaymentMethod: Crypto"):
+        features.encode(odd).collect()
+    lenient = {r["customerID"]: r for r in features.encode(odd, strict=False).collect()}
+    assert lenient["A-01"]["PaymentMethod_Mailed check"] == 0
+    assert lenient["A-02"]["InternetService_No"] == 0

@@ -1,3 +1,5 @@
+from fractions import Fraction
+
 import pytest
 from conftest import by_key
 from pyspark.sql import functions as F
@@ -33,8 +35,10 @@ def test_exact_split_sizes(people):
     assert sizes == {(0, "test"): 750, (1, "test"): 250, (0, "train"): 3000, (1, "train"): 1000}
 
 
-def test_exact_sizes_follow_the_largest_remainder():
-    assert splits._allocate({"0": 5174, "1": 1869}, 0.2) == {"0": 1035, "1": 374}
+def test_exact_sizes_follow_the_largest_remainder(spark):
+    sizes = spark.createDataFrame([("0", 5174), ("1", 1869)], "s string, n bigint")
+    wanted = splits._wanted_rows(sizes, [Fraction(1, 5)])
+    assert by_key(wanted, "s", "goal") == {"0": 1035, "1": 374}
 
 
 @pytest.mark.parametrize("mode,slack", [("approx", 120), ("exact", 1)])
@@ -89,14 +93,16 @@ def test_unseen_category_is_null(spark):
     assert sorted(got, key=str) == [1.0, None, None]
 
 
-def test_lookup_without_broadcast_spreads_hot_keys(spark):
-    from tenura.functions.tables import lookup
+def test_exact_shares_are_ratios(spark):
+    df = spark.range(3_000_000).select(F.col("id").cast("string").alias("customerID"), F.lit(1).alias("Churn"))
+    parts = splits.assign_parts(df, ["a", "b", "c"], [1 / 3] * 3, "part", mode="exact")
+    assert {r["part"]: r["count"] for r in parts.groupBy("part").count().collect()} == {"a": 1_000_000, "b": 1_000_000, "c": 1_000_000}
+
 
-    df = spark.range(3000).select(
-        "id", F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 50 == 1, None).otherwise(F.col("id")).alias("k")
-    )
-    table = df.filter("k IS NOT NULL").groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.col("k") * 2)
-    out = lookup(df, table, "k", "v", "n", 3000, "got", ["id"], broadcast_rows=0)
-    rows = out.collect()
-    assert len(rows) == 3000
-    assert all(r["got"] == (None if r["k"] is None else r["k"] * 2) for r in rows)
+def test_missing_and_empty_strata_are_two(spark):
+    rows = [(f"K{i}", None if i < 10 else "" if i < 20 else "x") for i in range(60)]
+    df = spark.createDataFrame(rows, "customerID string, Churn string")
+    parts = splits.train_test_split(df, 0.2, mode="exact")
+    found = {r["Churn"]: r["n"] for r in parts.filter("split = 'test'").groupBy("Churn").agg(F.count("*").alias("n")).collect()}
+    assert found == {None: 2, "": 2, "x": 8}
+    assert parts.count() == 60 and splits.train_test_split(df.limit(0), mode="exact").count() == 0

@@ -178,12 +178,12 @@ def test_pearson_skips_missing_pairs(table):
         assert r == pytest.approx(want.loc[a, b])
 
 
-@pytest.mark.parametrize("per_bucket,broadcast_rows", [(1_000_000, 100_000), (50, 0)])
-def test_spearman_ranks_complete_pairs(table, per_bucket, broadcast_rows):
+@pytest.mark.parametrize("per_bucket", [1_000_000, 50])
+def test_spearman_ranks_complete_pairs(table, per_bucket):
     """The second case ranks over many buckets and joins ranks by shuffle with hot values."""
     want = FRAME[COLUMNS].corr(method="spearman")
     got = correlation.spearman(
-        table, COLUMNS, rows_per_bucket=per_bucket, broadcast_rows=broadcast_rows
+        table, COLUMNS, rows_per_bucket=per_bucket
     )
     for (a, b), r in _pairs(got).items():
         assert r == pytest.approx(want.loc[a, b])
@@ -226,3 +226,17 @@ def test_square_matrix(table):
     square = correlation.full_matrix(correlation.pearson(table, ["w", "i"]), ["w", "i"])
     rows = {r["col_a"]: r for r in square.collect()}
     assert rows["w"]["w"] == 1.0 and rows["w"]["i"] == rows["i"]["w"]
+
+
+def test_density_of_shared_cells(spark):
+    """Within the stated bound of the exact curve."""
+    df = spark.range(3000).select((F.rand(3) * 50 + F.randn(4) * 5).alias("x"))
+    df = spark.createDataFrame(df.collect(), "x double")
+    exact = {r["point"]: r["density"] for r in profile.kernel_density(df, "x").withColumn("point", F.round("x", 6)).collect()}
+    for cells in (50, 1000):
+        got = {r["point"]: r["density"] for r in profile.kernel_density(df, "x", cells=cells).withColumn("point", F.round("x", 6)).collect()}
+        assert set(got) == set(exact)
+        span, spread = df.agg(F.max("x") - F.min("x"), F.stddev("x")).first()
+        bandwidth = spread * 3000 ** -0.2
+        bound = (span / cells / bandwidth) ** 2 / 8 / (bandwidth * 2.5066282746310002)
+        assert max(abs(got[k] - exact[k]) for k in exact) <= bound
