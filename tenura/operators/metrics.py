@@ -85,14 +85,24 @@ def scoreboard(
     """The five standard and, where charges are known, the two business metrics per group.
 
     One pass over the scored rows: counts and charges are tallied per distinct probability.
+    Rows without a label are left out; those without a prediction are in no cell of the
+    confusion matrix but count for the area.
     """
     keys = list(keys)
     part = [q(k) for k in keys]
-    label, hit = q("label") == 1, q("prediction") == 1
+    df = df.filter(q("label").isNotNull())
+    label = q("label") == 1
+    hit, miss = q("prediction") == 1, q("prediction") == 0
+
+    def tally(cond: Column) -> Column:
+        return F.coalesce(cond, F.lit(False)).cast("long")
+
     tallies = {
         "pos": label.cast("long"),
-        "tp": (label & hit).cast("long"),
-        "fp": (~label & hit).cast("long"),
+        "tp": tally(label & hit),
+        "fp": tally(~label & hit),
+        "fn": tally(label & miss),
+        "tn": tally(~label & miss),
     }
     charged = "MonthlyCharges" in df.columns
     if charged:
@@ -100,22 +110,15 @@ def scoreboard(
         known = q("MonthlyCharges").isNotNull()
         tallies |= {
             "tp_money": F.when(label & hit, charge).otherwise(0.0),
-            "fn_money": F.when(label & ~hit, charge).otherwise(0.0),
-            "tp_known": (label & hit & known).cast("long"),
-            "fn_known": (label & ~hit & known).cast("long"),
+            "fn_money": F.when(label & miss, charge).otherwise(0.0),
+            "tp_known": tally(label & hit & known),
+            "fn_known": tally(label & miss & known),
         }
     counts = ordered_counts(df, "probability", keys, tallies, rows_per_bucket)
     sums = counts.groupBy(*part).agg(
         *rank_sums(), *[F.sum(t).alias(f"{t}_") for t in tallies if t != "pos"]
     )
-    cells = sums.withColumns(
-        {
-            "tp": F.col("tp_"),
-            "fp": F.col("fp_"),
-            "fn": F.col("__pos") - F.col("tp_"),
-            "tn": F.col("__total") - F.col("__pos") - F.col("fp_"),
-        }
-    )
+    cells = sums.withColumns({c: F.col(f"{c}_") for c in ("tp", "fp", "fn", "tn")})
     area = area_from_sums().alias("ROC-AUC")
     extra = []
     if charged:

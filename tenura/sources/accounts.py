@@ -11,21 +11,31 @@ from tenura.functions.tables import literal_table, q
 
 
 def read_accounts(spark: SparkSession, path: str) -> DataFrame:
-    """Every CSV file of a folder, with header, under the declared schema (no inference pass)."""
-    return (
-        spark.read.schema(config.RAW_SCHEMA)
-        .option("header", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-
-
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A written table; a missing one is a clear error."""
+    """Every CSV file of a folder, columns by the names in the header, in the declared order.
+
+    Only the header line is read ahead. A missing column, a file whose header differs from
+    the first one's, and a value that does not fit its type are errors.
+    """
+    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
+    header = reader.csv(path).columns
+    missing = [c for c in config.RAW_SCHEMA.fieldNames() if c not in header]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    rows = reader.schema(texts).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    return rows.select(*[q(f.name).cast(f.dataType).alias(f.name) for f in config.RAW_SCHEMA])
+
+
+def read_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+) -> DataFrame:
+    """A written table; a missing one is a clear error.
+
+    CSV columns are text unless a schema is given, which the header must then match.
+    """
     reader = spark.read.option("header", True)
-    if fmt == "csv":
-        reader = reader.option("inferSchema", True)
+    if schema is not None:
+        reader = reader.schema(schema).option("enforceSchema", False)
     try:
         return reader.format(fmt).load(path)
     except AnalysisException as err:

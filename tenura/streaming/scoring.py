@@ -19,7 +19,9 @@ from tenura.plans.churn import featured_accounts
 
 
 def stream_accounts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(config.RAW_SCHEMA).option("header", True).csv(path)
+    """CSV files as they arrive; one whose header is not in the declared order is an error."""
+    reader = spark.readStream.schema(config.RAW_SCHEMA).option("header", True)
+    return reader.option("enforceSchema", False).csv(path)
 
 
 def score_stream(

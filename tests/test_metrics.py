@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows_of
 
 from tenura.operators import metrics
@@ -99,3 +100,15 @@ def test_scorecard_and_best(spark):
 def test_spread_is_over_the_population(spark):
     df = spark.createDataFrame([(1.0,), (3.0,)], "F1 double")
     assert rows_of(metrics.mean_and_spread(df, ["F1"])) == [(2.0, 1.0)]
+
+
+def test_missing_labels_and_predictions(spark):
+    rows = [(None, 1, 0.9, 10.0), (0, 1, 0.8, 10.0), (1, 1, 0.7, 20.0), (1, None, 0.6, 30.0), (0, 0, 0.1, 5.0)]
+    df = spark.createDataFrame(rows, "label int, prediction int, probability double, MonthlyCharges double")
+    df = df.withColumn("Model", F.lit("m"))
+    board = metrics.scoreboard(df).first()
+    cells = metrics.from_confusion(metrics.confusion(df)).first()
+    for name in ("Accuracy", "Precision", "Recall", "F1"):
+        assert board[name] == pytest.approx(cells[name])
+    assert board["Accuracy"] == pytest.approx(2 / 3) and board["Revenue_Leakage"] == 0.0
+    assert board["ROC-AUC"] == pytest.approx(0.5)

@@ -91,3 +91,26 @@ def test_stream_scores_like_a_batch(spark, raw, encoded, tmp_path):
     got = {r["customerID"]: r["probability"] for r in spark.table("scores").collect()}
     assert got == pytest.approx(want)
     assert churn.risk_view(features.add_engineered_features(encoded)).count() >= 1
+
+
+def test_csv_columns_go_by_name(spark, raw, tmp_path):
+    """A file whose header is in another order loads the same; a second, differing header is an error."""
+    names = list(reversed(raw.columns))
+    raw.select(names).coalesce(1).write.option("header", True).csv(str(tmp_path / "turned"))
+    got = accounts.read_accounts(spark, str(tmp_path / "turned"))
+    assert got.schema == config.RAW_SCHEMA or got.columns == raw.columns
+    assert got.filter("customerID = 'A-02'").first()["Partner"] == "Yes"
+    assert got.filter("customerID = 'A-02'").first()["Dependents"] == "Yes"
+    assert got.select("customerID", "Partner", "Dependents", "MonthlyCharges").exceptAll(
+        raw.select("customerID", "Partner", "Dependents", "MonthlyCharges")).count() == 0
+    raw.coalesce(1).write.option("header", True).csv(str(tmp_path / "other"))
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    for i, name in enumerate(("turned", "other")):
+        part = next((tmp_path / name).glob("*.csv"))
+        (folder / f"{i}.csv").write_text(part.read_text())
+    with pytest.raises(Exception, match="(?i)header|column"):
+        accounts.read_accounts(spark, str(folder)).collect()
+    with pytest.raises(ValueError, match="no column Churn"):
+        raw.drop("Churn").coalesce(1).write.option("header", True).csv(str(tmp_path / "short"))
+        accounts.read_accounts(spark, str(tmp_path / "short"))
