@@ -26,19 +26,38 @@ from tenura.operators import metrics
 from tenura.operators.rates import balanced_weights
 
 LABEL, WEIGHT, FEATURES = "label", "weight", "features"
+#: Candidate cuts of a feature in the tree families, a documented bound of the fits.
 MAX_BINS = 128
 SCORED_TOGETHER = 40
 
 
-def add_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Balanced class weights as a column; the two-row weight table is fitted first."""
-    fitted = {r[label]: r["weight"] for r in balanced_weights(df, label).limit(3).collect()}
+def _with_weights(df: DataFrame, fitted: Mapping[int, float], label: str) -> DataFrame:
     if set(fitted) - {0, 1}:
         raise ValueError("the label must be 0 or 1")
     weight = F.when(q(label) == 1, F.lit(fitted.get(1, 0.0))).otherwise(F.lit(fitted.get(0, 0.0)))
     return df.withColumn(WEIGHT, weight)
 
 
+def add_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
+    """Balanced class weights as a column; the two-row weight table is fitted first."""
+    fitted = {r[label]: r["weight"] for r in balanced_weights(df, label).limit(3).collect()}
+    return _with_weights(df, fitted, label)
+
+
+def fold_weights(train: DataFrame, folds: int) -> list[dict[int, float]]:
+    """The balanced class weights of every fold's complement, from one count by fold and class."""
+    sizes = train.filter(q(LABEL).isNotNull()).groupBy("fold", LABEL).count().collect()
+    out = []
+    for i in range(folds):
+        rows: dict[int, int] = {}
+        for r in sizes:
+            if r["fold"] != i:
+                rows[r[LABEL]] = rows.get(r[LABEL], 0) + r["count"]
+        whole = sum(rows.values())
+        out.append({c: whole / (len(rows) * n) for c, n in rows.items()})
+    return out
+
+
 def assemble(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")
 
@@ -141,19 +160,31 @@ def cross_validate(
     threads: int = 4,
     threshold: float | None = None,
     with_auc: bool = True,
-    holdout: bool = False,
 ) -> DataFrame:
     """Per candidate and fold: accuracy, precision, recall, F1 (and AUC).
 
     ``jobs`` pairs a candidate with a function from the total weight to an estimator. Each
     is fitted on every fold's complement; the held-out scores of up to ``SCORED_TOGETHER``
-    fits are measured in one grouped job. Only the metric rows reach the driver. With
-    ``holdout`` the first fold alone is scored: one fit per candidate.
+    fits are measured in one grouped job. Only the metric rows reach the driver. The rows are
+    assembled once and kept while the folds are fitted; the weights come from one count.
     """
     keys = ["candidate", "fold"]
-    scored_folds = range(1 if holdout else folds)
-    weighted = [add_weights(train.filter(F.col("fold") != i)) for i in scored_folds]
-    totals = [part.agg(F.sum(WEIGHT)).first()[0] for part in weighted]
+    train = train.persist()
+    try:
+        return _cross_validated(train, jobs, folds, threads, threshold, with_auc, keys)
+    finally:
+        train.unpersist()
+
+
+def _cross_validated(train, jobs, folds, threads, threshold, with_auc, keys) -> DataFrame:
+    fitted = fold_weights(train, folds)
+    weighted = [
+        _with_weights(train.filter((F.col("fold") != i) & q(LABEL).isNotNull()), fitted[i], LABEL)
+        for i in range(folds)
+    ]
+    # the balanced weights of a set add up to its number of rows
+    counts = dict(train.filter(q(LABEL).isNotNull()).groupBy("fold").count().collect())
+    totals = [float(sum(n for k, n in counts.items() if k != i)) for i in range(folds)]
 
     def one(item):
         (name, make), i = item
@@ -161,7 +192,7 @@ def cross_validate(
         held_out = train.filter(F.col("fold") == i).select(LABEL, "fold", FEATURES)
         return score(model, held_out, threshold).withColumn("candidate", F.lit(name))
 
-    items = [(job, i) for job in jobs for i in scored_folds]
+    items = [(job, i) for job in jobs for i in range(folds)]
     rows = []
     for at in range(0, len(items), SCORED_TOGETHER):
         parts = _in_threads(one, items[at : at + SCORED_TOGETHER], threads)
@@ -180,24 +211,31 @@ def params_text(params: Mapping) -> dict[str, str]:
     return {k: str(v)[:250] for k, v in params.items()}
 
 
+def _settings(estimator) -> tuple:
+    """The values that a fit depends on."""
+    return tuple(sorted((p.name, str(v)) for p, v in estimator.extractParamMap().items()))
+
+
 def grid_search(
     train: DataFrame,
     family: str,
     grid: Mapping[str, Sequence] | None = None,
     folds: int = config.FOLDS,
     threads: int = 4,
-    holdout: bool = False,
 ) -> tuple[dict, list[dict]]:
     """The parameters with the best mean F1 over the folds (first one on ties), and all results.
 
-    ``holdout`` is the fast mode: every combination is judged on the first fold only.
+    Combinations that make the same estimator are fitted once and reported for each.
     """
     make, default = FAMILIES[family]
     combos = combinations_of(grid or default)
-    jobs = [(i, lambda total, p=p: make(p, total)) for i, p in enumerate(combos)]
-    per_fold = cross_validate(train, jobs, folds, threads, with_auc=False, holdout=holdout)
+    first: dict[tuple, int] = {}
+    same = [first.setdefault(_settings(make(p, 1.0)), i) for i, p in enumerate(combos)]
+    jobs = [(i, lambda total, p=combos[i]: make(p, total)) for i in first.values()]
+    per_fold = cross_validate(train, jobs, folds, threads, with_auc=False)
     means = metrics.mean_and_spread(per_fold, ["F1"], ["candidate"]).collect()
-    by_id = {r["candidate"]: r for r in means}
+    fitted = {r["candidate"]: r for r in means}
+    by_id = {i: fitted[j] for i, j in enumerate(same)}
     results = [
         {"model": family, "candidate": i, "params": params_text(p),
          "F1_mean": by_id[i]["F1_mean"], "F1_std": by_id[i]["F1_std"]}
@@ -212,13 +250,12 @@ def grid_search_all(
     grids: Mapping[str, Mapping] | None = None,
     folds: int = config.FOLDS,
     threads: int = 4,
-    holdout: bool = False,
 ) -> tuple[dict[str, dict], list[dict]]:
     """Best parameters per family, over the declared grids unless others are passed."""
     grids = grids or {name: grid for name, (_, grid) in FAMILIES.items()}
     best, results = {}, []
     for family, grid in grids.items():
-        best[family], rows = grid_search(train, family, grid, folds, threads, holdout)
+        best[family], rows = grid_search(train, family, grid, folds, threads)
         results += rows
     return best, results
 

@@ -11,26 +11,17 @@ from pyspark.sql import functions as F
 
 from tenura import config
 from tenura.functions.tables import materialize, q
-from tenura.operators import models, selection
+from tenura.operators import metrics, models, selection
 from tenura.plans import churn
 from tenura.registry import inputs
 from tenura.registry.account_sql import with_stage
 from tenura.registry.book import query
-from tenura.registry.rows import scratch
+from tenura.registry.rows import SPLIT_SQL, scratch
 from tenura.sources import runs
 
-# The smallest member of each declared grid, for queries that evaluate one model per family.
-ONE_EACH = {
-    "Logistic Regression": {"C": 1},
-    "Decision Tree": {"max_depth": 5, "min_split": 10},
-    "Random Forest": {"trees": 200, "max_depth": 8, "min_split": 5},
-    "Boosted Trees": {
-        "trees": 200, "max_depth": 3, "learning_rate": 0.05, "subsample": 0.8, "column_share": 0.8,
-    },
-    "Leaf-Limited Boosted Trees": {
-        "trees": 200, "learning_rate": 0.05, "leaves": 31, "max_depth": 10,
-    },
-}
+# The families whose whole grid is searched here. The two boosting grids take hours on one machine.
+SEARCHED = ["Logistic Regression", "Decision Tree", "Random Forest"]
+_FOUND: dict[tuple[str, str, str], tuple[dict, list]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +29,27 @@ def table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(churn.model_table(inputs.featured(spark, sf_dir)))
 
 
+def searched(spark: SparkSession, sf_dir: str, family: str) -> tuple[dict, list]:
+    """The best parameters of a family and all results, in five folds over the whole grid.
+
+    The search runs once in a session for a set of tables.
+    """
+    at = (spark.sparkContext.applicationId, sf_dir, family)
+    if at not in _FOUND:
+        df = table(spark, sf_dir)
+        train, _ = train_and_test(df, names_of(df))
+        _FOUND[at] = models.grid_search(train, family, threads=8)
+    return _FOUND[at]
+
+
+def best_of_all(spark: SparkSession, sf_dir: str) -> dict[str, dict]:
+    return {family: searched(spark, sf_dir, family)[0] for family in SEARCHED}
+
+
+def search_results(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
+    return models.search_table(spark, searched(spark, sf_dir, family)[1])
+
+
 def names_of(df: DataFrame) -> list[str]:
     return [c for c in churn.feature_columns(df) if c not in config.DROPPED_FEATURES]
 
@@ -86,10 +98,29 @@ def component_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("component_loadings")
 def component_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loadings of the first components that reach 95 percent of the variance."""
+    df = table(spark, sf_dir).filter(q("split") == "train")
+    features = names_of(df)
+    _, rotation, _ = selection.fit_components(df, features)
+    needed = selection.components_for(selection.explained_variance(spark, rotation)).first()
+    return selection.loadings(spark, rotation, features, needed["components"])
+
+
+@query(
+    "loading_products",
+    """SELECT 'PC' || a AS one, 'PC' || b AS other, CASE WHEN a = b THEN 1.0 ELSE 0.0 END AS product
+       FROM generate_series(1, 26) AS x(a), generate_series(1, 26) AS y(b)""",
+)
+def loading_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The components are orthogonal and of length 1."""
     df = table(spark, sf_dir).filter(q("split") == "train")
     features = names_of(df)
     _, rotation, _ = selection.fit_components(df, features)
-    return selection.loadings(spark, rotation, features)
+    rows = selection.loadings(spark, rotation, features)
+    left = rows.select(F.col("component").alias("one"), "feature", F.col("loading").alias("x"))
+    right = rows.select(F.col("component").alias("other"), "feature", F.col("loading").alias("y"))
+    product = F.abs(F.round(F.sum(F.col("x") * F.col("y")), 6))
+    return left.join(right, "feature").groupBy("one", "other").agg(product.alias("product"))
 
 
 @query("permutation_importance")
@@ -106,12 +137,13 @@ def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_stage(
         "cleaned",
         """SELECT repeat, count(*) AS rows, CAST(sum(tenure) AS BIGINT) AS total, CAST(sum(tenure * tenure) AS BIGINT) AS squares,
-             count(DISTINCT tenure) AS distinct_values
+             count(DISTINCT tenure) AS distinct_values, count(DISTINCT "customerID") AS donors, true AS moved
            FROM cleaned, (SELECT unnest([0, 1, 2]) AS repeat) AS r GROUP BY 1""",
     ),
 )
 def shuffled_column_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A shuffled column keeps its values: the totals of the donors are those of the column."""
+    """A shuffled column keeps its values but not their places: the totals of the donors are those of the
+    column, every account gives once, and hardly any to itself."""
     df = inputs.cleaned(spark, sf_dir, config.KEY, "tenure")
     donor = F.col("donor")
     return selection.shuffled(df, "tenure", 3, rows_per_cycle=400).groupBy("repeat").agg(
@@ -119,48 +151,78 @@ def shuffled_column_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(donor).alias("total"),
         F.sum(donor * donor).alias("squares"),
         F.count_distinct(donor).alias("distinct_values"),
+        F.count_distinct("donor_key").alias("donors"),
+        # an account may draw itself, but hardly any do
+        (F.count_if(F.col("donor_key") == q(config.KEY)) * 20 < F.count(F.lit(1))).alias("moved"),
     )
 
 
 @query("logistic_grid_search")
 def logistic_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir)
-    train, _ = train_and_test(df, names_of(df))
-    _, results = models.grid_search(train, "Logistic Regression")
-    return models.search_table(spark, results)
+    return search_results(spark, sf_dir, "Logistic Regression")
 
 
 @query("tree_grid_search")
 def tree_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir)
-    train, _ = train_and_test(df, names_of(df))
-    _, results = models.grid_search(train, "Decision Tree")
-    return models.search_table(spark, results)
+    return search_results(spark, sf_dir, "Decision Tree")
 
 
-@query("forest_grid_search_holdout")
-def forest_grid_search_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full forest grid, judged on one fold."""
-    df = table(spark, sf_dir)
-    train, _ = train_and_test(df, names_of(df))
-    _, results = models.grid_search(train, "Random Forest", holdout=True)
-    return models.search_table(spark, results)
+@query("forest_grid_search")
+def forest_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_results(spark, sf_dir, "Random Forest")
 
 
 @query("best_parameters")
 def best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.params_table(spark, best_of_all(spark, sf_dir))
+
+
+def evaluated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    """Search, best, refit, score: the scoreboard of the test rows and the parameters."""
     df = table(spark, sf_dir)
-    train, _ = train_and_test(df, config.SELECTED_FEATURES)
-    name = "Logistic Regression"
-    best, _ = models.grid_search_all(train, {name: config.LOGISTIC_GRID})
-    return models.params_table(spark, best)
+    train, test = train_and_test(df, names_of(df))
+    best = best_of_all(spark, sf_dir)
+    return models.evaluate_models(train, test, best, threads=3)[0], best
 
 
 @query("model_scoreboard")
 def model_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluated(spark, sf_dir)[0]
+
+
+@query(
+    "model_test_totals",
+    with_stage(
+        "featured",
+        """SELECT m.name AS "Model", count(*) FILTER (WHERE "Churn" = 1) AS churners,
+             count(*) FILTER (WHERE "Churn" = 0) AS others,
+             round(sum("MonthlyCharges") FILTER (WHERE "Churn" = 1) * 12, 1) AS revenue
+           FROM parted, (VALUES ('Logistic Regression'), ('Decision Tree'), ('Random Forest')) AS m(name)
+           WHERE split = 'test' GROUP BY 1""",
+        SPLIT_SQL,
+    ),
+)
+def model_test_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any fitted model: its cells add up to the test rows of each class, and
+    the revenue it saves and loses to that of the churners."""
     df = table(spark, sf_dir)
     train, test = train_and_test(df, names_of(df))
-    return models.evaluate_models(train, test, ONE_EACH, threads=5)[0]
+    best = best_of_all(spark, sf_dir)
+    parts = []
+    for name, params in best.items():
+        scored = models.score(models.fit(train, name, params), test)
+        parts.append(scored.withColumn("Model", F.lit(name)))
+    scored = parts[0]
+    for other in parts[1:]:
+        scored = scored.unionByName(other)
+    cells = metrics.confusion(scored, ["Model"])
+    money = metrics.business_value(scored, ["Model"])
+    return cells.join(money, "Model").select(
+        "Model",
+        (F.col("tp") + F.col("fn")).alias("churners"),
+        (F.col("tn") + F.col("fp")).alias("others"),
+        F.round(F.col("Revenue_Saved") + F.col("Revenue_Leakage"), 1).alias("revenue"),
+    )
 
 
 @query("threshold_cross_validation")
@@ -168,23 +230,25 @@ def threshold_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir)
     train, _ = train_and_test(df, names_of(df))
     name = "Random Forest"
-    return models.cross_validate_best(train, name, ONE_EACH[name])
+    return models.cross_validate_best(train, name, searched(spark, sf_dir, name)[0])
 
 
 @query("subset_comparison")
 def subset_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir).filter(q("split") == "train")
-    subsets = {"selected": config.SELECTED_FEATURES, "all kept": names_of(df)}
-    return selection.compare_subsets(df, subsets)
+    """The features chosen by correlation against those that permutation keeps."""
+    df = table(spark, sf_dir)
+    features = names_of(df)
+    train, test = train_and_test(df, features)
+    model = models.fit(train, "Random Forest", {"trees": 300, "max_depth": 10})
+    important = selection.kept_features(selection.permutation_importance(model, test, features))
+    subsets = {"spearman": config.SELECTED_FEATURES, "permutation": important}
+    return selection.compare_subsets(df.filter(q("split") == "train"), subsets)
 
 
 @query("run_log")
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores logged to the run table and read back."""
-    df = table(spark, sf_dir)
-    train, test = train_and_test(df, config.SELECTED_FEATURES)
-    chosen = {n: ONE_EACH[n] for n in ("Logistic Regression", "Decision Tree")}
-    board, _ = models.evaluate_models(train, test, chosen)
+    """Scores and parameters logged to the run table and read back."""
+    board, chosen = evaluated(spark, sf_dir)
     path = scratch(spark) + "/runs"
     runs.append_runs(runs.run_rows(board, chosen, "run-1"), path)
     return runs.read_runs(spark, path)

@@ -84,12 +84,21 @@ def test_search_evaluate_and_cross_validate(spark, ready):
     assert 0 <= cv["F1_mean"] <= 1 and cv["ROC-AUC_std"] >= 0
 
 
-def test_holdout_search_scores_one_fold(ready):
+def test_equal_settings_are_fitted_once(ready, monkeypatch):
     train = ready.filter("split = 'train'")
-    _, results = models.grid_search(train, "Decision Tree", {"max_depth": [1, 3], "min_split": [2]}, holdout=True)
-    jobs = [("t", lambda total: models.tree({"max_depth": 3, "min_split": 2}, total))]
-    first = models.cross_validate(train, jobs).filter("fold = 0").first()
-    assert results[1]["F1_mean"] == pytest.approx(first["F1"]) and results[1]["F1_std"] == 0.0
+    fitted = []
+    whole = models.cross_validate
+    monkeypatch.setattr(models, "cross_validate", lambda t, jobs, *a, **k: fitted.extend(jobs) or whole(t, jobs, *a, **k))
+    grid = {"trees": [2], "learning_rate": [0.1], "leaves": [4], "max_depth": [-1, 5, 1]}
+    _, results = models.grid_search(train, "Leaf-Limited Boosted Trees", grid)
+    assert len(fitted) == 2 and len(results) == 3  # four leaves need a depth of 2, so 5 is no limit
+    assert results[0]["F1_mean"] == results[1]["F1_mean"]
+
+
+def test_fold_weights_by_hand(spark):
+    rows = [(0, 0), (0, 0), (0, 1), (1, 0), (1, 1), (1, 1), (2, 0), (2, None)]
+    df = spark.createDataFrame(rows, "fold int, label int")
+    assert models.fold_weights(df, 3) == [{0: 4 / 4, 1: 4 / 4}, {0: 4 / 6, 1: 4 / 2}, {0: 6 / 6, 1: 6 / 6}]
 
 
 def test_cross_validation_by_hand(ready):
@@ -154,6 +163,12 @@ def test_whole_run_is_saved(spark, tmp_path):
     raw = inputs.raw(spark, SF).cache()
     result = churn.run(raw, {"Decision Tree": SMALL["Decision Tree"]}, {"trees": 5, "max_depth": 3}, repeats=2, mode="exact")
     churn.save(result, str(tmp_path / "out"), "run-1")
+    assert result.validation.filter("check = 'critical'").count() == len(config.CRITICAL)
+    assert result.validation.select("check").distinct().count() == 9
+    assert result.views["tenure_churn"].count() == 3 and len(result.views) == 35
+    assert set(result.correlated) <= set(churn.feature_columns(result.featured)) and result.spearman_features
+    assert result.variance.count() == 26 and result.loadings.count() % 26 == 0
+    assert {r["candidate"] for r in result.subsets.collect()} == {"spearman", "permutation"}
     from tenura.sources import accounts
 
     assert accounts.read_table(spark, str(tmp_path / "out/processed")).count() == raw.count()
