@@ -13,6 +13,7 @@ from tenura.functions.tables import q
 from tenura.operators import (
     cleaning, correlation, features, models, quality, segments, selection, splits,
 )
+from tenura.plans import eda, validation
 from tenura.sources import accounts, runs
 
 
@@ -52,6 +53,13 @@ class ChurnRun:
 
     quality: DataFrame
     featured: DataFrame
+    validation: DataFrame | None = None
+    views: dict[str, DataFrame] = field(default_factory=dict)
+    correlated: list[str] = field(default_factory=list)
+    spearman_features: list[str] = field(default_factory=list)
+    variance: DataFrame | None = None
+    loadings: DataFrame | None = None
+    subsets: DataFrame | None = None
     features: list[str] = field(default_factory=list)
     importance: DataFrame | None = None
     best: dict = field(default_factory=dict)
@@ -68,25 +76,51 @@ def run(
     mode: str = "approx",
     threads: int = 4,
 ) -> ChurnRun:
-    """Validate, clean, engineer, split, select, search, evaluate and cross-validate."""
+    """Validate, explore, clean, engineer, split, select, search, evaluate and cross-validate."""
     featured = featured_accounts(raw)
-    result = ChurnRun(quality.dq_report(raw), featured)
-    table = model_table(featured, mode).persist()
+    result = ChurnRun(quality.dq_report(raw), featured, validation.report(raw))
+    result.views = eda.run_full(cleaning.clean(raw), featured)
+    held = [model_table(featured, mode).persist()]
+    try:
+        return _select_and_fit(result, held, grids, importance_params, repeats, threads)
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def _select_and_fit(
+    result: ChurnRun, held: list[DataFrame], grids, importance_params, repeats: int, threads: int
+) -> ChurnRun:
+    table = held[0]
+    spark = table.sparkSession
     names = feature_columns(table)
+    both = table.filter(q("split") == "train")
+    # the computed lists are reported beside the fixed ones that the run goes on with
+    computed = correlation.drop_correlated(both, names, "computed")[1]
+    result.correlated = [c for c in names if c not in computed]
+    result.spearman_features = correlation.select_features(both, names, "computed")
     kept, names = correlation.drop_correlated(table, names)
-    train, test = kept.filter(q("split") == "train"), kept.filter(q("split") == "test")
+    train = kept.filter(q("split") == "train")
+    _, rotation, _ = selection.fit_components(train, names)
+    result.variance = selection.explained_variance(spark, rotation)
+    needed = selection.components_for(result.variance).first()["components"]
+    result.loadings = selection.loadings(spark, rotation, names, needed)
 
     params = importance_params or {"trees": 300, "max_depth": 10}
-    ready = models.prepare(kept, names)
+    ready = models.prepare(kept, names).persist()
+    held.append(ready)
     chooser = models.fit(ready.filter(q("split") == "train"), "Random Forest", params)
     result.importance = selection.permutation_importance(
         chooser, ready.filter(q("split") == "test"), names, repeats
     )
     result.features = selection.kept_features(result.importance) or names
+    subsets = {"spearman": config.SELECTED_FEATURES, "permutation": result.features}
+    result.subsets = selection.compare_subsets(train, subsets, params=params, threads=threads)
 
     # charges are carried beside the features, even when they are not selected
-    train_ready = models.prepare(train, result.features).persist()
-    test_ready = models.prepare(test, result.features, ["MonthlyCharges"])
+    chosen = models.prepare(kept, result.features, ["MonthlyCharges"]).persist()
+    held.append(chosen)
+    train_ready, test_ready = (chosen.filter(q("split") == s) for s in ("train", "test"))
     result.best, _ = models.grid_search_all(train_ready, grids, threads=threads)
     result.scoreboard, result.models = models.evaluate_models(
         train_ready, test_ready, result.best, threads
@@ -95,8 +129,6 @@ def run(
     result.threshold_cv = models.cross_validate_best(
         train_ready, last, result.best[last], threads=threads
     )
-    train_ready.unpersist()
-    table.unpersist()
     return result
 
 

@@ -181,3 +181,45 @@ def feature_rates(df: DataFrame) -> DataFrame:
     return rates.rates_for(
         df, [config.AUTO_PAY, config.LOYALTY, config.HIGH_FRICTION, config.HOUSEHOLD]
     )
+
+
+def run_full(cleaned: DataFrame, featured: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The table behind every exploratory view by name; lazy but for the order statistics."""
+    spearman, pearson = correlation_tables(cleaned)
+    views = {
+        "churn_distribution": churn_distribution(cleaned),
+        "numeric_summary": numeric_summary(cleaned),
+        "numeric_histograms": numeric_histograms(cleaned),
+        "numeric_boxes": numeric_boxes(cleaned),
+        **{f"density_{c}": numeric_density(cleaned, c) for c in config.NUMERIC},
+        "binary_distributions": binary_distributions(cleaned),
+        "categorical_distributions": categorical_distributions(cleaned),
+        "numeric_points": numeric_points(cleaned),
+        "tenure_churn": tenure_churn(cleaned),
+        "gender_churn_rate": gender_churn_rate(cleaned),
+        "gender_churn_counts": gender_churn_counts(cleaned),
+        "charges_by_churn_boxes": charges_by_churn_boxes(cleaned),
+        "monthly_density": monthly_density(cleaned),
+        "total_density": total_density(cleaned),
+        "payment_churn": payment_churn(cleaned),
+        "payment_churn_counts": payment_churn_counts(cleaned),
+        "addon_churn": addon_churn(cleaned),
+        "streaming_churn": streaming_churn(cleaned),
+        "streaming_matrix": streaming_matrix(cleaned),
+        "spearman": spearman,
+        "pearson": pearson,
+        "internet_charges": internet_charges(cleaned),
+        "contract_internet_churn": contract_internet_churn(cleaned),
+        "tenure_charge_churn": tenure_charge_churn(cleaned),
+        "payment_contract_churn": payment_contract_churn(cleaned),
+        "pair_points": pair_points(cleaned),
+        **{f"pair_density_{c}": pair_density(cleaned, c) for c in config.NUMERIC},
+    }
+    if featured is not None:
+        views |= {
+            "addon_boxes": addon_boxes(featured),
+            "cost_boxes": cost_boxes(featured),
+            "cost_density": cost_density(featured),
+            "feature_rates": feature_rates(featured),
+        }
+    return views

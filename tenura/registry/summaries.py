@@ -13,10 +13,10 @@ from tenura.functions.tables import materialize, q
 from tenura.operators import (
     correlation, metrics, ordered, profile, quality, rates, segments, splits,
 )
-from tenura.plans import dashboard, eda
+from tenura.plans import dashboard, eda, validation
 from tenura.registry import inputs
 from tenura.registry.account_sql import with_stage
-from tenura.registry.book import query, register
+from tenura.registry.book import ORACLES, query, register
 from tenura.registry.rows import SPLIT_SQL
 
 NUM = config.NUMERIC
@@ -120,12 +120,13 @@ register(
 )
 register(
     "duplicate_rows",
-    lambda s, d: quality.duplicate_rows(inputs.dirty(s, d).drop("customerID", "MonthlyCharges", "TotalCharges", "tenure")),
+    lambda s, d: quality.duplicate_rows(inputs.repeated(s, d)),
     with_stage(
         "raw",
-        """SELECT (SELECT count(*) FROM dirty) - (SELECT count(*) FROM (SELECT DISTINCT
-             * EXCLUDE ("customerID", "MonthlyCharges", "TotalCharges", tenure) FROM dirty) AS t) AS duplicate_rows""",
+        """SELECT (SELECT count(*) FROM repeated) - (SELECT count(*) FROM (SELECT DISTINCT * FROM repeated) AS t)
+             AS duplicate_rows""",
         inputs.DIRTY_SQL,
+        inputs.REPEATED_SQL,
     ),
 )
 register(
@@ -141,7 +142,12 @@ register(
 register(
     "null_assertion",
     lambda s, d: quality.require_no_nulls(inputs.featured(s, d)),
-    with_stage("featured", "SELECT CAST(0 AS BIGINT) AS nulls"),
+    with_stage(
+        "featured",
+        """SELECT CAST(sum(nulls) AS BIGINT) AS nulls FROM (
+             SELECT count(*) - count(COLUMNS(*)) FROM featured) AS t
+           UNPIVOT (nulls FOR column_name IN (COLUMNS(*)))""",
+    ),
 )
 
 # ---- profiles -----------------------------------------------------------------------
@@ -852,17 +858,18 @@ register(
 )
 register(
     "revenue_at_risk",
-    lambda s, d: dashboard.revenue_at_risk(inputs.featured(s, d)).drop(
-        "high_text", "medium_text", "total_text"
-    ),
+    lambda s, d: dashboard.revenue_at_risk(inputs.featured(s, d)),
     with_stage(
         "featured",
-        """SELECT count(*) FILTER (WHERE risk = 'High Risk') AS high_customers,
+        """SELECT *, '$' || format('{:,}', CAST(round_even(high_revenue, 0) AS BIGINT)) AS high_text,
+             '$' || format('{:,}', CAST(round_even(medium_revenue, 0) AS BIGINT)) AS medium_text,
+             '$' || format('{:,}', CAST(round_even(total_at_risk, 0) AS BIGINT)) AS total_text FROM (
+           SELECT count(*) FILTER (WHERE risk = 'High Risk') AS high_customers,
              count(*) FILTER (WHERE risk = 'Medium Risk') AS medium_customers,
              round(coalesce(sum("MonthlyCharges") FILTER (WHERE risk = 'High Risk'), 0), 6) AS high_revenue,
              round(coalesce(sum("MonthlyCharges") FILTER (WHERE risk = 'Medium Risk'), 0), 6) AS medium_revenue,
              round(coalesce(sum("MonthlyCharges") FILTER (WHERE risk IN ('High Risk', 'Medium Risk')), 0), 6) AS total_at_risk
-           FROM segmented""",
+           FROM segmented) AS t""",
         inputs.RISK_SQL,
     ),
 )
@@ -1050,3 +1057,44 @@ register(
            UNION ALL SELECT 'total_revenue', round(sum("TotalCharges"), 6) FROM cleaned""",
     ),
 )
+
+
+# ---- the whole validation ------------------------------------------------------------
+
+
+def _tidied(name: str, check: str, subject: str, values: list[str]) -> str:
+    """Rows (check, subject, measure, value) of another query's SQL."""
+    return " UNION ALL ".join(
+        f"""SELECT '{check}' AS "check", {subject} AS subject, '{v}' AS measure, CAST("{v}" AS DOUBLE) AS value
+            FROM ({ORACLES[name]}) AS t"""
+        for v in values
+    )
+
+
+_DUPLICATES_SQL = with_stage(
+    "raw",
+    """SELECT 'duplicates' AS "check", 'all' AS subject, 'duplicate_rows' AS measure,
+         CAST((SELECT count(*) FROM dirty) - (SELECT count(*) FROM (SELECT DISTINCT * FROM dirty)) AS DOUBLE) AS value""",
+    inputs.DIRTY_SQL,
+)
+
+
+@query(
+    "validation_report",
+    " UNION ALL ".join(
+        [
+            _tidied("quality_accuracy", "accuracy", "rule", ["bad_rows"]),
+            _tidied("quality_consistency", "consistency", "rule", ["bad_rows"]),
+            _tidied("quality_completeness", "completeness", "rule", ["bad_rows"]),
+            _tidied("quality_completeness", "critical", "rule", ["bad_rows"])
+            + " WHERE rule IN (" + ", ".join(f"'null:{c}'" for c in config.CRITICAL) + ")",
+            f"SELECT * FROM ({_DUPLICATES_SQL}) AS t",
+            _tidied("duplicate_keys", "duplicates", "'all'", ["duplicate_keys"]),
+        ]
+    ),
+)
+def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks that count rows; the profiles have queries of their own."""
+    whole = validation.report(inputs.dirty(spark, sf_dir))
+    counted = ["accuracy", "consistency", "completeness", "critical", "duplicates"]
+    return whole.filter(F.col("check").isin(counted))
