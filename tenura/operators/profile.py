@@ -14,6 +14,7 @@ from tenura.operators.ordered import (
     ordered_counts, quantile_columns, quantiles, quantiles_of, value_counts_of, with_running,
 )
 
+BIN_BLOCK = 4096
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -216,7 +217,12 @@ def histogram(
         .groupBy("column_name", *[q(c) for c in ids], "bin")
         .agg(F.sum("n").alias("__count"))
     )
-    every_bin = span.select("*", F.explode(F.sequence(F.lit(0), F.col("__bins") - 1)).alias("bin"))
+    # one far value can make very many bins, so they are listed block by block
+    last = F.col("__bins") - 1
+    blocks = span.select("*", F.explode(F.sequence(F.lit(0), F.floor(last / BIN_BLOCK).cast("int"))).alias("__block"))
+    first = F.col("__block") * BIN_BLOCK
+    each = F.explode(F.sequence(first, F.least(first + BIN_BLOCK - 1, last))).alias("bin")
+    every_bin = blocks.select("*", each).drop("__block")
     if by:
         groups = filled.select("column_name", q(by)).distinct()
         every_bin = every_bin.join(groups, "column_name")
