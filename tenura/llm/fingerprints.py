@@ -28,6 +28,7 @@ WINDOW, RUN, MARKS, SHORT, TINY = 16, 32, 8, 256, 4
 STEPS = 1000
 FILTER_BITS, FILTER_HASHES, FILTER_FEATURES = 2048, 5, 160
 PIECE = 1 << 18
+ROWS_AT_ONCE = 500
 _C = np.arange(WINDOW + 2, dtype=np.float64)
 #: c log2 c in units of 2^-20, so that sums are exact.
 WEIGHT = np.round(_C * np.log2(np.maximum(_C, 1)) * (1 << 20)).astype(np.int64)
@@ -207,7 +208,7 @@ def fingerprint(docs: DataFrame, ranks: np.ndarray | None = None, text: str = "t
     return rows.mapInArrow(make, schema).select("row.*", "fingerprint")
 
 
-def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows_per_range: int = 10_000,
+def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows_per_range: int = 2_000,
               max_ranges: int = 10_000) -> DataFrame:
     """The documents in descending order of a numeric id (null last, equal ids by their texts' hashes), laid out so
     that in each partition every row with ``extra`` false is followed by its next document in the same ``range``.
@@ -238,8 +239,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows_
     extra = rows.join(F.broadcast(repeated), is_head).select("doc_id", "text", "hash", F.col("to").alias("range"),
                                                              F.lit(True).alias("extra"))
     laid = rows.select("doc_id", "text", "hash", "range", F.lit(False).alias("extra")).unionByName(extra)
-    # the ranges are known to be even, so a partition for each few of them
-    return laid.repartition(ranges, "range").sortWithinPartitions(
+    return laid.repartition("range").sortWithinPartitions(
         "range", "extra", F.col("doc_id").desc_nulls_last(), F.col("hash").desc())
 
 
@@ -248,7 +248,7 @@ PAIR = ("n_chars bigint, edited_sha256 string, fingerprint string, edited_finger
 
 
 def compare_with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks: np.ndarray | None = None,
-                        rows_per_range: int = 10_000) -> DataFrame:
+                        rows_per_range: int = 2_000) -> DataFrame:
     """For each document its fingerprint, that of an edited text, and how like it is to that and to the next document's.
 
     The edited text has the last half of the characters (rounded down) replaced by the first as many, or all, of
@@ -261,8 +261,8 @@ def compare_with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     laid = with_next(docs, doc_id, text, rows_per_range)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # (id, text, range, extra, digest) of the row before
-        for batch in batches:
+        last = None  # (id, text, (range, extra), digest) of the row before
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             ids = batch.column("doc_id")
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
             where = list(zip(batch.column("range").to_pylist(), batch.column("extra").to_pylist()))
