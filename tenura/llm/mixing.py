@@ -182,7 +182,7 @@ def draw(
     block_words: int = 1024,
     shard_words: int = 1_000_000,
     max_shards: int = 4096,
-    rows_per_range: int = 50_000,
+    rows_per_range: int = 5_000,
     carry: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """One row for each row of ``docs``: its columns (or those in ``carry``) as struct ``row``, its ``size`` in words,
