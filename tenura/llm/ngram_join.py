@@ -304,8 +304,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     per_text = stored(per_text.join(classes, "root").select(
         F.col("key").alias("text_key"), "class_id",
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    own = sign.select(F.col("id").alias("doc_id"), "key", F.col("bands").isNotNull().alias("worded"))
-    joined = own.join(per_text, (F.col("key") == F.col("text_key")) & F.col("worded"), "left")
+    worded = F.col("bands").isNotNull()
+    # documents without words have no class to look up; they are spread by their ids
+    look_up = F.when(worded, F.col("key")).otherwise(F.concat(F.lit("-"), F.xxhash64("id").cast("string")))
+    own = sign.select(F.col("id").alias("doc_id"), "key", worded.alias("worded"), look_up.alias("look_up"))
+    joined = own.join(per_text, F.col("look_up") == F.col("text_key"), "left")
     return joined.select("doc_id", F.col("key").alias("text_key"),
                          F.when(F.col("worded"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
                          F.when(F.col("worded"), F.col("n_links")).otherwise(0).cast("bigint").alias("n_links"))
