@@ -1,8 +1,10 @@
 """Lines that recur across documents, by a log-template tree of fixed depth.
 
 A line goes down the tree by its number of tokens and then by its leading tokens; a token with a
-digit is a variable field. What reaches the same leaf is generalised: a token that is at its place in
-fewer than ``min_docs`` of the leaf's lines is a variable field too. A line's template is what stays constant.
+digit is a variable field. What reaches the same leaf is generalised: of a line's tokens the share ``similarity``
+that most of the leaf's lines have at their place is constant, and so are tokens as common as the rarest of these; the
+others are variable fields too. Only the order of the counts decides, so a field stays one however large the leaf
+grows. A line's template is what stays constant.
 Templates that stand in ``min_docs`` documents recur; the first document that has one keeps its
 lines, all others lose them.
 
@@ -111,15 +113,16 @@ def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, simil
     apart = apart.join(leaves, "leaf", "left_semi").join(same.select("leaf", "line"), ["leaf", "line"], "left_anti")
     apart = stored(apart)
     once = apart.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n"))
-    places = once.select("leaf", "line", "n", F.posexplode("tokens").alias("place", "token"))
+    places = once.select("leaf", "line", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token"))
     common = places.where("token <> 0").groupBy("leaf", "place", "token").agg(F.sum("n").alias("often"))
     common = common.where(F.col("often") >= min_docs)
-    kept = places.join(common, ["leaf", "place", "token"]).groupBy("leaf", "line").agg(
-        F.xxhash64(F.sort_array(F.collect_list(F.struct("place", "token")))).alias("template"),
-        F.count("*").alias("kept"))
-    tokens = once.select("leaf", "line", F.size("tokens").alias("size"))
-    general = kept.join(tokens, ["leaf", "line"]).where(F.col("kept") >= similarity * F.col("size"))
-    general = general.select("leaf", "line", "template")
+    found = places.join(common, ["leaf", "place", "token"]).groupBy("leaf", "line").agg(
+        F.first("size").alias("size"), F.collect_list(F.struct("often", "place", "token")).alias("found"))
+    rarest = F.get(F.sort_array("found.often", asc=False), F.ceil(similarity * F.col("size")).cast("int") - 1)
+    general = found.withColumn("rarest", rarest).where("rarest IS NOT NULL")
+    constants = F.filter("found", lambda x: x["often"] >= F.col("rarest"))
+    constants = F.transform(constants, lambda x: F.struct(x["place"], x["token"]))
+    general = general.select("leaf", "line", F.xxhash64(F.sort_array(constants)).alias("template"))
     stands = apart.select("leaf", "line", "id", "hash").join(general, ["leaf", "line"])
     documents = stands.select("leaf", "template", "id", "hash").distinct().groupBy("leaf", "template").agg(
         F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first"))
@@ -142,7 +145,7 @@ def drop_recurring_lines(
 
     Lines end at a newline; blank lines, and what white space stands at the ends of a line or between its tokens, do not matter
     and blank lines stay. Lines of at least ``least_tokens`` tokens are generalised, if a share of ``similarity`` of
-    their tokens stays constant; typed fields are masked in all lines if a share of ``constant`` stays. The first document
+    their tokens stands in ``min_docs`` of the leaf's lines; typed fields are masked in all lines if a share of ``constant`` stays. The first document
     is that with the smallest id (null last), of equal ids that with the smallest hash of its text.
 
     No row is dropped: a text that loses all its lines is empty, a null text stays null with no lines. Rows with equal id and

@@ -351,6 +351,16 @@ def test_lines_of_awkward_rows(awkward, nothing):
     assert line_templates.drop_recurring_lines(nothing).count() == 0
 
 
+def test_fields_stay_fields_as_a_template_grows(spark):
+    def word(n):
+        return "".join(chr(97 + int(d)) for d in f"{n % 1000:03d}")
+
+    for n in (200, 20_000):
+        rows = [(i, f"Sold on the board by {word(i * 7)} for {word(i // 3 * 11)} in our old shop") for i in range(n)]
+        found = line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert found.where("n_dropped = 1").count() == n - 1
+
+
 # decontamination
 
 def hits_by_hand(text, items, window):
