@@ -6,10 +6,11 @@ that most of the leaf's lines have at their place is constant, and so are tokens
 others are variable fields too. Only the order of the counts decides, so a field stays one however large the leaf
 grows. A line's template is what stays constant.
 Templates that stand in ``min_docs`` documents recur; the first document that has one keeps its
-lines, all others lose them.
+lines, all others lose them. A line that recurs as it is counts in its leaf and for its template like all others, but is
+kept in its own first document.
 
 Lines meet as counts of (leaf, line) and (leaf, place, token) hashes, which are added up before they
-are moved, and only lines that do not recur as they are, in leaves that do, are taken apart into tokens.
+are moved, and only leaves that recur and have lines that do not recur as they are, are taken apart into tokens.
 """
 
 from __future__ import annotations
@@ -105,14 +106,19 @@ def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, simil
     lines = _lines(docs, "distinct", "leaf bigint, line bigint, long boolean", None, depth, constant, least_tokens)
     lines = stored(lines.groupBy("leaf", "line", "long").agg(
         F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first")))
-    same = lines.where(F.col("n") >= min_docs).select("leaf", "line", "first")
+    same = lines.where(F.col("n") >= min_docs)
 
-    rare = lines.where((F.col("n") < min_docs) & F.col("long"))
-    leaves = stored(rare.groupBy("leaf").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("leaf"))
+    rare = (F.col("n") < min_docs).cast("int")
+    leaves = lines.where("long").groupBy("leaf").agg(F.sum("n").alias("n"), F.max(rare).alias("rare"))
+    leaves = stored(leaves.where((F.col("n") >= min_docs) & (F.col("rare") == 1)).select("leaf"))
     apart = _lines(docs, "tokens", "leaf bigint, line bigint, tokens array<bigint>", leaves, depth, constant, least_tokens)
-    apart = apart.join(leaves, "leaf", "left_semi").join(same.select("leaf", "line"), ["leaf", "line"], "left_anti")
-    apart = stored(apart)
-    once = apart.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n"))
+    counted = same.select("leaf", "line", "first", F.col("n").alias("known"))
+    apart = apart.join(leaves, "leaf", "left_semi").join(counted, ["leaf", "line"], "left")
+    # of a line that recurs as it is the first document's stands for all
+    apart = stored(apart.where(F.col("known").isNull() | F.col("id").eqNullSafe(F.col("first.id"))
+                               & (F.col("hash") == F.col("first.hash"))).drop("first"))
+    once = apart.groupBy("leaf", "line").agg(
+        F.first("tokens").alias("tokens"), F.coalesce(F.max("known"), F.count("*")).alias("n"))
     places = once.select("leaf", "line", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token"))
     common = places.where("token <> 0").groupBy("leaf", "place", "token").agg(F.sum("n").alias("often"))
     common = common.where(F.col("often") >= min_docs)
@@ -123,12 +129,14 @@ def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, simil
     constants = F.filter("found", lambda x: x["often"] >= F.col("rarest"))
     constants = F.transform(constants, lambda x: F.struct(x["place"], x["token"]))
     general = general.select("leaf", "line", F.xxhash64(F.sort_array(constants)).alias("template"))
-    stands = apart.select("leaf", "line", "id", "hash").join(general, ["leaf", "line"])
-    documents = stands.select("leaf", "template", "id", "hash").distinct().groupBy("leaf", "template").agg(
-        F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first"))
-    documents = documents.where(F.col("n") >= min_docs)
-    generalised = general.join(documents, ["leaf", "template"]).select("leaf", "line", "first")
-    return same.unionByName(generalised)
+    stands = apart.select("leaf", "line", "id", "hash", "known").join(general, ["leaf", "line"])
+    documents = stands.groupBy("leaf", "template", "id", "hash").agg(F.max("known").alias("known"))
+    documents = documents.groupBy("leaf", "template").agg(
+        F.count("*").alias("n"), F.max("known").alias("known"),
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first"))
+    documents = documents.where(F.greatest("n", "known") >= min_docs).select("leaf", "template", "first")
+    generalised = general.join(same, ["leaf", "line"], "left_anti").join(documents, ["leaf", "template"])
+    return same.select("leaf", "line", "first").unionByName(generalised.select("leaf", "line", "first"))
 
 
 def drop_recurring_lines(

@@ -361,6 +361,15 @@ def test_fields_stay_fields_as_a_template_grows(spark):
         assert found.where("n_dropped = 1").count() == n - 1
 
 
+def test_rare_instances_of_a_line_that_recurs(spark):
+    rows = [(i, f"Posted on this site by user {'Admin' if i < 500 else chr(97 + i - 500)}") for i in range(509)]
+    found = line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert [r["doc_id"] for r in found.where("n_dropped = 0").collect()] == [0]
+    rows = [(1000 - i, text) for i, text in rows]  # the first document has a rare instance
+    found = line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in found.where("n_dropped = 0").collect()) == [492, 501]
+
+
 # decontamination
 
 def hits_by_hand(text, items, window):
