@@ -25,7 +25,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes recurring lines out of all texts but the first that has them; counts ``n_chars`` anew."""
-    found = line_templates.drop_recurring_lines(docs)
+    found = line_templates.drop_recurring_lines(docs, long_tokens=50)
     return found.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 

@@ -6,11 +6,11 @@ that most of the leaf's lines have at their place is constant, and so are tokens
 others are variable fields too. Only the order of the counts decides, so a field stays one however large the leaf
 grows. A line's template is what stays constant.
 Templates that stand in ``min_docs`` documents recur; the first document that has one keeps its
-lines, all others lose them. A line that recurs as it is counts in its leaf and for its template like all others, but is
-kept in its own first document.
+lines, all others lose them. A line that recurs as it is counts in its leaf and for its template like all others, and
+goes even if its template doesn't recur. Long lines may recur from fewer documents on.
 
 Lines meet as counts of (leaf, line) and (leaf, place, token) hashes, which are added up before they
-are moved, and only leaves that recur and have lines that do not recur as they are, are taken apart into tokens.
+are moved, and only leaves that recur and have several lines are taken apart into tokens.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, dep
            least_tokens: int) -> DataFrame:
     """Rows of ``docs``' lines, beside the columns ``id`` and ``hash`` of the document.
 
-    ``what``: 'distinct' gives (leaf, line, long) once for each document, 'tokens' the same with ``tokens`` for
+    ``what``: 'distinct' gives (leaf, line, size) once for each document, 'tokens' the same with ``tokens`` for
     lines of at least ``least_tokens`` tokens, 'places' gives (leaf, line, place) for every line.
     ``known``: only lines of these leaves may matter; used if they are few enough to be sent along.
     """
@@ -78,7 +78,7 @@ def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, dep
                     elif (leaf, whole) not in seen:
                         seen.add((leaf, whole))
                         if what == "distinct":
-                            rows.append((i, leaf, whole, len(tokens) >= least_tokens))
+                            rows.append((i, leaf, whole, len(tokens)))
                         elif len(tokens) >= least_tokens:
                             rows.append((i, leaf, whole, [0 if t == FIELD else _hash(t) for t in tokens]))
                 if len(rows) >= 50_000:
@@ -87,7 +87,7 @@ def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, dep
             yield batch_of(batch, rows)
 
     names = [x.split()[0] for x in schema.split(", ")]
-    last = {"distinct": pa.bool_(), "tokens": pa.list_(pa.int64()), "places": pa.int32()}[what]
+    last = {"distinct": pa.int32(), "tokens": pa.list_(pa.int64()), "places": pa.int32()}[what]
 
     def batch_of(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
         at, *columns = zip(*rows) if rows else ((), (), (), ())
@@ -101,16 +101,19 @@ def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, dep
 
 
 def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, similarity: float,
-              least_tokens: int) -> DataFrame:
+              least_tokens: int, long_tokens: int | None = None, long_docs: int = 2) -> DataFrame:
     """The lines of recurring templates: ``leaf``, ``line`` and ``first``, the (id, hash) of the first document."""
-    lines = _lines(docs, "distinct", "leaf bigint, line bigint, long boolean", None, depth, constant, least_tokens)
-    lines = stored(lines.groupBy("leaf", "line", "long").agg(
+    enough = F.lit(min_docs)  # documents that a line of ``size`` tokens recurs in
+    if long_tokens is not None:
+        enough = F.when(F.col("size") >= long_tokens, long_docs).otherwise(min_docs)
+    lines = _lines(docs, "distinct", "leaf bigint, line bigint, size int", None, depth, constant, least_tokens)
+    lines = stored(lines.groupBy("leaf", "line", "size").agg(
         F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first")))
-    same = lines.where(F.col("n") >= min_docs)
+    same = lines.where(F.col("n") >= enough)
 
-    rare = (F.col("n") < min_docs).cast("int")
-    leaves = lines.where("long").groupBy("leaf").agg(F.sum("n").alias("n"), F.max(rare).alias("rare"))
-    leaves = stored(leaves.where((F.col("n") >= min_docs) & (F.col("rare") == 1)).select("leaf"))
+    leaves = lines.where(F.col("size") >= least_tokens).groupBy("leaf", "size").agg(
+        F.sum("n").alias("n"), F.count("*").alias("different"))
+    leaves = stored(leaves.where((F.col("n") >= enough) & (F.col("different") > 1)).select("leaf"))
     apart = _lines(docs, "tokens", "leaf bigint, line bigint, tokens array<bigint>", leaves, depth, constant, least_tokens)
     counted = same.select("leaf", "line", "first", F.col("n").alias("known"))
     apart = apart.join(leaves, "leaf", "left_semi").join(counted, ["leaf", "line"], "left")
@@ -120,23 +123,25 @@ def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, simil
     once = apart.groupBy("leaf", "line").agg(
         F.first("tokens").alias("tokens"), F.coalesce(F.max("known"), F.count("*")).alias("n"))
     places = once.select("leaf", "line", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("place", "token"))
-    common = places.where("token <> 0").groupBy("leaf", "place", "token").agg(F.sum("n").alias("often"))
-    common = common.where(F.col("often") >= min_docs)
+    common = places.where("token <> 0").groupBy("leaf", "place", "token").agg(
+        F.first("size").alias("size"), F.sum("n").alias("often"))
+    common = common.where(F.col("often") >= enough).drop("size")
     found = places.join(common, ["leaf", "place", "token"]).groupBy("leaf", "line").agg(
         F.first("size").alias("size"), F.collect_list(F.struct("often", "place", "token")).alias("found"))
     rarest = F.get(F.sort_array("found.often", asc=False), F.ceil(similarity * F.col("size")).cast("int") - 1)
     general = found.withColumn("rarest", rarest).where("rarest IS NOT NULL")
     constants = F.filter("found", lambda x: x["often"] >= F.col("rarest"))
     constants = F.transform(constants, lambda x: F.struct(x["place"], x["token"]))
-    general = general.select("leaf", "line", F.xxhash64(F.sort_array(constants)).alias("template"))
+    general = general.select("leaf", "line", "size", F.xxhash64(F.sort_array(constants)).alias("template"))
     stands = apart.select("leaf", "line", "id", "hash", "known").join(general, ["leaf", "line"])
-    documents = stands.groupBy("leaf", "template", "id", "hash").agg(F.max("known").alias("known"))
-    documents = documents.groupBy("leaf", "template").agg(
+    documents = stands.groupBy("leaf", "size", "template", "id", "hash").agg(F.max("known").alias("known"))
+    documents = documents.groupBy("leaf", "size", "template").agg(
         F.count("*").alias("n"), F.max("known").alias("known"),
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first"))
-    documents = documents.where(F.greatest("n", "known") >= min_docs).select("leaf", "template", "first")
-    generalised = general.join(same, ["leaf", "line"], "left_anti").join(documents, ["leaf", "template"])
-    return same.select("leaf", "line", "first").unionByName(generalised.select("leaf", "line", "first"))
+    documents = documents.where(F.greatest("n", "known") >= enough).select("leaf", "template", "first")
+    generalised = stored(general.join(documents, ["leaf", "template"]).select("leaf", "line", "first"))
+    same = same.select("leaf", "line", "first").join(generalised, ["leaf", "line"], "left_anti")
+    return same.unionByName(generalised)
 
 
 def drop_recurring_lines(
@@ -148,12 +153,15 @@ def drop_recurring_lines(
     constant: float = 0.6,
     similarity: float = 0.8,
     least_tokens: int = 5,
+    long_tokens: int | None = None,
+    long_docs: int = 2,
 ) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of ``text``, and ``n_lines``, ``n_dropped``.
 
     Lines end at a newline; blank lines, and what white space stands at the ends of a line or between its tokens, do not matter
     and blank lines stay. Lines of at least ``least_tokens`` tokens are generalised, if a share of ``similarity`` of
-    their tokens stands in ``min_docs`` of the leaf's lines; typed fields are masked in all lines if a share of ``constant`` stays. The first document
+    their tokens stands in ``min_docs`` of the leaf's lines; typed fields are masked in all lines if a share of ``constant`` stays.
+    For lines of at least ``long_tokens`` tokens, if given, ``long_docs`` is in place of ``min_docs``. The first document
     is that with the smallest id (null last), of equal ids that with the smallest hash of its text.
 
     No row is dropped: a text that loses all its lines is empty, a null text stays null with no lines. Rows with equal id and
@@ -163,7 +171,7 @@ def drop_recurring_lines(
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col(f"`{doc_id}`").alias("id"),
                        F.xxhash64(F.col(f"`{text}`")).alias("hash"), F.col(f"`{text}`").alias("text"))
     known = rows.select("id", "hash", "text").where(F.length("text") > 0)
-    lines = stored(recurring(known, min_docs, depth, constant, similarity, least_tokens))
+    lines = stored(recurring(known, min_docs, depth, constant, similarity, least_tokens, long_tokens, long_docs))
     leaves = lines.select("leaf").distinct()
     places = _lines(known, "places", "leaf bigint, line bigint, place int", leaves, depth, constant, least_tokens)
     first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("hash") == F.col("first.hash"))

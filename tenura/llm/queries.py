@@ -138,7 +138,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_line_templates")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_templates.drop_recurring_lines(docs)
+    return line_templates.drop_recurring_lines(docs, long_tokens=50)
 
 
 OP10_SQL = r"""

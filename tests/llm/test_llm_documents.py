@@ -367,7 +367,30 @@ def test_rare_instances_of_a_line_that_recurs(spark):
     assert [r["doc_id"] for r in found.where("n_dropped = 0").collect()] == [0]
     rows = [(1000 - i, text) for i, text in rows]  # the first document has a rare instance
     found = line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
-    assert sorted(r["doc_id"] for r in found.where("n_dropped = 0").collect()) == [492, 501]
+    assert sorted(r["doc_id"] for r in found.where("n_dropped = 0").collect()) == [492]
+
+
+def test_long_passages_in_few_documents(spark):
+    def prose(seed, n=60):
+        return " ".join("".join(chr(97 + int(d)) for d in str(x)) for x in np.random.default_rng(seed).integers(100, 10**6, n))
+
+    planted = {n: prose(n) for n in (1, 2, 3, 9, 10)}
+    rows = [(100 * n + i, f"{prose(1000 * n + i)}\n{passage}\n{prose(2000 * n + i, 8)}")
+            for n, passage in planted.items() for i in range(n)]
+    copies = [prose(7 + j) for j in range(20, 23)]
+    for n in (9, 10):  # near copies, each with one word of its own
+        rows += [(10_000 * n + i, "\n".join(copies).replace(copies[0].split()[30], f"own{chr(97 + i)}") + f" end{n}")
+                 for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(df, long_tokens=50).collect()}
+    for n, passage in planted.items():
+        for i in range(n):
+            r = found[100 * n + i]
+            assert r["n_dropped"] == (i > 0) and (passage in r["text"]) == (i == 0)
+    # the first document of the copies keeps all lines, the others of either group are treated alike
+    assert found[90_000]["n_dropped"] == 0
+    for n in (9, 10):
+        assert {found[10_000 * n + i]["n_dropped"] for i in range(1, n)} == {3}
 
 
 # decontamination
