@@ -15,9 +15,10 @@ are moved, and only leaves that recur and have several lines are taken apart int
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,9 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def parse_line(line: str, depth: int, constant: float) -> tuple[int, int, list[str]] | None:
-    """(leaf, line hash, tokens with typed fields masked); None for a blank line.
+def parse_line(line: str, depth: int, constant: float, leaves: set[int] | None = None,
+               leaf_hash: Callable[[str], int] = _hash) -> tuple[int, int, list[str]] | None:
+    """(leaf, line hash, tokens with typed fields masked); None for a blank line, and for one of no leaf of ``leaves``.
 
     Fields are masked if at least a share of ``constant`` tokens stays; else the line stands for itself.
     """
@@ -47,7 +49,8 @@ def parse_line(line: str, depth: int, constant: float) -> tuple[int, int, list[s
         masked = [FIELD if DIGIT.search(t) else t for t in tokens]
         if masked.count(FIELD) <= (1 - constant) * len(tokens):
             tokens = masked
-    return _hash(f"{len(tokens)} {' '.join(tokens[:depth])}"), _hash(" ".join(tokens)), tokens
+    leaf = leaf_hash(f"{len(tokens)} {' '.join(tokens[:depth])}")
+    return None if leaves is not None and leaf not in leaves else (leaf, _hash(" ".join(tokens)), tokens)
 
 
 def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, depth: int, constant: float,
@@ -56,7 +59,7 @@ def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, dep
 
     ``what``: 'distinct' gives (leaf, line, size) once for each document, 'tokens' the same with ``tokens`` for
     lines of at least ``least_tokens`` tokens, 'places' gives (leaf, line, place) for every line.
-    ``known``: only lines of these leaves may matter; used if they are few enough to be sent along.
+    ``known``: only lines of these leaves; sent along if they are few enough, else joined.
     """
     few = None
     if known is not None and known.count() <= 1_000_000:
@@ -64,13 +67,14 @@ def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, dep
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaves = None if few is None else set(few.tolist())
+        known_hash = functools.lru_cache(1 << 16)(_hash)  # leaves and tokens are often the same
         for batch in batches:
             rows: list[tuple] = []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 seen = set()
                 for place, line in enumerate((text or "").split("\n")):
-                    found = parse_line(line, depth, constant)
-                    if found is None or leaves is not None and found[0] not in leaves:
+                    found = parse_line(line, depth, constant, leaves, known_hash)
+                    if found is None:
                         continue
                     leaf, whole, tokens = found
                     if what == "places":
@@ -80,7 +84,7 @@ def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, dep
                         if what == "distinct":
                             rows.append((i, leaf, whole, len(tokens)))
                         elif len(tokens) >= least_tokens:
-                            rows.append((i, leaf, whole, [0 if t == FIELD else _hash(t) for t in tokens]))
+                            rows.append((i, leaf, whole, [0 if t == FIELD else known_hash(t) for t in tokens]))
                 if len(rows) >= 50_000:
                     yield batch_of(batch, rows)
                     rows = []
@@ -97,7 +101,8 @@ def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, dep
              *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), last)))], ["id", "hash", *names])
 
     made = T.StructType([docs.schema["id"], docs.schema["hash"], *T.StructType.fromDDL(schema).fields])
-    return docs.select("id", "hash", "text").mapInArrow(read, made)
+    made = docs.select("id", "hash", "text").mapInArrow(read, made)
+    return made if known is None or few is not None else made.join(known.select("leaf").distinct(), "leaf", "left_semi")
 
 
 def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, similarity: float,
@@ -116,7 +121,7 @@ def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, simil
     leaves = stored(leaves.where((F.col("n") >= enough) & (F.col("different") > 1)).select("leaf"))
     apart = _lines(docs, "tokens", "leaf bigint, line bigint, tokens array<bigint>", leaves, depth, constant, least_tokens)
     counted = same.select("leaf", "line", "first", F.col("n").alias("known"))
-    apart = apart.join(leaves, "leaf", "left_semi").join(counted, ["leaf", "line"], "left")
+    apart = apart.join(counted, ["leaf", "line"], "left")
     # of a line that recurs as it is the first document's stands for all
     apart = stored(apart.where(F.col("known").isNull() | F.col("id").eqNullSafe(F.col("first.id"))
                                & (F.col("hash") == F.col("first.hash"))).drop("first"))
@@ -132,7 +137,7 @@ def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, simil
     general = found.withColumn("rarest", rarest).where("rarest IS NOT NULL")
     constants = F.filter("found", lambda x: x["often"] >= F.col("rarest"))
     constants = F.transform(constants, lambda x: F.struct(x["place"], x["token"]))
-    general = general.select("leaf", "line", "size", F.xxhash64(F.sort_array(constants)).alias("template"))
+    general = stored(general.select("leaf", "line", "size", F.xxhash64(F.sort_array(constants)).alias("template")))
     stands = apart.select("leaf", "line", "id", "hash", "known").join(general, ["leaf", "line"])
     documents = stands.groupBy("leaf", "size", "template", "id", "hash").agg(F.max("known").alias("known"))
     documents = documents.groupBy("leaf", "size", "template").agg(
