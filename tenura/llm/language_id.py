@@ -2,7 +2,8 @@
 
 Each language has a raw-content dictionary: text of that language, at most ``dictionary_bytes`` of it.
 A document is compressed with every dictionary and belongs to the language whose dictionary
-makes it smallest. Where the best two are closer than ``min_margin`` the document is rejected.
+makes it smallest; long ones in pieces, each with the dictionary, whose sizes are added, so that all of the text has its
+say. Where the best two are closer than ``min_margin`` the document is rejected.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ UNKNOWN = "und"
 NOT_LETTERS = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
 #: A short text is written several times, or else it may not be worth compressing at all.
 SHORT, REPEATS = 256, 4
+#: A longer text is cut into equal pieces of at most this; what a dictionary saves is near the start of what it is used for.
+PIECE = 1 << 16
 ADDED = T.StructType([
     T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
     T.StructField("margin", T.DoubleType()), T.StructField("rejected", T.BooleanType()),
@@ -83,7 +86,9 @@ class Classifier:
                 level=level, dict_data=raw, write_checksum=False, write_content_size=False, write_dict_id=False))
 
     def sizes(self, text: bytes) -> np.ndarray:
-        return np.array([len(c.compress(text)) for c in self.compressors])
+        step = -(-len(text) // -(-len(text) // PIECE))
+        pieces = [text[i:i + step] for i in range(0, len(text), step)]
+        return np.array([sum(len(c.compress(p)) for p in pieces) for c in self.compressors])
 
     def judge(self, text: str | None) -> tuple[str, float, float]:
         """(language, score, margin): of equal sizes the first language; ``und`` without a letter or language."""

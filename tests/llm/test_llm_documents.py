@@ -85,6 +85,17 @@ def test_close_languages_are_rejected(spark):
     assert all(r["rejected"] and r["lang_pred"] == "a" for r in found)
 
 
+def test_long_texts_are_not_rejected_for_their_length(spark, docs):
+    learned = language_id.learn(docs.where(~language_id.held_out(F.col("doc_id"))))
+    for lang in ("en", "de"):
+        rows = docs.where((F.col("lang") == lang) & language_id.held_out(F.col("doc_id"))).select("text").collect()
+        vocabulary = np.array([w for r in rows for w in r["text"].split()])
+        text = " ".join(np.random.default_rng(5).choice(vocabulary, 10_000_000 * len(vocabulary) // sum(len(w) + 1 for w in vocabulary)))
+        found = language_id.identify(spark.createDataFrame([(text,), (text[:100_000],)], "text string"), learned).collect()
+        assert [(r["lang_pred"], r["rejected"]) for r in found] == [(lang, False)] * 2
+        assert found[0]["margin"] > 0.5 * found[1]["margin"]
+
+
 # n-gram join
 
 def grams(text, k=5):
