@@ -3,15 +3,17 @@
 A value that looks like one of the known kinds is first validated (Luhn and mod-97 digits, ranges, calendar). Its free
 characters are read as a number below the size of its format, the number is permuted by a Feistel
 network under the key, walked until it is below that size again, and written back in the same
-format. Equal values get equal pseudonyms in every document, and the key takes them back.
+format. Equal values get equal pseudonyms in every document, and the key takes them back. Only where a card or account
+number stands so near to other digits that its pseudonym would be read with them, it gets another, to be taken back.
 """
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -212,24 +214,103 @@ KINDS: list[tuple[str, str, Callable]] = [
 ]
 
 
-def find(text: str) -> Iterator[tuple[int, int, str, Callable]]:
-    """The values of a text that may be personal: (first, end, kind, how to replace it), not overlapping."""
-    taken: list[tuple[int, int]] = []
+#: Written forms of card numbers, which are also looked for beside other digits: dates of expiry, check values, counts.
+_BEFORE, _BEHIND = r"(?<![\d.])(?<![^\d]-)", r"(?!\d)(?!-(?!\d))"
+CARDS = [re.compile(f"{_BEFORE}(?:{form}){_BEHIND}") for form in (
+    r"\d{4}(?:[ -]\d{4}){3}", r"\d{13,19}", r"\d{4}[ -]\d{6}[ -]\d{4,5}", r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}",
+    r"\d{4}(?:[ -]\d{3}){3}", r"\d{4}(?:[ -]\d{4}){2}[ -]\d")]
+#: The countries of account numbers, by length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+IBANS = [re.compile(r"\b(?:" + "|".join(rf"(?:{ks.replace(' ', '|')})\d\d(?: ?[A-Z0-9]){{{n - 4}}}"
+                                        for n, ks in IBAN_LENGTHS.items()) + r")\b")]
+
+
+def _ends(kind: str, match: re.Match) -> list[int]:
+    """Where a value that begins with ``match`` may end, the longest first."""
+    shorter = [i for i in range(match.end() - 1, match.start() + 14, -1) if match.string[i] == " "] if kind == "iban" else []
+    return [match.end(), *shorter]
+
+
+def _forms() -> Iterator[tuple[str, re.Pattern, Callable]]:
     for kind, pattern, replace in KINDS:
-        for m in re.finditer(pattern, text):
-            if all(m.end() <= a or m.start() >= b for a, b in taken) and replace(m[0], b"", False) is not None:
-                taken.append(m.span())
-                yield *m.span(), kind, replace
+        for form in (*{"card": CARDS, "iban": IBANS}.get(kind, ()), re.compile(pattern)):
+            yield kind, form, replace
+
+
+FORMS = list(_forms())
+
+
+def find(text: str, kinds: tuple[str, ...] | None = None) -> Iterator[tuple[int, int, str, Callable]]:
+    """The values of a text that may be personal: (first, end, kind, how to replace it), not overlapping.
+
+    What fails its validation is tried with its shorter ends, then the search goes on behind its first character.
+    """
+    taken: list[tuple[int, int]] = []
+    for kind, form, replace in FORMS:
+        if kinds is not None and kind not in kinds:
+            continue
+        found, at = [], 0
+        while m := form.search(text, at):
+            a, at = m.start(), m.start() + 1
+            for b in _ends(kind, m):
+                i = bisect.bisect_left(taken, (b, 0))
+                if (i == 0 or taken[i - 1][1] <= a) and replace(text[a:b], b"", False) is not None:
+                    found.append((a, b))
+                    yield a, b, kind, replace
+                    at = b
+                    break
+        if found:
+            taken = sorted(taken + found)
+
+
+#: Kinds whose values may begin and end inside other digits, and how far around them that may matter.
+INSIDE, AROUND = ("iban", "card"), 40
+
+
+def _replaced(before: str, value: str, behind: str, kind: str, replace: Callable, key: bytes, back: bool) -> str:
+    """The pseudonym of a value in its surroundings: the first in its cycle after which the same is found there."""
+    new = replace(value, key, back)
+    if kind not in INSIDE:
+        return new
+
+    def spans(x: str) -> list[tuple]:
+        return sorted(f[:3] for f in find(before + x + behind, INSIDE))
+
+    wanted = spans(value)
+    while new != value and spans(new) != wanted:
+        new = replace(new, key, back)
+    return new
 
 
 def pseudonymise_text(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with its values replaced, and where they stood: (first, end, kind)."""
     spans = sorted((a, b, kind, replace) for a, b, kind, replace in find(text)) if re.search(r"[0-9@]|(?i:password|token|secret|api_key)", text) else []
-    out, at = [], 0
-    for a, b, _, replace in spans:
-        out += [text[at:a], replace(text[a:b], key, back)]
+    # a value is replaced in view of those before it as pseudonyms and of those behind it as they were
+    pieces, at = [], 0
+    for a, b, _, _ in spans:
+        pieces += [text[at:a], text[a:b]]
         at = b
-    return "".join([*out, text[at:]]), [(a, b, kind) for a, b, kind, _ in spans]
+    pieces.append(text[at:])
+
+    def near(parts: Iterable[str], last: bool) -> str:
+        out = ""
+        for part in parts:
+            out = part[-AROUND:] + out if last else out + part[:AROUND]
+            if len(out) >= AROUND:
+                break
+        return out[-AROUND:] if last else out[:AROUND]
+
+    order = range(len(spans))
+    for i in reversed(order) if back else order:
+        j, (_, _, kind, replace) = 2 * i + 1, spans[i]
+        before = near((pieces[k] for k in range(j - 1, -1, -1)), True) if kind in INSIDE else ""
+        behind = near((pieces[k] for k in range(j + 1, len(pieces))), False) if kind in INSIDE else ""
+        pieces[j] = _replaced(before, pieces[j], behind, kind, replace, key, back)
+    return "".join(pieces), [(a, b, kind) for a, b, kind, _ in spans]
 
 
 SPAN = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType()),
