@@ -353,13 +353,16 @@ def text_hash(text: str) -> int:
 
 
 def main_text(names: list[str], texts: list[str], outs: list[str], levels: list[int], links: list[float],
-              template: dict[str, int]) -> str:
-    """The text of a page from its blocks and the constant slots (name: text hash) of its host."""
+              template: dict[str, int], everywhere: dict[str, int] | None = None) -> str:
+    """The text of a page from its blocks and the constant slots (name: text hash) of its host.
+
+    ``template`` holds for pages without a named article, ``everywhere`` inside one.
+    """
     inside = [i for i, out in enumerate(outs) if not out]
     level = max((levels[i] for i in inside), default=PLAIN)
     inside = [i for i in inside if levels[i] == level]
     content = inside
-    if template:
+    if template := template if level == PLAIN else everywhere:
         constant = {k for k, v in whole_texts(names, texts, outs).items() if template.get(k) == text_hash(v)}
         content = [i for i in inside if names[i] not in constant]
     if level == PLAIN:
@@ -394,7 +397,8 @@ def induce(read: DataFrame, min_pages: int = 3, share: float = 0.8) -> DataFrame
     """The wrappers of hosts: ``host``, ``reference`` (a tree) and ``template`` (name and text hash of constant slots).
 
     ``read`` has ``host`` and the columns of ``read_pages``. A slot is constant if one text fills it in at least
-    ``min_pages`` pages and in ``share`` of the host's pages that have it.
+    ``min_pages`` pages and is ``usual``, in ``share`` of the host's pages, or ``everywhere``, in as many as have a named
+    article. Pages with equal blocks count once.
     """
     counts = read.groupBy("host", "tree").count()
     references = stored(counts.groupBy("host").agg(
@@ -404,24 +408,33 @@ def induce(read: DataFrame, min_pages: int = 3, share: float = 0.8) -> DataFrame
         aligner = Aligner()
         for batch in batches:
             rows = []
-            for host, tree, reference, slots, said, outs in zip(*(batch.column(c).to_pylist() for c in (
-                    "host", "tree", "reference", "slots", "texts", "outs"))):
+            for host, tree, reference, slots, said, outs, levels, page in zip(*(batch.column(c).to_pylist() for c in (
+                    "host", "tree", "reference", "slots", "texts", "outs", "levels", "page"))):
                 names = aligner.names(tree, reference)
+                rows.append((host, "", 0, page))
+                if any(level != PLAIN and not out for level, out in zip(levels, outs)):
+                    rows.append((host, "", 1, page))
                 for name, text in whole_texts([names[i] for i in slots], said, outs).items():
-                    rows += [(host, name, 0), (host, name, text_hash(text))]
-            columns = list(zip(*rows)) if rows else [(), (), ()]
+                    rows.append((host, name, text_hash(text), page))
+            columns = list(zip(*rows)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64()))],
-                ["host", "slot", "hash"])
+                [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()))],
+                ["host", "slot", "hash", "page"])
 
     often = references.where(F.col("pages") >= min_pages)
-    said = with_wrapper(read.select("host", "tree", "slots", "texts", "outs"), often, "inner")
-    said = said.mapInArrow(texts, "host string, slot string, hash bigint").groupBy("host", "slot", "hash").count()
-    slots = said.groupBy("host", "slot").agg(
-        F.max(F.when(F.col("hash") == 0, F.col("count"))).alias("have"),
-        F.max(F.when(F.col("hash") != 0, F.struct("count", "hash"))).alias("top"))
-    constant = slots.where((F.col("top.count") >= min_pages) & (F.col("top.count") >= share * F.col("have")))
-    constant = constant.groupBy("host").agg(F.collect_list(F.struct("slot", F.col("top.hash").alias("hash"))).alias("template"))
+    said = read.select("host", "tree", "slots", "texts", "outs", "levels", F.xxhash64("tree", "slots", "texts").alias("page"))
+    said = with_wrapper(said, often, "inner").mapInArrow(texts, "host string, slot string, hash bigint, page bigint")
+    # a text of one host in one slot, by the number of different pages
+    said = said.distinct().groupBy("host", "slot", "hash").agg(F.count("*").alias("n"))
+    said = stored(said.where((F.col("n") >= min_pages) | (F.col("slot") == "")))
+    hosts = said.where("slot = ''").groupBy("host").agg(
+        F.max(F.when(F.col("hash") == 0, F.col("n"))).alias("all"), F.max(F.when(F.col("hash") == 1, F.col("n"))).alias("named"))
+    slots = said.where("slot <> ''").groupBy("host", "slot").agg(F.max(F.struct("n", "hash")).alias("top"))
+    slots = slots.join(hosts, "host").select(
+        "host", "slot", F.col("top.hash").alias("hash"), (F.col("top.n") >= share * F.col("all")).alias("usual"),
+        F.coalesce(F.col("top.n") >= F.col("named"), F.lit(False)).alias("everywhere"))
+    constant = slots.where("usual OR everywhere")
+    constant = constant.groupBy("host").agg(F.collect_list(F.struct("slot", "hash", "usual", "everywhere")).alias("template"))
     return stored(references.drop("pages").join(constant, "host", "left"))
 
 
@@ -439,11 +452,11 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", keep: tuple[
     In a block every run of white space is one space and character references are decoded. The article is what
     ``article`` or ``main`` elements hold, else elements named like it, else whatever varies between the
     pages of the host and isn't mostly links. Parts that markup names as something else are left out, and so
-    are constant slots, unless nothing would stay of a named article.
+    are constant slots; inside a named article those only that say the same on all pages with one, unless nothing would stay.
 
     Null or empty html has an empty text. Pages without url or host form a host of their own. Hosts with fewer than
     ``min_pages`` pages have no template; their pages are read by their markup alone. Repeated pages
-    count as pages. A column ``text`` of ``pages`` is replaced, all others (or those in ``keep``) are kept.
+    count once. A column ``text`` of ``pages`` is replaced, all others (or those in ``keep``) are kept.
     """
     kept = [c for c in pages.columns if c != "text"] if keep is None else list(keep)
     rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"),
@@ -460,7 +473,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", keep: tuple[
                                                           "links", "template"))):
                 names = aligner.names(tree, reference)
                 made.append(main_text([names[i] for i in slots], said, outs, levels, links,
-                                      {x["slot"]: x["hash"] for x in template or ()}))
+                                      *({x["slot"]: x["hash"] for x in template or () if x[kind]}
+                                        for kind in ("usual", "everywhere"))))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(made, pa.string())], ["row", "text"])
 
     schema = rows.select("row", F.lit("").cast("string").alias("text")).schema

@@ -89,6 +89,24 @@ def test_constant_slots_are_template(spark):
     assert found == {i: f"Text {i}" for i in range(9)}
 
 
+def test_articles_that_repeat_are_not_template(spark):
+    end = "<section>Read more here</section>"
+    rows = [(i, "http://quotes.example/", f"<article><h1>Day {i}</h1><p>Told on day {i}</p>{end}</article>") for i in range(20)]
+    quote = "<article><h1>Copy{0}</h1><p>As they say</p><blockquote>Only here</blockquote>" + end + "</article>"
+    rows += [(100 + i, "http://quotes.example/", quote.format("")) for i in range(3)]  # equal pages
+    rows += [(200 + i, "http://quotes.example/", quote.format(f" {i}")) for i in range(3)]  # equal but for the headline
+    rows += [(300 + i, "http://bodies.example/", f"<article><h1>Headline {i}</h1><p>{'The one body' if i else 'Another'}</p></article>")
+             for i in range(5)]
+    rows += [(400 + i, "http://plain.example/", f"<div><p>Day {i}</p>{'<blockquote>Only here</blockquote>' if i < 4 else ''}</div>")
+             for i in range(20)]
+    found = {r["page_id"]: r["text"] for r in html_extraction.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[3] == "Day 3 Told on day 3"  # what all articles of the host end with is template
+    for i in range(3):
+        assert found[100 + i] == "Copy As they say Only here" and found[200 + i] == f"Copy {i} As they say Only here"
+    assert [found[300 + i] for i in range(5)] == ["Headline 0 Another", *(f"Headline {i} The one body" for i in range(1, 5))]
+    assert found[400] == "Day 0 Only here" and found[410] == "Day 10"
+
+
 def test_tree_matching():
     tree = html_extraction.from_skeleton
     a, b = tree("r ( a ( x y ) b c )"), tree("r ( b a ( y x ) c d )")
