@@ -8,7 +8,7 @@ import os
 import duckdb
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "documents", "pages", "benchmark"]
+          "documents", "embeddings", "pages", "benchmark"]
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
