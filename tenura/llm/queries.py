@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.llm import (
+    centroids,
     decontamination,
     fingerprints,
     html_extraction,
@@ -188,6 +189,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Rounds of assigning and moving, one after another as common table expressions."""
+    text = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), embedding) AS no, vec_id,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), c0 AS (SELECT no - 1 AS cluster, v AS c FROM kept WHERE no <= {k})"""
+    assigned = """, a{0} AS (
+  SELECT no, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'cluster': cluster}}) AS best
+  FROM (SELECT no, vec_id, v, cluster, list_sum([(v[i] - c[i]) * (v[i] - c[i]) for i in range(1, {1})]) AS d
+        FROM kept, c{0}) GROUP BY no
+)"""
+    moved = """, s{0} AS (
+  SELECT best.cluster AS cluster, i, sum(v[i]) AS s, count(*) AS n FROM a{0}, range(1, {2}) AS r(i) GROUP BY ALL
+), m{0} AS (
+  SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{0} GROUP BY cluster
+), c{1} AS (SELECT old.cluster, coalesce(m.c, old.c) AS c FROM c{0} AS old LEFT JOIN m{0} AS m USING (cluster))"""
+    for r in range(rounds):
+        text += assigned.format(r, dims + 1) + moved.format(r, r + 1, dims + 1)
+    return text + assigned.format(rounds, dims + 1) + f"""
+SELECT vec_id, CAST(best.cluster AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON cluster = best.cluster
+"""
+
+
+@query("op13_centroids", op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))[0]
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

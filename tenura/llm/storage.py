@@ -11,9 +11,11 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """This session's folder below ``spark.checkpoint.dir``; a temporary one where that is unset."""
+    """This session's folder below ``spark.checkpoint.dir``; a temporary one where that is unset, in local mode only."""
     base = spark.conf.get(SETTING, None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError(f"set {SETTING} to a folder shared by all executors")
         base = f"file://{tempfile.mkdtemp(prefix='tenura-')}"
         spark.conf.set(SETTING, base)
     return f"{base.rstrip('/')}/tenura-{spark.sparkContext.applicationId}"
