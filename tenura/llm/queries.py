@@ -18,6 +18,7 @@ from tenura.llm import (
     mixing,
     ngram_join,
     pseudonyms,
+    simhash_trie,
     url_filter,
     warc,
 )
@@ -189,6 +190,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_simhash")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_trie.near_copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op13_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
     """Rounds of assigning and moving, one after another as common table expressions."""
     text = f"""
