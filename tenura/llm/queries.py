@@ -19,6 +19,7 @@ from tenura.llm import (
     ngram_join,
     pseudonyms,
     simhash_trie,
+    spelling,
     url_filter,
     warc,
 )
@@ -196,6 +197,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op12_spelling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"), slip_every=97)
+
+
 def op13_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
     """Rounds of assigning and moving, one after another as common table expressions."""
     text = f"""
