@@ -3,31 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 from itertools import product
-from math import log2
+from math import isqrt
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura import config
 from tenura.functions.tables import literal_table, q
-from tenura.operators import metrics
+from tenura.operators import metrics, trees
 from tenura.operators.rates import balanced_weights
 
 LABEL, WEIGHT, FEATURES = "label", "weight", "features"
-#: Candidate cuts of a feature in the tree families, a documented bound of the fits.
-MAX_BINS = 128
 SCORED_TOGETHER = 40
 
 
@@ -70,42 +65,40 @@ def logistic(params: Mapping, total_weight: float):
     )
 
 
-def tree(params: Mapping, total_weight: float):
-    """A leaf minimum of half the split minimum stands in for the split minimum."""
-    return DecisionTreeClassifier(
-        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxDepth=params["max_depth"],
-        minInstancesPerNode=max(1, params["min_split"] // 2), maxBins=MAX_BINS, seed=config.SEED,
-    )
+def tree(params: Mapping, weights: Mapping[int, float], ratio: float, columns: int) -> trees.Setting:
+    return trees.Setting(max_depth=params["max_depth"], min_split=params.get("min_split", 2), weights=_pair(weights))
 
 
-def forest(params: Mapping, total_weight: float):
-    return RandomForestClassifier(
-        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, numTrees=params["trees"],
-        maxDepth=params["max_depth"], minInstancesPerNode=max(1, params.get("min_split", 2) // 2),
-        featureSubsetStrategy="sqrt", maxBins=MAX_BINS, seed=config.SEED,
+def forest(params: Mapping, weights: Mapping[int, float], ratio: float, columns: int) -> trees.Setting:
+    """Bootstrapped rows, the square root of the columns at each node."""
+    return trees.Setting(
+        trees=params["trees"], max_depth=params["max_depth"], min_split=params.get("min_split", 2), bootstrap=True,
+        node_columns=max(1, isqrt(columns)), weights=_pair(weights),
     )
 
 
-def boosted(params: Mapping, total_weight: float):
-    return GBTClassifier(
-        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxIter=params["trees"],
-        maxDepth=params["max_depth"], stepSize=params["learning_rate"],
-        subsamplingRate=params["subsample"], featureSubsetStrategy=str(float(params["column_share"])),
-        maxBins=MAX_BINS, seed=config.SEED,
+def boosted(params: Mapping, weights: Mapping[int, float], ratio: float, columns: int) -> trees.Setting:
+    """Second-order boosting level by level; class 1 weighs the class ratio."""
+    return trees.Setting(
+        boosted=True, trees=params["trees"], max_depth=params["max_depth"], rate=params["learning_rate"],
+        row_share=params["subsample"], column_share=params["column_share"], l2=1.0, min_weight=1.0, weights=(1.0, ratio),
     )
 
 
-def leaf_boosted(params: Mapping, total_weight: float):
-    """Depth-wise counterpart of a leaf-count limit: the depth holding that many leaves."""
-    depth = round(log2(params["leaves"]))
-    if params["max_depth"] > 0:
-        depth = min(depth, params["max_depth"])
-    return GBTClassifier(
-        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxIter=params["trees"],
-        maxDepth=depth, stepSize=params["learning_rate"], maxBins=MAX_BINS, seed=config.SEED,
+def leaf_boosted(params: Mapping, weights: Mapping[int, float], ratio: float, columns: int) -> trees.Setting:
+    """Second-order boosting leaf by leaf; so many leaves reach one level less at most."""
+    deepest = params["leaves"] - 1
+    depth = min(params["max_depth"], deepest) if params["max_depth"] > 0 else deepest
+    return trees.Setting(
+        boosted=True, trees=params["trees"], leaves=params["leaves"], max_depth=depth, rate=params["learning_rate"],
+        min_leaf=20, min_weight=1e-3, weights=_pair(weights),
     )
 
 
+def _pair(weights: Mapping[int, float]) -> tuple[float, float]:
+    return weights.get(0, 0.0), weights.get(1, 0.0)
+
+
 FAMILIES = {
     "Logistic Regression": (logistic, config.LOGISTIC_GRID),
     "Decision Tree": (tree, config.TREE_GRID),
@@ -115,6 +108,10 @@ FAMILIES = {
 }
 
 
+#: Families that ``trees`` grows, all settings and folds side by side.
+GROWN = ("Decision Tree", "Random Forest", "Boosted Trees", "Leaf-Limited Boosted Trees")
+
+
 def combinations_of(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
@@ -130,6 +127,9 @@ def _in_threads(work, items: Sequence, threads: int) -> list:
 def score(model, df: DataFrame, threshold: float | None = None) -> DataFrame:
     """Add the class-1 probability and the 0/1 prediction (0.5 rule unless a threshold is given)."""
     keep = [c for c in df.columns if c != FEATURES]
+    if isinstance(model, trees.Model):
+        chance = trees.scored(df, {"": model}, FEATURES, keep).withColumn("probability", F.col("probabilities")[0])
+        return chance.drop("probabilities").withColumn("prediction", _hit(threshold))
     out = model.transform(df).withColumn("__p", metrics.positive_probability())
     hit = (
         metrics.at_threshold(F.col("__p"), threshold)
@@ -141,6 +141,13 @@ def score(model, df: DataFrame, threshold: float | None = None) -> DataFrame:
     )
 
 
+def _hit(threshold: float | None, probability: str = "probability") -> Column:
+    """1 above a half, or from the threshold on if one is given."""
+    if threshold is not None:
+        return metrics.at_threshold(F.col(probability), threshold)
+    return F.when(F.col(probability) > 0.5, 1).otherwise(0)
+
+
 def prepare(df: DataFrame, features: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """Label, feature vector and the columns needed later; nothing else is kept."""
     kept = [c for c in dict.fromkeys([config.KEY, "split", "fold", *extra]) if c in df.columns]
@@ -211,9 +218,100 @@ def params_text(params: Mapping) -> dict[str, str]:
     return {k: str(v)[:250] for k, v in params.items()}
 
 
-def _settings(estimator) -> tuple:
-    """The values that a fit depends on."""
-    return tuple(sorted((p.name, str(v)) for p, v in estimator.extractParamMap().items()))
+def full_params(family: str, params: Mapping, total_weight: float = 1.0) -> dict[str, str]:
+    """All parameters of a family's model, not only those of its grid."""
+    if family in GROWN:
+        return params_text(asdict(FAMILIES[family][0](params, {0: 1.0, 1: 1.0}, 1.0, 1)) | dict(params))
+    made = FAMILIES[family][0](params, total_weight)
+    return params_text({p.name: v for p, v in made.extractParamMap().items()} | dict(params))
+
+
+@dataclass
+class Binned:
+    """Training rows ready for growing trees, with the class weights of every fold's complement and of all rows."""
+
+    table: DataFrame
+    cuts: list[list[float]]
+    by_fold: list[dict[int, float]]
+    whole: dict[int, float]
+    ratio: float
+
+    def weights(self, fold: int) -> dict[int, float]:
+        return self.by_fold[fold] if fold >= 0 else self.whole
+
+    def setting(self, family: str, params: Mapping, fold: int) -> trees.Setting:
+        made = FAMILIES[family][0](params, self.weights(fold), self.ratio, len(self.cuts))
+        return replace(made, left_out=fold, seed=config.SEED)
+
+
+def bin_rows(train: DataFrame, folds: int = config.FOLDS, bins: int = trees.BINS) -> Binned:
+    """Cut points over all training rows, binned rows, class weights; rows without a label are left out."""
+    rows = train.filter(q(LABEL).isNotNull())
+    width = len(rows.select(vector_to_array(FEATURES)).first()[0])
+    cuts = trees.cut_points(rows.select(vector_to_array(FEATURES).alias("x")), width, bins)
+    whole = {r[LABEL]: r["weight"] for r in balanced_weights(rows, LABEL).limit(3).collect()}
+    # balanced weights are inverse to the class sizes, so their quotient is the class ratio
+    ratio = whole[1] / whole[0] if {0, 1} <= set(whole) else 1.0
+    by_fold = fold_weights(train, folds) if "fold" in train.columns else []
+    return Binned(trees.binned(rows, cuts, FEATURES, LABEL), cuts, by_fold, whole, ratio)
+
+
+def _fits(rows: Binned, family: str, combos: Sequence[Mapping], fold: int) -> list[tuple[trees.Setting, trees.Variant]]:
+    """For each combination the setting to grow and the part of the grown model that it is.
+
+    Fewer rounds or trees are the first ones of more. Without boosting a smaller depth or a larger split minimum is the same
+    tree cut back, so one forest serves all combinations.
+    """
+    made = [rows.setting(family, p, fold) for p in combos]
+    out = []
+    for s in made:
+        same = [o for o in made if _shared(o) == _shared(s)]
+        whole = replace(s, trees=max(o.trees for o in same))
+        variant = trees.Variant(0, 0, s.trees)
+        if not s.boosted:
+            whole = replace(whole, max_depth=max(o.max_depth for o in same), min_split=min(o.min_split for o in same))
+            variant = replace(variant, depth=s.max_depth, min_split=s.min_split)
+        out.append((whole, variant))
+    return out
+
+
+def _shared(s: trees.Setting) -> trees.Setting:
+    s = replace(s, trees=0)
+    return s if s.boosted else replace(s, max_depth=0, min_split=0)
+
+
+def search_grown(rows: Binned, grids: Mapping[str, Mapping], folds: int = config.FOLDS) -> DataFrame:
+    """``model``, ``candidate``, ``fold`` and F1 of all combinations of several families, grown side by side.
+
+    Every fit is tallied as four numbers over the rows that it has not seen.
+    """
+    settings: dict[trees.Setting, int] = {}
+    variants, names = [], []
+    for family, grid in grids.items():
+        combos = combinations_of(grid)
+        for fold in range(folds):
+            for i, (whole, variant) in enumerate(_fits(rows, family, combos, fold)):
+                model = settings.setdefault(whole, len(settings))
+                variants.append(replace(variant, candidate=len(names) + i, model=model))
+        names += [(family, i) for i in range(len(combos))]
+    grown = trees.grow(rows.table, rows.cuts, list(settings))
+    cells = trees.tally(rows.table, grown, variants)
+    found = metrics.from_confusion(cells, ["candidate", "fold"]).select("candidate", "fold", "F1")
+    known = literal_table(rows.table.sparkSession, [(n, *k) for n, k in enumerate(names)], ["candidate", "model", "number"])
+    return found.join(F.broadcast(known), "candidate").select("model", F.col("number").alias("candidate"), "fold", "F1")
+
+
+def _results(family: str, combos: Sequence[Mapping], fitted: Mapping[int, Mapping]) -> list[dict]:
+    return [
+        {"model": family, "candidate": i, "params": params_text(p),
+         "F1_mean": fitted[i]["F1_mean"], "F1_std": fitted[i]["F1_std"]}
+        for i, p in enumerate(combos)
+    ]
+
+
+def best_of(combos: Sequence[Mapping], results: Sequence[Mapping]) -> dict:
+    """The parameters with the best mean F1, the first ones on ties."""
+    return combos[max(range(len(combos)), key=lambda i: (results[i]["F1_mean"], -i))]
 
 
 def grid_search(
@@ -223,26 +321,9 @@ def grid_search(
     folds: int = config.FOLDS,
     threads: int = 4,
 ) -> tuple[dict, list[dict]]:
-    """The parameters with the best mean F1 over the folds (first one on ties), and all results.
-
-    Combinations that make the same estimator are fitted once and reported for each.
-    """
-    make, default = FAMILIES[family]
-    combos = combinations_of(grid or default)
-    first: dict[tuple, int] = {}
-    same = [first.setdefault(_settings(make(p, 1.0)), i) for i, p in enumerate(combos)]
-    jobs = [(i, lambda total, p=combos[i]: make(p, total)) for i in first.values()]
-    per_fold = cross_validate(train, jobs, folds, threads, with_auc=False)
-    means = metrics.mean_and_spread(per_fold, ["F1"], ["candidate"]).collect()
-    fitted = {r["candidate"]: r for r in means}
-    by_id = {i: fitted[j] for i, j in enumerate(same)}
-    results = [
-        {"model": family, "candidate": i, "params": params_text(p),
-         "F1_mean": by_id[i]["F1_mean"], "F1_std": by_id[i]["F1_std"]}
-        for i, p in enumerate(combos)
-    ]
-    best = max(range(len(combos)), key=lambda i: (results[i]["F1_mean"], -i))
-    return combos[best], results
+    """The parameters with the best mean F1 over the folds (first one on ties), and all results."""
+    best, results = grid_search_all(train, {family: grid or FAMILIES[family][1]}, folds, threads)
+    return best[family], results
 
 
 def grid_search_all(
@@ -251,11 +332,29 @@ def grid_search_all(
     folds: int = config.FOLDS,
     threads: int = 4,
 ) -> tuple[dict[str, dict], list[dict]]:
-    """Best parameters per family, over the declared grids unless others are passed."""
+    """Best parameters per family, over the declared grids unless others are passed, and all results.
+
+    The tree families are grown together. Combinations that make the same model are fitted once and reported for each.
+    """
     grids = grids or {name: grid for name, (_, grid) in FAMILIES.items()}
+    grown = {f: g for f, g in grids.items() if f in GROWN}
+    fitted: dict[str, dict] = {}
+    if grown:
+        per_fold = search_grown(bin_rows(train, folds), grown, folds)
+        for r in metrics.mean_and_spread(per_fold, ["F1"], ["model", "candidate"]).collect():
+            fitted.setdefault(r["model"], {})[r["candidate"]] = r
+    for family in grids:
+        if family not in GROWN:
+            make = FAMILIES[family][0]
+            jobs = [(i, lambda total, p=p: make(p, total)) for i, p in enumerate(combinations_of(grids[family]))]
+            per_fold = cross_validate(train, jobs, folds, threads, with_auc=False)
+            means = metrics.mean_and_spread(per_fold, ["F1"], ["candidate"]).collect()
+            fitted[family] = {r["candidate"]: r for r in means}
     best, results = {}, []
     for family, grid in grids.items():
-        best[family], rows = grid_search(train, family, grid, folds, threads)
+        combos = combinations_of(grid)
+        rows = _results(family, combos, fitted[family])
+        best[family] = best_of(combos, rows)
         results += rows
     return best, results
 
@@ -276,10 +375,23 @@ def search_table(spark, results: Sequence[Mapping]) -> DataFrame:
     return literal_table(spark, rows, ["model", "candidate", "params", "F1_mean", "F1_std"])
 
 
+def fit_all(train: DataFrame, best: Mapping[str, Mapping], threads: int = 4) -> dict:
+    """One model for each family on all rows; the tree families are grown together."""
+    grown = [f for f in best if f in GROWN]
+    models = {}
+    if grown:
+        rows = bin_rows(train)
+        models = dict(zip(grown, trees.grow(rows.table, rows.cuts, [rows.setting(f, best[f], -1) for f in grown])))
+    others = [f for f in best if f not in GROWN]
+    if others:
+        weighted = add_weights(train)
+        total = weighted.agg(F.sum(WEIGHT)).first()[0]
+        models |= dict(zip(others, _in_threads(lambda f: FAMILIES[f][0](best[f], total).fit(weighted), others, threads)))
+    return {f: models[f] for f in best}
+
+
 def fit(train: DataFrame, family: str, params: Mapping):
-    weighted = add_weights(train)
-    total = weighted.agg(F.sum(WEIGHT)).first()[0]
-    return FAMILIES[family][0](params, total).fit(weighted)
+    return fit_all(train, {family: params})[family]
 
 
 def evaluate_models(
@@ -290,7 +402,7 @@ def evaluate_models(
     ``test`` carries MonthlyCharges. Returns the scoreboard and the fitted models.
     """
     names = list(best)
-    models = dict(zip(names, _in_threads(lambda n: fit(train, n, best[n]), names, threads)))
+    models = fit_all(train, best, threads)
     scored = [
         score(models[n], test.select(LABEL, "MonthlyCharges", FEATURES)).withColumn(
             "Model", F.lit(n)
@@ -309,12 +421,24 @@ def cross_validate_best(
     threads: int = 4,
 ) -> DataFrame:
     """Mean and population std of F1 and AUC over the folds, at a probability threshold."""
-    make = FAMILIES[family][0]
-    jobs = [(family, lambda total: make(params, total))]
-    per_fold = cross_validate(train, jobs, folds, threads, threshold)
+    per_fold = cross_validate_params(train, family, params, folds, threads, threshold)
     return metrics.mean_and_spread(per_fold, ["F1", "ROC-AUC"])
 
 
+def cross_validate_params(
+    train: DataFrame, family: str, params: Mapping, folds: int = config.FOLDS, threads: int = 4,
+    threshold: float | None = None, candidate: str | None = None,
+) -> DataFrame:
+    """Per fold: accuracy, precision, recall, F1 and AUC of one combination, named ``candidate``."""
+    name = candidate or family
+    if family not in GROWN:
+        return cross_validate(train, [(name, lambda total: FAMILIES[family][0](params, total))], folds, threads, threshold)
+    rows = bin_rows(train, folds)
+    grown = trees.grow(rows.table, rows.cuts, [rows.setting(family, params, i) for i in range(folds)])
+    chance = trees.held_out(rows.table, grown).withColumn("prediction", _hit(threshold))
+    return metrics.scoreboard(chance.withColumn("candidate", F.lit(name)), ["candidate", "fold"])
+
+
 def churn_chain(features: Sequence[str], family: str, params: Mapping, total_weight: float):
-    """Assembler and classifier as one savable chain."""
+    """Assembler and logistic classifier as one savable chain."""
     return Pipeline(stages=[assemble(features), FAMILIES[family][0](params, total_weight)])
