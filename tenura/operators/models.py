@@ -33,10 +33,14 @@ def _with_weights(df: DataFrame, fitted: Mapping[int, float], label: str) -> Dat
     return df.withColumn(WEIGHT, weight)
 
 
+def class_weights(df: DataFrame, label: str = LABEL) -> dict[int, float]:
+    """Balanced class weights of the rows with a label."""
+    return {r[label]: r["weight"] for r in balanced_weights(df.filter(q(label).isNotNull()), label).limit(3).collect()}
+
+
 def add_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Balanced class weights as a column; the two-row weight table is fitted first."""
-    fitted = {r[label]: r["weight"] for r in balanced_weights(df, label).limit(3).collect()}
-    return _with_weights(df, fitted, label)
+    return _with_weights(df, class_weights(df, label), label)
 
 
 def fold_weights(train: DataFrame, folds: int) -> list[dict[int, float]]:
@@ -249,7 +253,7 @@ def bin_rows(train: DataFrame, folds: int = config.FOLDS, bins: int = trees.BINS
     rows = train.filter(q(LABEL).isNotNull())
     width = len(rows.select(vector_to_array(FEATURES)).first()[0])
     cuts = trees.cut_points(rows.select(vector_to_array(FEATURES).alias("x")), width, bins)
-    whole = {r[LABEL]: r["weight"] for r in balanced_weights(rows, LABEL).limit(3).collect()}
+    whole = class_weights(rows)
     # balanced weights are inverse to the class sizes, so their quotient is the class ratio
     ratio = whole[1] / whole[0] if {0, 1} <= set(whole) else 1.0
     by_fold = fold_weights(train, folds) if "fold" in train.columns else []
@@ -280,11 +284,9 @@ def _shared(s: trees.Setting) -> trees.Setting:
     return s if s.boosted else replace(s, max_depth=0, min_split=0)
 
 
-def search_grown(rows: Binned, grids: Mapping[str, Mapping], folds: int = config.FOLDS) -> DataFrame:
-    """``model``, ``candidate``, ``fold`` and F1 of all combinations of several families, grown side by side.
-
-    Every fit is tallied as four numbers over the rows that it has not seen.
-    """
+def search_cells(rows: Binned, grids: Mapping[str, Mapping], folds: int = config.FOLDS) -> tuple[DataFrame, list[tuple]]:
+    """``candidate``, ``fold`` and the four cells of all combinations of several families over the rows each fit has not
+    seen, and the (family, number) of each candidate. All are grown side by side."""
     settings: dict[trees.Setting, int] = {}
     variants, names = [], []
     for family, grid in grids.items():
@@ -295,7 +297,12 @@ def search_grown(rows: Binned, grids: Mapping[str, Mapping], folds: int = config
                 variants.append(replace(variant, candidate=len(names) + i, model=model))
         names += [(family, i) for i in range(len(combos))]
     grown = trees.grow(rows.table, rows.cuts, list(settings))
-    cells = trees.tally(rows.table, grown, variants)
+    return trees.tally(rows.table, grown, variants), names
+
+
+def search_grown(rows: Binned, grids: Mapping[str, Mapping], folds: int = config.FOLDS) -> DataFrame:
+    """``model``, ``candidate``, ``fold`` and F1 of all combinations."""
+    cells, names = search_cells(rows, grids, folds)
     found = metrics.from_confusion(cells, ["candidate", "fold"]).select("candidate", "fold", "F1")
     known = literal_table(rows.table.sparkSession, [(n, *k) for n, k in enumerate(names)], ["candidate", "model", "number"])
     return found.join(F.broadcast(known), "candidate").select("model", F.col("number").alias("candidate"), "fold", "F1")
@@ -338,18 +345,21 @@ def grid_search_all(
     """
     grids = grids or {name: grid for name, (_, grid) in FAMILIES.items()}
     grown = {f: g for f, g in grids.items() if f in GROWN}
-    fitted: dict[str, dict] = {}
-    if grown:
-        per_fold = search_grown(bin_rows(train, folds), grown, folds)
-        for r in metrics.mean_and_spread(per_fold, ["F1"], ["model", "candidate"]).collect():
-            fitted.setdefault(r["model"], {})[r["candidate"]] = r
-    for family in grids:
-        if family not in GROWN:
+
+    def search(family: str | None) -> list:
+        if family is None:
+            per_fold = search_grown(bin_rows(train, folds), grown, folds)
+        else:
             make = FAMILIES[family][0]
             jobs = [(i, lambda total, p=p: make(p, total)) for i, p in enumerate(combinations_of(grids[family]))]
-            per_fold = cross_validate(train, jobs, folds, threads, with_auc=False)
-            means = metrics.mean_and_spread(per_fold, ["F1"], ["candidate"]).collect()
-            fitted[family] = {r["candidate"]: r for r in means}
+            per_fold = cross_validate(train, jobs, folds, threads, with_auc=False).withColumn("model", F.lit(family))
+        return metrics.mean_and_spread(per_fold, ["F1"], ["model", "candidate"]).collect()
+
+    fitted: dict[str, dict] = {}
+    side_by_side = ([None] if grown else []) + [f for f in grids if f not in GROWN]
+    for rows in _in_threads(search, side_by_side, len(side_by_side)):
+        for r in rows:
+            fitted.setdefault(r["model"], {})[r["candidate"]] = r
     best, results = {}, []
     for family, grid in grids.items():
         combos = combinations_of(grid)

@@ -40,6 +40,8 @@ SCALE = 1 << 20
 BINS = 128
 #: Bounds of a wave: cells counted, (row, tree) pairs held at once in a task, trees that grow side by side.
 CELLS, PAIRS, LANES = 1 << 23, 1 << 21, 512
+#: Cells that are added up in a bucket.
+CELLS_PER_BUCKET = 1 << 17
 #: Boosting rounds after which the rows' margins are written anew.
 ROUNDS_KEPT = 10
 LEAST_GAIN = 1e-9
@@ -126,6 +128,15 @@ def _append(model: Model, tree: dict[str, np.ndarray], offset: bool = True) -> N
     model.nodes = {k: np.concatenate([model.nodes[k], v]) if model.nodes else v for k, v in tree.items()}
 
 
+def _shared(df: DataFrame, value):
+    """A broadcast that tasks read with ``_read``; its classes travel with it."""
+    return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def _read(shared):
+    return cloudpickle.loads(shared.value)
+
+
 # binned rows
 
 def to_bins(x: np.ndarray, cuts: Sequence[Sequence[float]]) -> np.ndarray:
@@ -158,14 +169,14 @@ def cut_points(rows: DataFrame, n_features: int, bins: int = BINS) -> list[list[
 
 
 def binned(ready: DataFrame, cuts: Sequence[Sequence[float]], features: str = "features", label: str = "label") -> DataFrame:
-    """``label`` and ``fold`` (-1: none), ``row`` (a hash for sampling) and ``bins``, written once.
+    """``label`` (-1: none) and ``fold`` (-2: none, so that no model leaves it out), ``row`` (a hash for sampling) and ``bins``, written once.
 
     There are as many parts as tasks can run at once at least, as every wave passes over all of them.
     """
     key = [c for c in ready.columns if c not in (features, label, "fold", "split")]
     x = vector_to_array(features)
     row = F.xxhash64(*[F.col(f"`{c}`") for c in key]) if key else F.xxhash64(x)
-    fold = F.coalesce("fold", F.lit(-1)) if "fold" in ready.columns else F.lit(-1)
+    fold = F.coalesce("fold", F.lit(-2)) if "fold" in ready.columns else F.lit(-2)
     rows = ready.select(F.coalesce(label, F.lit(-1)).cast("int").alias("label"), fold.cast("int").alias("fold"),
                         row.alias("row"), x.alias("x"))
 
@@ -233,13 +244,14 @@ def probabilities(bins: np.ndarray, model: Model, trees: Sequence[int] = (), dep
 
 def scored(df: DataFrame, models: Mapping[str, Model], features: str = "features", keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` and an array column ``probabilities``, in the order of ``models``; one pass for all of them."""
-    shared = df.sparkSession.sparkContext.broadcast(list(models.values()))
+    shared = _shared(df, list(models.values()))
     rows = df.select(*[F.col(f"`{c}`") for c in keep], vector_to_array(features).alias("__x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = _read(shared)
         for batch in batches:
             found = []
-            for model in shared.value:
+            for model in models:
                 x = _matrix(batch.column("__x"), len(model.cuts))
                 found.append(probabilities(model.bins(x), model)[:, 0])
             made = pa.array(list(np.stack(found, 1)) if batch.num_rows else [], pa.list_(pa.float64()))
@@ -262,14 +274,15 @@ class Variant:
 
 def held_out(table: DataFrame, models: Sequence[Model]) -> DataFrame:
     """``label``, ``fold``, ``probability`` of each row by the model that has not seen its fold."""
-    shared = table.sparkSession.sparkContext.broadcast(list(models))
+    shared = _shared(table, list(models))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = _read(shared)
         for batch in batches:
             fold = batch.column("fold").to_numpy()
-            bins = _bytes(batch.column("bins"), np.uint8, len(shared.value[0].cuts))
+            bins = _bytes(batch.column("bins"), np.uint8, len(models[0].cuts))
             chance, known = np.zeros(len(fold)), np.zeros(len(fold), bool)
-            for model in shared.value:
+            for model in models:
                 out = fold == model.setting.left_out
                 chance[out] = probabilities(bins[out], model)[:, 0]
                 known |= out
@@ -282,10 +295,10 @@ def held_out(table: DataFrame, models: Sequence[Model]) -> DataFrame:
 
 def tally(table: DataFrame, models: Sequence[Model], variants: Sequence[Variant]) -> DataFrame:
     """``candidate``, ``fold``, ``tn``, ``fp``, ``fn``, ``tp`` over the rows that each model has not seen: four numbers a fit."""
-    shared = table.sparkSession.sparkContext.broadcast((list(models), list(variants)))
+    shared = _shared(table, (list(models), list(variants)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, variants = shared.value
+        models, variants = _read(shared)
         cells = np.zeros((len(variants), 4), np.int64)
         groups: dict[tuple, list[int]] = {}
         for i, v in enumerate(variants):
@@ -307,6 +320,77 @@ def tally(table: DataFrame, models: Sequence[Model], variants: Sequence[Variant]
     return parts.groupBy("candidate", "fold").agg(*[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
 
 
+def _ways(bins: np.ndarray, nodes: Mapping[str, np.ndarray], start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The leaf of each row and tree, and a set of the features met on the way (bit: number modulo 64)."""
+    at = np.broadcast_to(start, (len(bins), len(start))).copy()
+    met = np.zeros(at.shape, np.uint64)
+    row, tree = np.nonzero(nodes["feature"][at] >= 0)
+    while len(row):
+        here = at[row, tree]
+        f = nodes["feature"][here]
+        met[row, tree] |= np.uint64(1) << (f % 64).astype(np.uint64)
+        below = np.where(bins[row, f] > nodes["cut"][here], nodes["right"][here], nodes["left"][here])
+        at[row, tree] = below
+        on = nodes["feature"][below] >= 0
+        row, tree = row[on], tree[on]
+    return at, met
+
+
+def _swapped_leaves(own, donor, row, slot: int, at: np.ndarray, nodes: Mapping[str, np.ndarray]) -> np.ndarray:
+    """The leaf of (row, tree) pairs if the feature ``slot`` has the donor's value; ``at`` holds their roots."""
+    on = np.flatnonzero(nodes["feature"][at] >= 0)
+    while len(on):
+        here, r = at[on], row[on]
+        f = nodes["feature"][here]
+        value = np.where(f == slot, donor[r, slot], own[r, f])
+        at[on] = np.where(value > nodes["cut"][here], nodes["right"][here], nodes["left"][here])
+        on = on[nodes["feature"][at[on]] >= 0]
+    return at
+
+
+def rescored(df: DataFrame, model: Model, keep: Sequence[str]) -> DataFrame:
+    """``keep``, ``slot``, ``probability``: each row scored with one feature at a time taken from its donor.
+
+    ``df`` has the arrays ``own`` and ``donor``. A tree is asked anew only for the rows that meet the feature on their way
+    and whose bin changes; the other votes are kept. Sums are taken as in ``probabilities``.
+    """
+    shared = _shared(df, model)
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col("own").alias("__own"), F.col("donor").alias("__donor"))
+    count = len(model.cuts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _read(shared)
+        nodes, trees = model.nodes, len(model.roots)
+
+        def chance(values):
+            sums = np.cumsum(values, 1)[:, -1]
+            return 1 / (1 + np.exp(-sums)) if model.setting.boosted else sums / trees
+
+        for batch in batches:
+            own, donor = (model.bins(_matrix(batch.column(c), count)) for c in ("__own", "__donor"))
+            for a, b in _parts(len(own), trees):
+                x, y = own[a:b], donor[a:b]
+                at, met = _ways(x, nodes, model.roots)
+                values = nodes["value"][at]
+                base = chance(values)
+                for j in range(count):
+                    asked = (met >> np.uint64(j % 64) & np.uint64(1)).astype(bool) & (x[:, j] != y[:, j])[:, None]
+                    r, t = np.nonzero(asked)
+                    out = base
+                    if len(r):
+                        some, place = np.unique(r, return_inverse=True)
+                        mine = values[some]
+                        mine[place, t] = nodes["value"][_swapped_leaves(x, y, r, j, model.roots[t], nodes)]
+                        out = base.copy()
+                        out[some] = chance(mine)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(c).slice(a, b - a) for c in keep] + [pa.array(np.full(b - a, j), pa.int32()), pa.array(out)],
+                        [*keep, "slot", "probability"])
+
+    fields = [rows.schema[c] for c in keep] + [T.StructField("slot", T.IntegerType()), T.StructField("probability", T.DoubleType())]
+    return rows.mapInArrow(run, T.StructType(fields))
+
+
 # a wave's job
 
 @dataclass
@@ -352,7 +436,9 @@ def _add_finished(margins: np.ndarray, bins: np.ndarray, wave: Wave) -> np.ndarr
 
 
 def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Keys in order, each once, and the sums of the other columns."""
+    """Keys in order, each once, and the sums of the other columns. Each part has that form already."""
+    if len(parts) == 1:
+        return parts[0]
     keys, *sums = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -399,7 +485,8 @@ def _count(wave: Wave, label, fold, row, bins, margins) -> Iterator[tuple[np.nda
             # sums of whole numbers below 2^53 are exact
             yield some, *(np.bincount(keys, v[places], space)[some].astype(np.int64) for v in (g, h)), n[some]
         else:
-            yield _summed([(keys, g[places].astype(np.int64), h[places].astype(np.int64), np.ones(len(keys), np.int64))])
+            some, group = np.unique(keys, return_inverse=True)
+            yield some, *(np.bincount(group, v[places]).astype(np.int64) for v in (g, h)), np.bincount(group)
 
 
 def _best(wave: Wave, keys, g, h, n) -> dict[str, np.ndarray]:
@@ -426,8 +513,10 @@ def _best(wave: Wave, keys, g, h, n) -> dict[str, np.ndarray]:
     allowed = (nl < nt) & (nl >= min_leaf) & (nt - nl >= min_leaf)
     allowed &= (hl >= min_weight * SCALE) & (ht - hl >= min_weight * SCALE)
     gain = np.where(allowed & (gain > LEAST_GAIN), gain, 0.0)
-    order = np.lexsort((keys, -gain, node))
-    at = order[np.concatenate([[True], node[order][1:] != node[order][:-1]])]
+    begin = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    most = np.maximum.reduceat(gain, begin)
+    hit = np.flatnonzero(gain == np.repeat(most, np.diff(np.append(begin, len(keys)))))
+    at = hit[np.searchsorted(hit, begin)]  # of equal gains the first cell's
     split = gain[at] > 0
     return {"number": node[at], "feature": np.where(split, feature[at], -1), "cut": cell[at] - wave.offsets[feature[at]],
             "gain": gain[at], "gl": gl[at], "hl": hl[at], "nl": nl[at], "g": gt[at], "h": ht[at], "n": nt[at]}
@@ -438,11 +527,11 @@ _RESULT = "number bigint, feature bigint, cut bigint, gain double, gl bigint, hl
 
 def best_splits(table: DataFrame, wave: Wave) -> dict[str, np.ndarray]:
     """The job of a wave: cells counted in tasks, added up by buckets of neighbouring nodes, one best split a node."""
-    shared = table.sparkSession.sparkContext.broadcast(wave)
+    shared = _shared(table, wave)
     each = -(-len(wave.columns) // wave.buckets) * int(wave.offsets[-1])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wave = shared.value
+        wave = _read(shared)
         held: list[tuple] = []
         for batch in batches:
             label, fold, row = (batch.column(c).to_numpy() for c in ("label", "fold", "row"))
@@ -462,7 +551,7 @@ def best_splits(table: DataFrame, wave: Wave) -> dict[str, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *columns], ["bucket", "cell", "g", "h", "n"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wave = shared.value
+        wave = _read(shared)
         held: dict[int, list[tuple]] = {}
         for batch in batches:
             for i, *parts in zip(*(c.to_pylist() for c in batch.columns)):
@@ -490,10 +579,10 @@ def _margins(batch: pa.RecordBatch, width: int) -> np.ndarray:
 
 def with_margins(table: DataFrame, wave: Wave) -> DataFrame:
     """The table with the finished trees added to the margins, written anew."""
-    shared = table.sparkSession.sparkContext.broadcast(wave)
+    shared = _shared(table, wave)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wave = shared.value
+        wave = _read(shared)
         for batch in batches:
             bins = _bytes(batch.column("bins"), np.uint8, len(wave.offsets) - 1)
             margins = _add_finished(_margins(batch, wave.width), bins, wave)
@@ -627,8 +716,9 @@ class Grower:
         self.finished: list[list[dict]] = [[] for _ in settings]
         self.unwritten: list[tuple[int, dict]] = []
         self.open: list[tuple[int, Growing]] = []
-        # independent trees wait here, boosting rounds begin one after the other
-        self.next = [(i, t) for i, s in enumerate(settings) for t in ([0] if s.boosted else range(s.trees))][::-1]
+        # trees that wait for a lane, the last one first; boosting begins first, as its rounds follow one another
+        order = sorted(range(len(settings)), key=lambda i: not settings[i].boosted)
+        self.next = [(i, t) for i in order for t in ([0] if settings[i].boosted else range(settings[i].trees))][::-1]
 
     def _begin(self) -> None:
         while self.next and len(self.open) < LANES:
@@ -672,7 +762,7 @@ class Grower:
         least = {k: np.repeat(np.array([float(getattr(s, k)) for s in sets]), per) for k in ("l2", "min_leaf", "min_weight")}
         place = {m: j for j, m in enumerate(self.boosted)}
         done, done_root = _joined([t for _, t in self.unwritten], (*names, "value"))
-        buckets = max(1, min(count, self.table.sparkSession.sparkContext.defaultParallelism))
+        buckets = max(1, min(count, cells // CELLS_PER_BUCKET + 1))
         return Wave(self.offsets, nodes, roots, number, tried, of_lane, least, np.array([place.get(i, -1) for i in lanes]),
                     len(self.boosted), done, done_root, np.array([place[i] for i, _ in self.unwritten], np.int64), buckets), asked
 

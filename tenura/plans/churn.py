@@ -136,7 +136,8 @@ def save(result: ChurnRun, folder: str, run_id: str) -> None:
     """Processed table, scoreboard, run log and fitted models."""
     accounts.write_table(result.featured, f"{folder}/processed")
     accounts.write_results(result.scoreboard, f"{folder}/model_results")
-    runs.append_runs(runs.run_rows(result.scoreboard, result.best, run_id), f"{folder}/runs")
+    params = {name: models.full_params(name, chosen) for name, chosen in result.best.items()}
+    runs.append_runs(runs.run_rows(result.scoreboard, params, run_id), f"{folder}/runs")
     for name, model in result.models.items():
         runs.save_model(model, f"{folder}/models/{name.replace(' ', '_')}")
 

@@ -5,23 +5,28 @@ Fitted models have no SQL counterpart, so most of these are checked by tests ins
 
 from __future__ import annotations
 
+import hashlib
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura import config
-from tenura.functions.tables import materialize, q
-from tenura.operators import metrics, models, selection
+from tenura.functions.tables import literal_table, materialize, q
+from tenura.operators import chain, metrics, models, selection, splits, trees
 from tenura.plans import churn
 from tenura.registry import inputs
 from tenura.registry.account_sql import with_stage
 from tenura.registry.book import query
-from tenura.registry.rows import SPLIT_SQL, scratch
-from tenura.sources import runs
+from tenura.registry.rows import FOLDS_SQL, SPLIT_SQL, scratch
+from tenura.sources import accounts, runs
 
-# The families whose whole grid is searched here. The two boosting grids take hours on one machine.
-SEARCHED = ["Logistic Regression", "Decision Tree", "Random Forest"]
-_FOUND: dict[tuple[str, str, str], tuple[dict, list]] = {}
+#: All settings of the five families. The declared grids let the boosted families run for 200 and 300 rounds, one wave of
+#: jobs after the other; these queries run the same settings for fewer rounds (``grid_search_all`` has no such limit).
+ROUNDS = [10, 15]
+GRIDS = {family: grid | ({"trees": ROUNDS} if "learning_rate" in grid else {}) for family, (_, grid) in models.FAMILIES.items()}
 
 
 def table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,25 +34,55 @@ def table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(churn.model_table(inputs.featured(spark, sf_dir)))
 
 
-def searched(spark: SparkSession, sf_dir: str, family: str) -> tuple[dict, list]:
-    """The best parameters of a family and all results, in five folds over the whole grid.
+def _digest(df: DataFrame, about) -> str:
+    """Changes with the rows of a table and with what is asked of them."""
+    rows = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*[q(c) for c in df.columns]).cast("decimal(38,0)"))).first()
+    return hashlib.sha256(json.dumps([str(tuple(rows)), df.columns, about]).encode()).hexdigest()[:32]
+
 
-    The search runs once in a session for a set of tables.
+def searched(spark: SparkSession, sf_dir: str, families: list[str]) -> tuple[dict, list]:
+    """The best parameters of each family and all results, in five folds over all settings.
+
+    A search is stored in the checkpoint folder under a digest of the training rows and the settings, so that queries
+    over the same rows share it and a changed table is searched anew.
     """
-    at = (spark.sparkContext.applicationId, sf_dir, family)
-    if at not in _FOUND:
-        df = table(spark, sf_dir)
+    df = table(spark, sf_dir)
+    digest = _digest(df.filter(q("split") == "train"), GRIDS)
+    folder = f"{spark.sparkContext.getCheckpointDir().rsplit('/', 1)[0]}/searches/{digest}"
+    found: dict[str, list] = {}
+    for family in families:
+        try:
+            rows = spark.read.schema("candidate int, F1_mean double, F1_std double").parquet(f"{folder}/{family}").collect()
+        except AnalysisException as err:
+            if "PATH_NOT_FOUND" not in str(err):
+                raise
+            continue
+        found[family] = [r.asDict() for r in rows]
+    missing = {f: GRIDS[f] for f in families if f not in found}
+    if missing:
         train, _ = train_and_test(df, names_of(df))
-        _FOUND[at] = models.grid_search(train, family, threads=8)
-    return _FOUND[at]
+        for r in models.grid_search_all(train, missing, threads=8)[1]:
+            found.setdefault(r["model"], []).append(r)
+        for family in missing:
+            rows = [(r["candidate"], r["F1_mean"], r["F1_std"]) for r in found[family]]
+            kept = spark.createDataFrame(rows, "candidate int, F1_mean double, F1_std double").coalesce(1)
+            kept.write.mode("overwrite").parquet(f"{folder}/{family}")
+    best, results = {}, []
+    for family in families:
+        combos = models.combinations_of(GRIDS[family])
+        at = {r["candidate"]: r for r in found[family]}
+        rows = [{"model": family, "params": models.params_text(p), **at[i], "candidate": i} for i, p in enumerate(combos)]
+        best[family] = models.best_of(combos, rows)
+        results += rows
+    return best, results
 
 
 def best_of_all(spark: SparkSession, sf_dir: str) -> dict[str, dict]:
-    return {family: searched(spark, sf_dir, family)[0] for family in SEARCHED}
+    return searched(spark, sf_dir, list(GRIDS))[0]
 
 
 def search_results(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
-    return models.search_table(spark, searched(spark, sf_dir, family)[1])
+    return models.search_table(spark, searched(spark, sf_dir, [family])[1])
 
 
 def names_of(df: DataFrame) -> list[str]:
@@ -172,17 +207,134 @@ def forest_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_results(spark, sf_dir, "Random Forest")
 
 
+@query("boosted_grid_search")
+def boosted_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_results(spark, sf_dir, "Boosted Trees")
+
+
+@query("leaf_boosted_grid_search")
+def leaf_boosted_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_results(spark, sf_dir, "Leaf-Limited Boosted Trees")
+
+
 @query("best_parameters")
 def best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.params_table(spark, best_of_all(spark, sf_dir))
 
 
+@query(
+    "search_fold_totals",
+    with_stage(
+        "featured",
+        """SELECT c.candidate, f.fold, count(*) FILTER (WHERE "Churn" = 1) AS churners, count(*) FILTER (WHERE "Churn" = 0) AS others
+           FROM folded AS f, (SELECT unnest(generate_series(0, 11)) AS candidate) AS c
+           WHERE split = 'train' GROUP BY 1, 2""",
+        SPLIT_SQL,
+        FOLDS_SQL,
+    ),
+)
+def search_fold_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any fit: the four cells of every setting of the decision tree add up to the fold it has not seen."""
+    df = table(spark, sf_dir)
+    train, _ = train_and_test(df, names_of(df))
+    rows = models.bin_rows(train)
+    cells = models.search_cells(rows, {"Decision Tree": GRIDS["Decision Tree"]})[0]
+    return cells.select("candidate", "fold", (F.col("tp") + F.col("fn")).alias("churners"), (F.col("tn") + F.col("fp")).alias("others"))
+
+
+#: Columns whose first split SQL recomputes, in the order that decides ties.
+SPLIT_FEATURES = ["tenure", "MonthlyCharges", "SeniorCitizen", "PaperlessBilling", "_Is_AutoPay", "_LoyaltyScore"]
+
+
+def first_split_sql(gradient: str, weight: str, l2: float, least_weight: float, least_rows: int, rate: float) -> str:
+    """The best first split over value parts as the grower makes them, with sums in whole 2^-20."""
+    long = " UNION ALL ".join(
+        f"SELECT {i} AS feature, '{c}' AS name, CAST(\"{c}\" AS DOUBLE) AS value, \"Churn\" AS y FROM parted WHERE split = 'train'"
+        for i, c in enumerate(SPLIT_FEATURES))
+
+    def worth(g: str, h: str) -> str:
+        return f"pow({g} / 1048576.0, 2) / ({h} / 1048576.0 + {l2})"
+
+    return with_stage(
+        "featured",
+        f"""SELECT name AS feature, cut, round(gain, 6) AS gain, nl AS rows_left, nt - nl AS rows_right,
+              round({rate} * (gl / 1048576.0) / (hl / 1048576.0 + {l2}), 6) AS value_left,
+              round({rate} * ((gt - gl) / 1048576.0) / ((ht - hl) / 1048576.0 + {l2}), 6) AS value_right
+            FROM gains WHERE gain > 0 ORDER BY gains.gain DESC, gains.feature, cut LIMIT 1""",
+        SPLIT_SQL,
+        f"""
+long AS ({long}),
+sizes AS (SELECT count(*) FILTER (WHERE y = 0)::DOUBLE AS n0, count(*) FILTER (WHERE y = 1)::DOUBLE AS n1 FROM long WHERE feature = 0),
+vals AS (
+  SELECT feature, name, value, count(*) AS n, sum(CAST(round(({gradient}) * 1048576) AS BIGINT)) AS g,
+         sum(CAST(round(({weight}) * 1048576) AS BIGINT)) AS h
+  FROM long, sizes GROUP BY 1, 2, 3
+),
+placed AS (
+  SELECT *, coalesce(sum(n) OVER (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(n) OVER (PARTITION BY feature) AS total, count(*) OVER (PARTITION BY feature) AS d FROM vals
+),
+parts AS (
+  SELECT feature, name, CASE WHEN d <= 128 THEN value ELSE floor(before * 128 / total) END AS part, max(value) AS cut,
+         sum(n) AS n, sum(g) AS g, sum(h) AS h FROM placed GROUP BY 1, 2, 3
+),
+running AS (
+  SELECT feature, name, cut, sum(n) OVER w AS nl, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER a AS nt,
+         sum(g) OVER a AS gt, sum(h) OVER a AS ht
+  FROM parts WINDOW w AS (PARTITION BY feature ORDER BY cut), a AS (PARTITION BY feature)
+),
+gains AS (
+  SELECT *, {worth("gl", "hl")} + {worth("(gt - gl)", "(ht - hl)")} - {worth("gt", "ht")} AS gain FROM running
+  WHERE nl < nt AND nl >= {least_rows} AND nt - nl >= {least_rows}
+    AND hl >= {least_weight} * 1048576 AND ht - hl >= {least_weight} * 1048576
+)""",
+    )
+
+
+BALANCED = "(CASE WHEN y = 1 THEN (n0 + n1) / (2 * n1) ELSE (n0 + n1) / (2 * n0) END)"
+RATIO = "(CASE WHEN y = 1 THEN n0 / n1 ELSE 1.0 END)"
+
+
+def first_split(spark: SparkSession, sf_dir: str, family: str, params: dict) -> DataFrame:
+    """The first split of a family's first tree on the training rows, with the values of a tree of that split alone."""
+    df = table(spark, sf_dir)
+    train, _ = train_and_test(df, SPLIT_FEATURES)
+    rows = models.bin_rows(train)
+    model = trees.grow(rows.table, rows.cuts, [rows.setting(family, params, -1)], SPLIT_FEATURES)[0]
+    v = model.nodes
+    sides = [int(v["left"][0]), int(v["right"][0])]
+    feature, cut = int(v["feature"][0]), int(v["cut"][0])
+    row = [SPLIT_FEATURES[feature], float(model.cuts[feature][cut]), float(v["gain"][0])]
+    row += [int(v["n"][i]) for i in sides] + [float(v["value"][i]) for i in sides]
+    return literal_table(spark, [row], ["feature", "cut", "gain", "rows_left", "rows_right", "value_left", "value_right"])
+
+
+@query("tree_first_split", first_split_sql(f"y * {BALANCED}", BALANCED, 0, 0, 1, 1))
+def tree_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A decision tree's first split: the largest fall of the weighted impurity, and the shares of class 1."""
+    return first_split(spark, sf_dir, "Decision Tree", {"max_depth": 1, "min_split": 2})
+
+
+@query("boosted_first_split", first_split_sql(f"(y - 0.5) * {RATIO}", f"0.25 * {RATIO}", 1, 1, 1, 0.1))
+def boosted_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first round's split gain and leaf values, from first and second derivatives."""
+    return first_split(spark, sf_dir, "Boosted Trees", {
+        "trees": 1, "max_depth": 1, "learning_rate": 0.1, "subsample": 1.0, "column_share": 1.0})
+
+
+@query("leaf_boosted_first_split", first_split_sql(f"(y - 0.5) * {BALANCED}", f"0.25 * {BALANCED}", 0, 0.001, 20, 0.05))
+def leaf_boosted_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the leaf-limited family, at two leaves."""
+    return first_split(spark, sf_dir, "Leaf-Limited Boosted Trees", {
+        "trees": 1, "leaves": 2, "max_depth": -1, "learning_rate": 0.05})
+
+
 def evaluated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
     """Search, best, refit, score: the scoreboard of the test rows and the parameters."""
     df = table(spark, sf_dir)
     train, test = train_and_test(df, names_of(df))
     best = best_of_all(spark, sf_dir)
-    return models.evaluate_models(train, test, best, threads=3)[0], best
+    return models.evaluate_models(train, test, best)[0], best
 
 
 @query("model_scoreboard")
@@ -197,7 +349,8 @@ def model_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
         """SELECT m.name AS "Model", count(*) FILTER (WHERE "Churn" = 1) AS churners,
              count(*) FILTER (WHERE "Churn" = 0) AS others,
              round(sum("MonthlyCharges") FILTER (WHERE "Churn" = 1) * 12, 1) AS revenue
-           FROM parted, (VALUES ('Logistic Regression'), ('Decision Tree'), ('Random Forest')) AS m(name)
+           FROM parted, (VALUES ('Logistic Regression'), ('Decision Tree'), ('Random Forest'), ('Boosted Trees'),
+                ('Leaf-Limited Boosted Trees')) AS m(name)
            WHERE split = 'test' GROUP BY 1""",
         SPLIT_SQL,
     ),
@@ -207,11 +360,8 @@ def model_test_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     the revenue it saves and loses to that of the churners."""
     df = table(spark, sf_dir)
     train, test = train_and_test(df, names_of(df))
-    best = best_of_all(spark, sf_dir)
-    parts = []
-    for name, params in best.items():
-        scored = models.score(models.fit(train, name, params), test)
-        parts.append(scored.withColumn("Model", F.lit(name)))
+    fitted = models.fit_all(train, best_of_all(spark, sf_dir))
+    parts = [models.score(model, test).withColumn("Model", F.lit(name)) for name, model in fitted.items()]
     scored = parts[0]
     for other in parts[1:]:
         scored = scored.unionByName(other)
@@ -227,10 +377,11 @@ def model_test_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("threshold_cross_validation")
 def threshold_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last family at its best parameters, at the decision threshold."""
     df = table(spark, sf_dir)
     train, _ = train_and_test(df, names_of(df))
-    name = "Random Forest"
-    return models.cross_validate_best(train, name, searched(spark, sf_dir, name)[0])
+    name = list(GRIDS)[-1]
+    return models.cross_validate_best(train, name, searched(spark, sf_dir, [name])[0][name])
 
 
 @query("subset_comparison")
@@ -247,13 +398,92 @@ def subset_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("run_log")
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores and parameters logged to the run table and read back."""
+    """Scores and all parameters of the five models, logged to the run table twice and read back once."""
     board, chosen = evaluated(spark, sf_dir)
     path = scratch(spark) + "/runs"
-    runs.append_runs(runs.run_rows(board, chosen, "run-1"), path)
+    rows = materialize(runs.run_rows(board, {m: models.full_params(m, p) for m, p in chosen.items()}, "run-1"))
+    for _ in range(2):
+        runs.append_runs(rows, path)
     return runs.read_runs(spark, path)
 
 
+@query(
+    "run_log_keys",
+    """SELECT run_id, model, kind, key, count(*) AS entries FROM (
+         SELECT r.run_id, m.model, k.kind, k.key
+         FROM (VALUES ('run-1'), ('run-2')) AS r(run_id), (VALUES ('Two rules'), ('Tenure rule')) AS m(model),
+              (VALUES ('tag', 'model_name'), ('param', 'rule'), ('param', 'threshold'), ('metric', 'accuracy'), ('metric', 'precision'),
+                      ('metric', 'recall'), ('metric', 'f1'), ('metric', 'roc_auc'), ('metric', 'revenue_saved'),
+                      ('metric', 'revenue_leakage')) AS k(kind, key)) AS every GROUP BY ALL""",
+)
+def run_log_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, the first one logged twice: each key of each model stands there once."""
+    df = inputs.cleaned(spark, sf_dir, config.KEY, "tenure", "Contract", "MonthlyCharges", "Churn")
+    parts = [("Two rules", (q("tenure") < 12) & (q("Contract") == "Month-to-month")), ("Tenure rule", q("tenure") < 12)]
+    scored = [df.select(F.lit(m).alias("Model"), q("Churn").alias("label"), "MonthlyCharges", c.cast("int").alias("prediction"),
+                        c.cast("double").alias("probability")) for m, c in parts]
+    board = materialize(metrics.scoreboard(scored[0].unionByName(scored[1])))
+    path = scratch(spark) + "/runs"
+    params = {m: {"rule": "by hand", "threshold": 12} for m, _ in parts}
+    for run in ("run-1", "run-2", "run-1"):
+        runs.append_runs(runs.run_rows(board, params, run), path)
+    return runs.read_runs(spark, path).groupBy("run_id", "model", "kind", "key").agg(F.count(F.lit(1)).alias("entries"))
+
+
+def raw_chain(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineModel]:
+    """Raw accounts with their part, and the chain fitted on the training part, saved and loaded again."""
+    raw = inputs.raw(spark, sf_dir)
+    parts = materialize(splits.train_test_split(raw))
+    train = parts.filter(q("split") == "train")
+    fitted = chain.raw_chain(config.SELECTED_FEATURES, {"C": 1}, train.count()).fit(train)
+    path = scratch(spark) + "/chain"
+    runs.save_model(fitted, path)
+    return parts, runs.load_model(PipelineModel, path)
+
+
+@query(
+    "raw_chain_scores",
+    with_stage(
+        "featured",
+        'SELECT "customerID", CAST("Churn" AS DOUBLE) AS label, true AS valid FROM parted WHERE split = \'test\'',
+        SPLIT_SQL,
+    ),
+)
+def raw_chain_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw test accounts, written as CSV files, read and scored by the loaded chain: every key and label once,
+    with a probability and the class that follows from it."""
+    parts, loaded = raw_chain(spark, sf_dir)
+    path = scratch(spark) + "/csv"
+    accounts.write_table(parts.filter(q("split") == "test").drop("split"), path, "csv")
+    scored = chain.score_raw(loaded, accounts.read_accounts(spark, path))
+    by_rule = F.when(q("probability") >= config.DECISION_THRESHOLD, 1).otherwise(0)
+    valid = q("probability").between(0, 1) & (q("prediction") == by_rule)
+    return scored.select(config.KEY, "label", valid.alias("valid"))
+
+
+@query(
+    "raw_chain_values",
+    with_stage(
+        "featured",
+        """SELECT 'mean' AS kind, 'tenure' AS key, round(avg(tenure), 6) AS value FROM parted WHERE split = 'train'
+           UNION ALL SELECT 'mean', 'MonthlyCharges', round(avg("MonthlyCharges"), 6) FROM parted WHERE split = 'train'
+           UNION ALL SELECT 'share', "Contract", round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) FROM parted WHERE split = 'train' GROUP BY 2
+           UNION ALL SELECT 'weight', CAST("Churn" AS VARCHAR), round(sum(count(*)) OVER ()::DOUBLE / (2 * count(*)), 6)
+             FROM parted WHERE split = 'train' GROUP BY 2""",
+        SPLIT_SQL,
+    ),
+)
+def raw_chain_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the loaded chain has learned from the training part: loyalty thresholds, contract shares, class weights."""
+    _, loaded = raw_chain(spark, sf_dir)
+    steps = {type(s).__name__: s for s in loaded.stages}
+    means, shares, weights = (steps[n] for n in ("FeatureBuilderModel", "ShareEncoderModel", "ClassWeightsModel"))
+    rows = [("mean", "tenure", means.getOrDefault("tenureMean")), ("mean", "MonthlyCharges", means.getOrDefault("chargeMean"))]
+    rows += [("share", c, s) for c, s in zip(shares.getOrDefault("categories"), shares.getOrDefault("shares"))]
+    rows += [("weight", "0", weights.getOrDefault("zero")), ("weight", "1", weights.getOrDefault("one"))]
+    return spark.createDataFrame(rows, "kind string, key string, value double")
+
+
 @query("saved_model_scores")
 def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw accounts to scored accounts through a chain that was saved and loaded again."""

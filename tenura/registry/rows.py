@@ -394,6 +394,13 @@ parted AS (
   FROM featured
 )"""
 
+FOLDS_SQL = f"""
+folded AS (
+  SELECT *, CASE WHEN h < {FIFTHS[0]} THEN 0 WHEN h < {FIFTHS[1]} THEN 1 WHEN h < {FIFTHS[2]} THEN 2
+                 WHEN h < {FIFTHS[3]} THEN 3 ELSE 4 END AS fold
+  FROM (SELECT *, {HASH_SQL.format(seed=43)} AS h FROM parted) AS t
+)"""
+
 
 @query(
     "hash_split",

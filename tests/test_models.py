@@ -86,13 +86,17 @@ def test_search_evaluate_and_cross_validate(spark, ready):
 
 def test_equal_settings_are_fitted_once(ready, monkeypatch):
     train = ready.filter("split = 'train'")
-    fitted = []
-    whole = models.cross_validate
-    monkeypatch.setattr(models, "cross_validate", lambda t, jobs, *a, **k: fitted.extend(jobs) or whole(t, jobs, *a, **k))
-    grid = {"trees": [2], "learning_rate": [0.1], "leaves": [4], "max_depth": [-1, 5, 1]}
+    grown = []
+    whole = models.trees.grow
+    monkeypatch.setattr(models.trees, "grow", lambda t, c, settings, *a: grown.extend(settings) or whole(t, c, settings, *a))
+    grid = {"trees": [1, 2], "learning_rate": [0.1], "leaves": [4], "max_depth": [-1, 5, 1]}
     _, results = models.grid_search(train, "Leaf-Limited Boosted Trees", grid)
-    assert len(fitted) == 2 and len(results) == 3  # four leaves need a depth of 2, so 5 is no limit
-    assert results[0]["F1_mean"] == results[1]["F1_mean"]
+    # four leaves reach a depth of 3, so 5 is no limit; one round is the first of two
+    assert len(grown) == 2 * config.FOLDS and len(results) == 6
+    assert results[0]["F1_mean"] == results[1]["F1_mean"] and results[3]["F1_mean"] == results[4]["F1_mean"]
+    grown.clear()
+    _, results = models.grid_search(train, "Random Forest", {"trees": [2, 3], "max_depth": [2, 4], "min_split": [2, 9]})
+    assert len(grown) == config.FOLDS and len(results) == 8
 
 
 def test_fold_weights_by_hand(spark):
@@ -104,15 +108,61 @@ def test_fold_weights_by_hand(spark):
 def test_cross_validation_by_hand(ready):
     """Fold scores equal those of separate fits on each fold's complement."""
     train = ready.filter("split = 'train'").cache()
-    params = {"max_depth": 2, "min_split": 2}
-    jobs = [("t", lambda total: models.tree(params, total))]
+    params = {"C": 0.1}
+    jobs = [("t", lambda total: models.logistic(params, total))]
     got = {r["fold"]: r["Accuracy"] for r in models.cross_validate(train, jobs).collect()}
     for fold in (0, 3):
-        model = models.fit(train.filter(q("fold") != fold), "Decision Tree", params)
+        model = models.fit(train.filter(q("fold") != fold), "Logistic Regression", params)
         rows = models.score(model, train.filter(q("fold") == fold)).collect()
         assert got[fold] == pytest.approx(sum(r["label"] == r["prediction"] for r in rows) / len(rows))
 
 
+@pytest.mark.parametrize("threshold", [None, 0.3])
+def test_grown_cross_validation_by_hand(ready, threshold):
+    """The same for grown trees: each fold's own model scores the rows that it has not seen."""
+    train = ready.filter("split = 'train'").cache()
+    params = {"max_depth": 2, "min_split": 2}
+    got = {r["fold"]: r for r in models.cross_validate_params(train, "Decision Tree", params, threshold=threshold).collect()}
+    rows = models.bin_rows(train)
+    for fold in (0, 3):
+        model = models.trees.grow(rows.table, rows.cuts, [rows.setting("Decision Tree", params, fold)])[0]
+        held = models.score(model, train.filter(q("fold") == fold), threshold).collect()
+        assert got[fold]["Accuracy"] == pytest.approx(sum(r["label"] == r["prediction"] for r in held) / len(held))
+        by_rule = [r["probability"] >= threshold if threshold else r["probability"] > 0.5 for r in held]
+        assert by_rule == [r["prediction"] == 1 for r in held]
+
+
+def test_class_weights_of_the_families(ready):
+    """Balanced weights of a fold's complement; the class ratio of all training rows for the depth-limited boosting."""
+    train = ready.filter("split = 'train'").cache()
+    rows = models.bin_rows(train)
+    labels = [r["label"] for r in train.collect()]
+    assert rows.ratio == pytest.approx(labels.count(0) / labels.count(1))
+    boost = rows.setting("Boosted Trees", models.combinations_of(models.FAMILIES["Boosted Trees"][1])[0], 1)
+    assert boost.weights == (1.0, rows.ratio) and boost.left_out == 1 and boost.l2 == 1.0
+    leaf = rows.setting("Leaf-Limited Boosted Trees", {"trees": 3, "leaves": 31, "max_depth": -1, "learning_rate": 0.1}, 1)
+    assert leaf.weights == (rows.by_fold[1][0], rows.by_fold[1][1]) and (leaf.leaves, leaf.min_leaf) == (31, 20)
+
+
+def test_partial_rescoring_is_full_rescoring(spark, ready):
+    """Shuffled columns scored through the kept votes, against scoring every changed row anew."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    train, test = ready.filter("split = 'train'"), ready.filter("split = 'test'")
+    for family, params in (("Random Forest", {"trees": 9, "max_depth": 6}),
+                           ("Boosted Trees", {"trees": 4, "max_depth": 3, "learning_rate": 0.3, "subsample": 1.0, "column_share": 1.0})):
+        model = models.fit(train, family, params)
+        rows = test.select(config.KEY, "label", vector_to_array("features").alias("own"))
+        shuffled = selection.shuffled(rows, "own", 2).withColumn("id", F.monotonically_increasing_id()).cache()
+        got = {(r["id"], r["slot"]): r["probability"]
+               for r in models.trees.rescored(shuffled.select("id", "own", "donor"), model, ["id"]).collect()}
+        copies = shuffled.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(len(config.SELECTED_FEATURES) - 1))))
+        swapped = copies.select("id", "slot", array_to_vector(F.transform(
+            "own", lambda x, i: F.when(i == F.col("slot"), F.col("donor")[i]).otherwise(x))).alias("features"))
+        want = {(r["id"], r["slot"]): r["probability"] for r in models.score(model, swapped).collect()}
+        assert got == want
+
+
 def test_components(table, spark):
     features = ["tenure", "MonthlyCharges", "Contract", config.ADDON_TOTAL]
     _, rotation, scaled = selection.fit_components(table, features)
@@ -177,7 +227,7 @@ def test_whole_run_is_saved(spark, tmp_path):
     log = runs.read_runs(spark, str(tmp_path / "out/runs"))
     assert log.filter("kind = 'metric'").count() == 7
     assert {r["kind"] for r in log.select("kind").distinct().collect()} == {"metric", "param", "tag"}
-    from pyspark.ml.classification import DecisionTreeClassificationModel
-
-    again = runs.load_model(DecisionTreeClassificationModel, str(tmp_path / "out/models/Decision_Tree"))
-    assert again.depth <= 2
+    again = runs.load_model(models.trees.Model, str(tmp_path / "out/models/Decision_Tree"))
+    assert again.nodes["depth"].max() <= 2 and again.setting.max_depth == 2
+    logged = {r["key"] for r in log.filter("kind = 'param'").collect()}
+    assert {"max_depth", "min_split", "l2", "weights", "seed"} <= logged

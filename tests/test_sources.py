@@ -68,6 +68,21 @@ def test_run_log_appends(spark, tmp_path):
     assert max(len(r["value"]) for r in log.collect()) == 250
 
 
+def test_run_logged_again_is_one_run(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    for score, run in ((0.5, "one"), (0.6, "two"), (0.7, "one")):
+        board = spark.createDataFrame([("m", score)], "Model string, F1 double")
+        runs.append_runs(runs.run_rows(board, {"m": {"a": 1}}, run), path)
+    log = runs.read_runs(spark, path)
+    assert log.columns == ["experiment", "run_id", "model", "kind", "key", "value"]
+    assert {(r["run_id"], r["value"]) for r in log.filter("kind = 'metric'").collect()} == {("one", "0.7"), ("two", "0.6")}
+    assert log.count() == 6
+    with pytest.raises(ValueError, match="already logged: two"):
+        runs.append_runs(runs.run_rows(board, {"m": {}}, "two"), path, replace=False)
+    runs.append_runs(runs.run_rows(board, {"m": {}}, "3"), path, replace=False)
+    assert {r["run_id"] for r in runs.read_runs(spark, path).collect()} == {"one", "two", "3"}
+
+
 def test_stream_scores_like_a_batch(spark, raw, encoded, tmp_path):
     from pyspark.sql import functions as F
 

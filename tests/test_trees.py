@@ -249,6 +249,9 @@ def test_awkward_rows(spark):
     made = models.bin_rows(ready, 1)
     grown = trees.grow(made.table, made.cuts, [trees.Setting(), trees.Setting(left_out=0), trees.Setting(left_out=0, boosted=True, trees=2)])
     assert [float(m.nodes["value"][0]) for m in grown[:2]] == [1.0, 1.0]
+    alone = models.bin_rows(ready.drop("fold"), 1)
+    whole = trees.grow(alone.table, alone.cuts, [trees.Setting(), trees.Setting(left_out=0)])
+    assert [int(m.nodes["n"][0]) for m in (*grown[:2], *whole)] == [2, 1, 2, 2]  # rows without a fold are seen by all
     assert trees.tally(made.table, grown[1:2], [trees.Variant(0, 0, 1)]).first()["tp"] == 1
     empty = trees.grow(made.table.filter("label > 5"), made.cuts, [trees.Setting(), trees.Setting(boosted=True)])
     assert [float(m.nodes["value"][0]) for m in empty] == [0.0, 0.0]
