@@ -9,8 +9,9 @@ Templates that stand in ``min_docs`` documents recur; the first document that ha
 lines, all others lose them. A line that recurs as it is counts in its leaf and for its template like all others, and
 goes even if its template doesn't recur. Long lines may recur from fewer documents on.
 
-Lines meet as counts of (leaf, line) and (leaf, place, token) hashes, which are added up before they
-are moved, and only leaves that recur and have several lines are taken apart into tokens.
+Texts are parsed once into a table of line hashes and places. Lines meet as counts of (leaf, line) and (leaf, place, token)
+hashes, which are added up before they are moved, and only leaves that recur and have several lines are read again,
+for their tokens.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import types as T
 from tenura.llm.storage import stored
 
 DIGIT = re.compile(r"\d")
+#: White space that is not one space between two tokens of a line.
+ODD_SPACE = re.compile(r"[^\S\n ]| (?= |\n|\Z)|(?:\A|\n) ")
 FIELD = "<*>"
 
 
@@ -53,17 +56,36 @@ def parse_line(line: str, depth: int, constant: float, leaves: set[int] | None =
     return None if leaves is not None and leaf not in leaves else (leaf, _hash(" ".join(tokens)), tokens)
 
 
-def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, depth: int, constant: float,
-           least_tokens: int) -> DataFrame:
-    """Rows of ``docs``' lines, beside the columns ``id`` and ``hash`` of the document.
+def parsed(text: str, depth: int, constant: float, leaves: set[int] | None, leaf_hash: Callable[[str], int]
+           ) -> Iterator[tuple[int, int, int, int, list[str] | str]]:
+    """(place, leaf, line hash, tokens in the line, the tokens or the line itself) of the lines that are not blank and, if
+    ``leaves`` is given, are of one of them.
+
+    Where a text has single spaces only, a line without digits is not taken apart.
+    """
+    plain = ODD_SPACE.search(text) is None
+    digits = DIGIT.search(text) is not None
+    for place, line in enumerate(text.split("\n")):
+        if not plain or digits and DIGIT.search(line):
+            found = parse_line(line, depth, constant, leaves, leaf_hash)
+            if found is not None:
+                yield place, found[0], found[1], len(found[2]), found[2]
+        elif line:
+            size = line.count(" ") + 1
+            leaf = leaf_hash(f"{size} {' '.join(line.split(' ', depth)[:depth])}")
+            if leaves is None or leaf in leaves:
+                yield place, leaf, _hash(line), size, line
+
+
+def _map_lines(docs: DataFrame, last: str, kind: pa.DataType, rows_of: Callable, known: DataFrame | None) -> DataFrame:
+    """Rows (``id``, ``hash``, ``leaf``, ``line``, ``last``) that ``rows_of(text, leaves, hash)`` makes of each text.
 
-    ``what``: 'distinct' gives (leaf, line, size) once for each document, 'tokens' the same with ``tokens`` for
-    lines of at least ``least_tokens`` tokens, 'places' gives (leaf, line, place) for every line.
     ``known``: only lines of these leaves; sent along if they are few enough, else joined.
     """
     few = None
     if known is not None and known.count() <= 1_000_000:
         few = np.sort(np.array([r[0] for r in known.select("leaf").collect()], np.int64))
+    names = [x.split()[0] for x in last.split(", ")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaves = None if few is None else set(few.tolist())
@@ -71,47 +93,62 @@ def _lines(docs: DataFrame, what: str, schema: str, known: DataFrame | None, dep
         for batch in batches:
             rows: list[tuple] = []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                seen = set()
-                for place, line in enumerate((text or "").split("\n")):
-                    found = parse_line(line, depth, constant, leaves, known_hash)
-                    if found is None:
-                        continue
-                    leaf, whole, tokens = found
-                    if what == "places":
-                        rows.append((i, leaf, whole, place))
-                    elif (leaf, whole) not in seen:
-                        seen.add((leaf, whole))
-                        if what == "distinct":
-                            rows.append((i, leaf, whole, len(tokens)))
-                        elif len(tokens) >= least_tokens:
-                            rows.append((i, leaf, whole, [0 if t == FIELD else known_hash(t) for t in tokens]))
+                rows += [(i, *row) for row in rows_of(text or "", leaves, known_hash)]
                 if len(rows) >= 50_000:
                     yield batch_of(batch, rows)
                     rows = []
             yield batch_of(batch, rows)
 
-    names = [x.split()[0] for x in schema.split(", ")]
-    last = {"distinct": pa.int32(), "tokens": pa.list_(pa.int64()), "places": pa.int32()}[what]
-
     def batch_of(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
-        at, *columns = zip(*rows) if rows else ((), (), (), ())
+        at, *columns = zip(*rows) if rows else ((), *((),) * (len(names) + 2))
         at = pa.array(at, pa.int64())
+        kinds = (pa.int64(), pa.int64(), *(pa.int32() for _ in names[1:]), kind)
         return pa.RecordBatch.from_arrays(
-            [batch.column("id").take(at), batch.column("hash").take(at),
-             *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), last)))], ["id", "hash", *names])
+            [batch.column("id").take(at), batch.column("hash").take(at), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+            ["id", "hash", "leaf", "line", *names])
 
-    made = T.StructType([docs.schema["id"], docs.schema["hash"], *T.StructType.fromDDL(schema).fields])
+    made = T.StructType([docs.schema["id"], docs.schema["hash"],
+                         *T.StructType.fromDDL(f"leaf bigint, line bigint, {last}").fields])
     made = docs.select("id", "hash", "text").mapInArrow(read, made)
     return made if known is None or few is not None else made.join(known.select("leaf").distinct(), "leaf", "left_semi")
 
 
-def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, similarity: float,
+def all_lines(docs: DataFrame, depth: int, constant: float) -> DataFrame:
+    """``id``, ``hash``, ``leaf``, ``line``, ``size``, ``places``: each document's different lines and where they stand."""
+
+    def rows_of(text, leaves, known_hash):
+        places: dict[tuple, list[int]] = {}
+        for place, leaf, line, size, _ in parsed(text, depth, constant, leaves, known_hash):
+            places.setdefault((leaf, line, size), []).append(place)
+        return [(*key, where) for key, where in places.items()]
+
+    return _map_lines(docs, "size int, places array<int>", pa.list_(pa.int32()), rows_of, None)
+
+
+def line_tokens(docs: DataFrame, leaves: DataFrame, depth: int, constant: float, least_tokens: int) -> DataFrame:
+    """``id``, ``hash``, ``leaf``, ``line``, ``tokens``: the token hashes (0: masked) of the documents' different lines
+    of at least ``least_tokens`` tokens in ``leaves``."""
+
+    def rows_of(text, leaves, known_hash):
+        seen = set()
+        for _, leaf, line, size, tokens in parsed(text, depth, constant, leaves, known_hash):
+            if size >= least_tokens and (leaf, line) not in seen:
+                seen.add((leaf, line))
+                tokens = tokens.split(" ") if isinstance(tokens, str) else tokens
+                yield leaf, line, [0 if t == FIELD else known_hash(t) for t in tokens]
+
+    return _map_lines(docs, "tokens array<bigint>", pa.list_(pa.int64()), rows_of, leaves)
+
+
+def recurring(docs: DataFrame, lines: DataFrame, min_docs: int, depth: int, constant: float, similarity: float,
               least_tokens: int, long_tokens: int | None = None, long_docs: int = 2) -> DataFrame:
-    """The lines of recurring templates: ``leaf``, ``line`` and ``first``, the (id, hash) of the first document."""
+    """The lines of recurring templates: ``leaf``, ``line`` and ``first``, the (id, hash) of the first document.
+
+    ``lines`` are ``all_lines`` of ``docs``.
+    """
     enough = F.lit(min_docs)  # documents that a line of ``size`` tokens recurs in
     if long_tokens is not None:
         enough = F.when(F.col("size") >= long_tokens, long_docs).otherwise(min_docs)
-    lines = _lines(docs, "distinct", "leaf bigint, line bigint, size int", None, depth, constant, least_tokens)
     lines = stored(lines.groupBy("leaf", "line", "size").agg(
         F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("first")))
     same = lines.where(F.col("n") >= enough)
@@ -119,7 +156,7 @@ def recurring(docs: DataFrame, min_docs: int, depth: int, constant: float, simil
     leaves = lines.where(F.col("size") >= least_tokens).groupBy("leaf", "size").agg(
         F.sum("n").alias("n"), F.count("*").alias("different"))
     leaves = stored(leaves.where((F.col("n") >= enough) & (F.col("different") > 1)).select("leaf"))
-    apart = _lines(docs, "tokens", "leaf bigint, line bigint, tokens array<bigint>", leaves, depth, constant, least_tokens)
+    apart = line_tokens(docs, leaves, depth, constant, least_tokens)
     counted = same.select("leaf", "line", "first", F.col("n").alias("known"))
     apart = apart.join(counted, ["leaf", "line"], "left")
     # of a line that recurs as it is the first document's stands for all
@@ -176,11 +213,11 @@ def drop_recurring_lines(
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col(f"`{doc_id}`").alias("id"),
                        F.xxhash64(F.col(f"`{text}`")).alias("hash"), F.col(f"`{text}`").alias("text"))
     known = rows.select("id", "hash", "text").where(F.length("text") > 0)
-    lines = stored(recurring(known, min_docs, depth, constant, similarity, least_tokens, long_tokens, long_docs))
-    leaves = lines.select("leaf").distinct()
-    places = _lines(known, "places", "leaf bigint, line bigint, place int", leaves, depth, constant, least_tokens)
+    every = stored(all_lines(known, depth, constant))
+    lines = stored(recurring(known, every, min_docs, depth, constant, similarity, least_tokens, long_tokens, long_docs))
+    places = every.select("id", "hash", "leaf", "line", "places")
     first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("hash") == F.col("first.hash"))
-    gone = places.join(lines, ["leaf", "line"]).where(~first)
+    gone = places.join(lines, ["leaf", "line"]).where(~first).select("id", "hash", F.explode("places").alias("place"))
     gone = gone.groupBy(F.col("id").alias("gone_id"), F.col("hash").alias("gone_hash")).agg(
         F.collect_set("place").alias("gone"))
     same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))

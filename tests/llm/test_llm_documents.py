@@ -523,3 +523,20 @@ def test_pseudonyms_of_a_table(docs, awkward, nothing):
     assert pseudonyms.pseudonymise(docs.select("text"), KEY).columns == ["text", "spans"]
     with pytest.raises(ValueError):
         pseudonyms.pseudonymise(docs, b"short")
+
+
+def test_lines_are_parsed_alike_with_any_white_space():
+    """Texts with single spaces only take a shorter way to the same leaves, lines and tokens."""
+    texts = ["a b c d e\nf g", "one  two three four\nx", " lead a b c", "trail a b c \nd", "tab\tbetween us all", "no\u00a0break here now",
+             "a b 12 c d e\nplain line of words here", "", "\n\n", "x", "a\x1cb c d", "line\r\nother line", "end\n", "7", "é ü ß ñ ø"]
+    for text in texts:
+        got = [(p, leaf, line, size, t.split(" ") if isinstance(t, str) else t)
+               for p, leaf, line, size, t in line_templates.parsed(text, 3, 0.6, None, line_templates._hash)]
+        want = []
+        for place, line in enumerate(text.split("\n")):
+            found = line_templates.parse_line(line, 3, 0.6)
+            if found:
+                want.append((place, found[0], found[1], len(found[2]), found[2]))
+        assert got == want
+        some = {w[1] for w in want[:1]}
+        assert [g[0] for g in line_templates.parsed(text, 3, 0.6, some, line_templates._hash)] == [w[0] for w in want if w[1] in some]
