@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura import config
@@ -19,6 +19,37 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counted.orderBy(F.desc("count"), q(column))
 
 
+def grouped_at_once(df: DataFrame, groupings: Mapping[str, Sequence[str]], target: str = config.LABEL) -> DataFrame:
+    """Many groupings by one or two columns in one pass: ``grouping``, ``key``, ``second`` (text; null also if there is
+    none), ``total``, ``churned``, ``stayed``.
+
+    Rows are counted by grouping sets, which add up on the map side. Null is a group of its own.
+    """
+    if any(not 1 <= len(columns) <= 2 for columns in groupings.values()):
+        raise ValueError("a grouping has one or two columns")
+    names = list(dict.fromkeys(c for columns in groupings.values() for c in columns))
+    at = {c: f"k{i}" for i, c in enumerate(names)}
+    wide = df.select(*[q(c).cast("string").alias(k) for c, k in at.items()], q(target).alias("target"))
+    asked: dict[frozenset, list[str]] = {}
+    for name, columns in groupings.items():
+        asked.setdefault(frozenset(at[c] for c in columns), []).append(name)
+    keys = list(at.values())
+    counted = wide.groupingSets([[F.col(k) for k in sorted(s)] for s in asked], *[F.col(k) for k in keys]).agg(
+        F.grouping_id().alias("at"), F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("target") == 1).alias("churned"), F.count_if(F.col("target") == 0).alias("stayed"))
+    # a grouping set is told by the columns that it leaves out
+    rows = {}
+    for columns, wanted in asked.items():
+        left_out = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in columns)
+        rows[left_out] = F.array(*[
+            F.struct(F.lit(n).alias("grouping"), *[
+                (F.col(at[groupings[n][i]]) if i < len(groupings[n]) else F.lit(None).cast("string")).alias(alias)
+                for i, alias in enumerate(("key", "second"))])
+            for n in wanted])
+    found = F.coalesce(*[F.when(F.col("at") == i, made) for i, made in rows.items()])
+    return counted.select(F.inline(found), "total", "churned", "stayed")
+
+
 def value_counts_many(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per non-null value and percent of all rows, for many columns in one pass."""
     wide = df.select(*[q(c).cast("string").alias(c) for c in columns])
@@ -67,6 +98,15 @@ def in_domain_order(table: DataFrame, key: str, labels: Sequence[str]) -> DataFr
     return domain.join(table, key, "left").orderBy("position")
 
 
+def _conditions(column: str, labels: Sequence, other: str | None) -> list[Column]:
+    declared = [q(column) == F.lit(v) for v in labels]
+    return declared if other is None else [*declared, ~F.coalesce(q(column).isin(list(labels)), F.lit(False))]
+
+
+def _names(names: Sequence, other: str | None) -> list:
+    return [*names] if other is None else [*names, other]
+
+
 def rate_matrix(
     df: DataFrame,
     row: str,
@@ -75,15 +115,18 @@ def rate_matrix(
     target: str = config.LABEL,
     names: Sequence[str] | None = None,
     fill: float | None = None,
+    other: str | None = None,
 ) -> DataFrame:
     """Mean of the target in percent, rows by columns; the column labels are declared.
 
-    One conditional aggregate per label, so the table is grouped by the row key only.
+    One conditional aggregate per label, so the table is grouped by the row key only. ``other`` names a column for
+    the rows whose value is null or not declared; without it they are in no cell.
     """
     rows = df.filter(q(row).isNotNull())
-    cells = [F.avg(F.when(q(column) == F.lit(v), q(target))) * 100 for v in labels]
+    conditions = _conditions(column, labels, other)
+    cells = [F.avg(F.when(c, q(target))) * 100 for c in conditions]
     shown = [c if fill is None else F.coalesce(c, F.lit(fill)) for c in cells]
-    labelled = [c.alias(str(n)) for c, n in zip(shown, names or labels)]
+    labelled = [c.alias(str(n)) for c, n in zip(shown, _names(names or labels, other))]
     return rows.groupBy(q(row)).agg(*labelled)
 
 
@@ -94,12 +137,13 @@ def count_matrix(
     labels: Sequence,
     names: Sequence[str] | None = None,
     fill: int | None = None,
+    other: str | None = None,
 ) -> DataFrame:
-    """Row counts, rows by columns; empty cells are null unless filled."""
+    """Row counts, rows by columns; empty cells are null unless filled. ``other`` as in ``rate_matrix``."""
     rows = df.filter(q(row).isNotNull())
-    cells = [F.count_if(q(column) == F.lit(v)) for v in labels]
+    cells = [F.count_if(c) for c in _conditions(column, labels, other)]
     shown = [F.when(c > 0, c) if fill is None else c for c in cells]
-    labelled = [c.alias(str(n)) for c, n in zip(shown, names or labels)]
+    labelled = [c.alias(str(n)) for c, n in zip(shown, _names(names or labels, other))]
     return rows.groupBy(q(row)).agg(*labelled)
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura import config
 from tenura.functions import columns as C
-from tenura.functions.tables import q
+from tenura.functions.tables import materialize, q
 from tenura.operators import correlation, profile, rates
 
 BINARY = ["SeniorCitizen", "PhoneService", "Partner", "PaperlessBilling", "Dependents", "Churn"]
@@ -183,35 +185,114 @@ def feature_rates(df: DataFrame) -> DataFrame:
     )
 
 
+GROUPINGS = {
+    **{c: [c] for c in dict.fromkeys([config.LABEL, *BINARY, *CATEGORICAL, "tenure_group"])},
+    "StreamingTV x StreamingMovies": ["StreamingTV", "StreamingMovies"],
+    "Contract x InternetService": ["Contract", "InternetService"],
+    "tenure_band x charge_band": ["tenure_band", "charge_band"],
+    "PaymentMethod x Contract": ["PaymentMethod", "Contract"],
+}
+
+
+def exploration_cells(df: DataFrame) -> DataFrame:
+    """All counts by group of the exploration in one pass over the cleaned accounts."""
+    banded = df.withColumns({
+        "tenure_group": C.tenure_group(q("tenure")),
+        "tenure_band": C.band(q("tenure"), config.TENURE_EDGES, config.TENURE_LABELS),
+        "charge_band": C.band(q("MonthlyCharges"), config.CHARGE_EDGES, config.CHARGE_LABELS),
+    })
+    return rates.grouped_at_once(banded, GROUPINGS)
+
+
+def _one(cells: DataFrame, grouping: str) -> DataFrame:
+    return cells.filter(F.col("grouping") == grouping)
+
+
+def _rate() -> Column:
+    return F.try_divide(F.col("churned"), F.col("churned") + F.col("stayed")) * 100
+
+
+def rates_from(cells: DataFrame, key: str, name: str | None = None, kind: str = "string") -> DataFrame:
+    """``rates.rate_by`` of one grouping."""
+    rows = _one(cells, key).filter(F.col("key").isNotNull())
+    return rows.select(F.col("key").cast(kind).alias(name or key), "total", "churned", "stayed", _rate().alias("rate"))
+
+
+def many_rates_from(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``rates.rates_for`` of several groupings."""
+    rows = cells.filter(F.col("grouping").isin(list(columns)) & F.col("key").isNotNull())
+    return rows.select(F.col("grouping").alias("column_name"), F.col("key").alias("value"), "total", _rate().alias("rate"))
+
+
+def counts_from(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``rates.value_counts_many`` of several groupings."""
+    rows = cells.filter(F.col("grouping").isin(list(columns)))
+    whole = F.sum("total").over(Window.partitionBy("grouping"))  # a grouping has one row for each value
+    counted = rows.withColumn("share", F.col("total") / whole * 100).filter(F.col("key").isNotNull())
+    return counted.select(F.col("grouping").alias("column_name"), F.col("key").alias("value"), F.col("total").alias("count"), "share")
+
+
+def matrix_from(cells: DataFrame, grouping: str, row: str, labels: Sequence[str]) -> DataFrame:
+    """``rates.rate_matrix`` of a grouping of two keys."""
+    rows = _one(cells, grouping).filter(F.col("key").isNotNull())
+    shown = [F.max(F.when(F.col("second") == v, _rate())).alias(v) for v in labels]
+    return rows.groupBy(F.col("key").alias(row)).agg(*shown)
+
+
+def counted_views(cells: DataFrame) -> dict[str, DataFrame]:
+    """The views that are cut from ``exploration_cells``, as their own functions make them."""
+    stay = F.try_divide(F.col("stayed"), F.col("total")) * 100
+    tenure = rates_from(cells, "tenure_group").withColumn("stay_rate", stay)
+    bands = matrix_from(cells, "tenure_band x charge_band", "tenure_band", config.CHARGE_LABELS)
+    by_payment = rates_from(cells, "PaymentMethod").orderBy(F.desc("rate"), "PaymentMethod")
+    classes = counts_from(cells, [config.LABEL]).select(F.col("value").cast("int").alias(config.LABEL), "count", "share")
+
+    def positive(name: str) -> Column:
+        return F.when(F.col(name) > 0, F.col(name))
+
+    return {
+        "churn_distribution": classes.orderBy(F.desc("count"), q(config.LABEL)),
+        "binary_distributions": counts_from(cells, BINARY),
+        "categorical_distributions": counts_from(cells, CATEGORICAL),
+        "tenure_churn": rates.in_domain_order(tenure, "tenure_group", config.TENURE_GROUPS),
+        "gender_churn_rate": rates_from(cells, "gender"),
+        "gender_churn_counts": rates_from(cells, "gender").select(
+            "gender", positive("stayed").alias("No Churn"), positive("churned").alias("Churn")),
+        "payment_churn": by_payment,
+        "payment_churn_counts": by_payment.select(
+            "PaymentMethod", positive("stayed").alias("No Churn"), positive("churned").alias("Churn")),
+        "addon_churn": many_rates_from(cells, PROTECTION),
+        "streaming_churn": many_rates_from(cells, ["StreamingTV", "StreamingMovies"]),
+        "streaming_matrix": matrix_from(
+            cells, "StreamingTV x StreamingMovies", "StreamingTV", config.DOMAINS["StreamingMovies"]),
+        "contract_internet_churn": matrix_from(
+            cells, "Contract x InternetService", "Contract", config.DOMAINS["InternetService"]),
+        "tenure_charge_churn": rates.in_domain_order(bands, "tenure_band", config.TENURE_LABELS),
+        "payment_contract_churn": matrix_from(
+            cells, "PaymentMethod x Contract", "PaymentMethod", config.DOMAINS["Contract"]),
+    }
+
+
 def run_full(cleaned: DataFrame, featured: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The table behind every exploratory view by name; lazy but for the order statistics."""
+    """The table behind every exploratory view by name; lazy but for the order statistics and the counts by group.
+
+    All views that count rows by group come from one pass over the accounts.
+    """
     spearman, pearson = correlation_tables(cleaned)
+    cells = materialize(exploration_cells(cleaned))
     views = {
-        "churn_distribution": churn_distribution(cleaned),
+        **counted_views(cells),
         "numeric_summary": numeric_summary(cleaned),
         "numeric_histograms": numeric_histograms(cleaned),
         "numeric_boxes": numeric_boxes(cleaned),
         **{f"density_{c}": numeric_density(cleaned, c) for c in config.NUMERIC},
-        "binary_distributions": binary_distributions(cleaned),
-        "categorical_distributions": categorical_distributions(cleaned),
         "numeric_points": numeric_points(cleaned),
-        "tenure_churn": tenure_churn(cleaned),
-        "gender_churn_rate": gender_churn_rate(cleaned),
-        "gender_churn_counts": gender_churn_counts(cleaned),
         "charges_by_churn_boxes": charges_by_churn_boxes(cleaned),
         "monthly_density": monthly_density(cleaned),
         "total_density": total_density(cleaned),
-        "payment_churn": payment_churn(cleaned),
-        "payment_churn_counts": payment_churn_counts(cleaned),
-        "addon_churn": addon_churn(cleaned),
-        "streaming_churn": streaming_churn(cleaned),
-        "streaming_matrix": streaming_matrix(cleaned),
         "spearman": spearman,
         "pearson": pearson,
         "internet_charges": internet_charges(cleaned),
-        "contract_internet_churn": contract_internet_churn(cleaned),
-        "tenure_charge_churn": tenure_charge_churn(cleaned),
-        "payment_contract_churn": payment_contract_churn(cleaned),
         "pair_points": pair_points(cleaned),
         **{f"pair_density_{c}": pair_density(cleaned, c) for c in config.NUMERIC},
     }

@@ -17,7 +17,8 @@ from tenura.plans import dashboard, eda, validation
 from tenura.registry import inputs
 from tenura.registry.account_sql import with_stage
 from tenura.registry.book import ORACLES, query, register
-from tenura.registry.rows import SPLIT_SQL
+from tenura.registry.rows import SPLIT_SQL, scratch
+from tenura.sources import accounts
 
 NUM = config.NUMERIC
 LABEL = config.LABEL
@@ -1098,3 +1099,77 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = validation.report(inputs.dirty(spark, sf_dir))
     counted = ["accuracy", "consistency", "completeness", "critical", "duplicates"]
     return whole.filter(F.col("check").isin(counted))
+
+
+# ---- several results of one pass -----------------------------------------------------
+
+
+def _cells_sql() -> str:
+    """One grouping after the other."""
+    keys = {
+        "tenure_group": """CASE WHEN tenure <= 12 THEN 'Under 1 year' WHEN tenure <= 24 THEN 'Between 1 and 2 years'
+          ELSE '2 or more years' END""",
+        "tenure_band": """CASE WHEN tenure <= 0 OR tenure > 72 THEN NULL WHEN tenure <= 12 THEN '0–12m' WHEN tenure <= 24 THEN '13–24m'
+          WHEN tenure <= 48 THEN '25–48m' WHEN tenure <= 72 THEN '49–72m' END""",
+        "charge_band": """CASE WHEN "MonthlyCharges" <= 0 OR "MonthlyCharges" > 120 THEN NULL WHEN "MonthlyCharges" <= 35 THEN 'Low'
+          WHEN "MonthlyCharges" <= 65 THEN 'Mid' WHEN "MonthlyCharges" <= 90 THEN 'High' ELSE 'Premium' END""",
+    }
+    parts = []
+    for name, columns in eda.GROUPINGS.items():
+        key, second = ([f"CAST({keys.get(c, chr(34) + c + chr(34))} AS VARCHAR)" for c in columns] + ["CAST(NULL AS VARCHAR)"])[:2]
+        parts.append(f"""SELECT '{name}' AS grouping, {key} AS key, {second} AS second, count(*) AS total,
+          count(*) FILTER (WHERE "Churn" = 1) AS churned, count(*) FILTER (WHERE "Churn" = 0) AS stayed FROM cleaned GROUP BY 2, 3""")
+    return with_stage("cleaned", " UNION ALL ".join(parts))
+
+
+register("full_exploration", lambda s, d: eda.exploration_cells(inputs.cleaned(s, d)), _cells_sql())
+
+
+@query(
+    "published_counts",
+    with_stage(
+        "cleaned",
+        """SELECT count(*) AS rows, count(*) AS read_back, count(*) FILTER (WHERE tenure IS NULL) AS no_tenure,
+             count(*) FILTER (WHERE "MonthlyCharges" < 0) AS negative, 0 AS planted,
+             count(*) FILTER (WHERE tenure = 1) AS refused FROM cleaned""",
+    ),
+)
+def published_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was counted while a table was written, and what is read back after a faulty one was refused."""
+    df = inputs.cleaned(spark, sf_dir, config.KEY, "tenure", "MonthlyCharges")
+    path = scratch(spark) + "/accounts"
+    faults = {"no_tenure": F.count_if(q("tenure").isNull()), "negative": F.count_if(q("MonthlyCharges") < 0)}
+    counts = accounts.publish(df, path, faults)
+    planted = df.withColumn("tenure", F.when(q("tenure") != 1, q("tenure")))
+    try:
+        accounts.publish(planted, path, faults)
+        refused = 0
+    except ValueError as error:
+        refused = int(str(error).split("no_tenure: ")[1].split(",")[0])
+    back = accounts.read_table(spark, path).agg(
+        F.count(F.lit(1)).alias("read_back"), F.count_if(q("tenure").isNull()).alias("planted"))
+    made = {k: F.lit(counts[k]).cast("bigint").alias(k) for k in ("rows", "no_tenure", "negative")}
+    return back.select(made["rows"], "read_back", made["no_tenure"], made["negative"], "planted",
+                       F.lit(refused).cast("bigint").alias("refused"))
+
+
+@query(
+    "distinct_estimates",
+    with_stage(
+        "cleaned",
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, count("{c}") AS rows, count(DISTINCT "{c}") AS exact, true AS within FROM cleaned"""
+            for c in ("customerID", "tenure", "MonthlyCharges", "Contract")),
+    ),
+)
+def distinct_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values from the sketches of four loads put together: within 4 % of the exact counts."""
+    columns = ["customerID", "tenure", "MonthlyCharges", "Contract"]
+    df = inputs.cleaned(spark, sf_dir, *columns)
+    load = F.pmod(F.xxhash64(config.KEY), F.lit(4))
+    loads = [quality.distinct_sketches(df.filter(load == i), columns) for i in range(4)]
+    sketches = loads[0].unionByName(loads[1]).unionByName(loads[2]).unionByName(loads[3])
+    found = quality.distinct_estimates(quality.merged_sketches(sketches))
+    exact = df.agg(*[F.count_distinct(q(c)).alias(c) for c in columns]).unpivot([], columns, "column_name", "exact")
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.04 * F.col("exact")
+    return found.join(exact, "column_name").select("column_name", "rows", "exact", near.alias("within"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenura import config
@@ -72,6 +76,35 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.save(path)
 
 
+def publish(df: DataFrame, path: str, faults: Mapping[str, Column]) -> dict[str, int]:
+    """Write a table and put it in place of the one at ``path`` only if no row has a fault; returns the counts.
+
+    ``faults`` are aggregates that must be 0, like ``F.count_if(q("tenure").isNull())``. They are counted while the table
+    is written, without another scan. A faulty table is removed again and its counts are the error; the old table
+    stays. The new one is renamed into place; a reader between the two renames finds no table.
+    """
+    spark = df.sparkSession
+    seen = Observation()
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in faults.items()])
+    counted.write.parquet(fresh)
+    counts = {k: v or 0 for k, v in seen.get.items()}
+    at = {p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh, old)}
+    files = at[path].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if any(counts[name] for name in faults):
+        files.delete(at[fresh], True)
+        found = ", ".join(f"{name}: {counts[name]}" for name in faults if counts[name])
+        raise ValueError(f"not published, {found}")
+    had = files.exists(at[path])
+    if had and not files.rename(at[path], at[old]):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(at[fresh], at[path]):
+        raise OSError(f"cannot move {fresh} to {path}")
+    if had:
+        files.delete(at[old], True)
+    return counts
+
+
 def write_results(board: DataFrame, path: str) -> None:
     """The scoreboard, one row per model; it holds a handful of rows, so one file."""
     board.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
