@@ -201,6 +201,30 @@ def test_spearman_of_many_columns(spark):
             assert r == pytest.approx(want.loc[a, b])
 
 
+def test_many_columns_with_gaps(spark):
+    """Flags, ties, constants and gaps in most of 26 columns; ranks are taken among the rows that both have."""
+    rng = np.random.default_rng(4)
+    n = 300
+    frame = pd.DataFrame({f"c{i}": rng.integers(0, 2, n).astype(float) if i % 2 else rng.normal(size=n).round(i % 3) for i in range(24)})
+    frame["constant"], frame["same"] = 7.25, frame["c0"]
+    for i in range(0, 24, 3):
+        frame.loc[rng.random(n) < 0.2, f"c{i}"] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in frame.itertuples(index=False)],
+                               ", ".join(f"{c} double" for c in frame.columns)).repartition(4)
+    for method, make in (("pearson", correlation.pearson), ("spearman", correlation.spearman)):
+        want = frame.corr(method=method)
+        got = _pairs(make(df, list(frame.columns)))
+        assert len(got) == 26 * 25 // 2
+        for (a, b), r in got.items():
+            assert (r is None) if np.isnan(want.loc[a, b]) else r == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def test_infinite_values(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, float("inf")), (3.0, 2.0)], "a double, b double")
+    assert _pairs(correlation.pearson(df, ["a", "b"])) == {("a", "b"): None}
+    assert _pairs(correlation.spearman(df, ["a", "b"])) == {("a", "b"): pytest.approx(0.5)}
+
+
 def test_all_null_column_has_no_correlation(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
     assert _pairs(correlation.spearman(df, ["a", "b"])) == {("a", "b"): None}
