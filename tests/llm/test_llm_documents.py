@@ -540,3 +540,18 @@ def test_lines_are_parsed_alike_with_any_white_space():
         assert got == want
         some = {w[1] for w in want[:1]}
         assert [g[0] for g in line_templates.parsed(text, 3, 0.6, some, line_templates._hash)] == [w[0] for w in want if w[1] in some]
+
+
+def test_plain_white_space():
+    """Every character that splits tokens is known."""
+    for c in map(chr, range(0x3100)):
+        if c.isspace() and c not in " \n":
+            assert not line_templates._plain(f"a{c}b") and not line_templates._plain(f"é{c}b")
+        elif c not in " ":
+            assert line_templates._plain(f"a{c}b") and line_templates._plain(f"é {c} b") == (c != "\n")
+    assert not any(map(line_templates._plain, [" a", "a ", "a  b", "a \nb", "a\n b", "é "])) and line_templates._plain("a b\nc d\n")
+
+
+def test_digits():
+    for c in map(chr, range(0x3100)):
+        assert line_templates._has_digit(f"a{c}b") == bool(re.search(r"\d", c)) == line_templates._has_digit(f"{c}\u4e00")
