@@ -15,6 +15,8 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,16 +54,17 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form
          "alert", "menu", "menubar", "toolbar"}
 MAIN = set("content main article post entry story articlebody postbody".split())
 
-TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>?"
-    r"|<[a-zA-Z][^<]*\Z"
-    r"|(?P<text>[^<]+|<)", re.S)
-ATTRIBUTE = re.compile(
-    r"(?<![^\s\"'/])(class|id|role|itemprop|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+TAG = re.compile("<(/)?[a-zA-Z]")
+NAME_END, QUOTE_OR_END = re.compile(r"[\s/>]"), re.compile("[\"'>]")
+#: One attribute after the other, so that nothing inside a value is taken for a name.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Slots deeper than this are part of their ancestor there; elements are followed at any depth.
 MOST_DEPTH = 200
+#: Pairs of children that are compared one by one.
+MOST_CELLS = 40_000
+#: Code points of a block that is taken for prose, on pages without a named article.
+LONG_BLOCK = 200
 PLAIN, ARTICLE_LIKE, ARTICLE = 0, 1, 2
 
 
@@ -72,10 +75,10 @@ def _names(value: str) -> set[str]:
 class Slot:
     """A place in a page: neighbouring siblings of one kind share one."""
 
-    __slots__ = ("key", "kids", "number")
+    __slots__ = ("key", "kids", "number", "size", "shape")
 
     def __init__(self, key: str, number: int):
-        self.key, self.kids, self.number = key, [], number
+        self.key, self.kids, self.number, self.size, self.shape = key, [], number, 1, 0
 
 
 class Open:
@@ -87,20 +90,93 @@ class Open:
         self.tag, self.slot, self.out, self.level, self.link = tag, slot, out, level, link
 
 
-KINDS: dict[tuple[str, str], tuple[str, str, int]] = {}
+class Tokens:
+    """The tokens of a page: (text, end tag?, tag, attributes, where it ends). Linear in the page's length.
 
+    A tag whose quotes or bracket are never closed isn't one. What a search in vain has seen is remembered, so that no part of
+    the page is searched again and again.
+    """
 
-def _kind(tag: str, attributes: str) -> tuple[str, str, int]:
-    """(key, how far outside the article: '' / around / strange, level)."""
-    if (tag, attributes) not in KINDS:
+    def __init__(self, page: str):
+        self.page = page
+        self.vain: set[int] = set()  # opening quotes from which no end is reached
+        #: For each pattern a stretch without it: where it starts, and what ends it (-1: none yet).
+        self.last = {NAME_END: (0, -1), QUOTE_OR_END: (0, -1)}
+
+    def _next(self, what: re.Pattern, at: int) -> int:
+        start, end = self.last[what]
+        if not start <= at <= end:
+            m = what.search(self.page, at)
+            end = m.start() if m else len(self.page)
+            self.last[what] = (at, end)
+        return end
+
+    def _tag_end(self, at: int) -> int:
+        """The place of the bracket that ends a tag, quoted values left out; -1 if there is none."""
+        seen = []
+        while (at := self._next(QUOTE_OR_END, at)) < len(self.page):
+            if self.page[at] == ">":
+                return at
+            close = -1 if at in self.vain else self.page.find(self.page[at], at + 1)
+            if close < 0:
+                seen.append(at)
+                break
+            seen.append(at)
+            at = close + 1
+        self.vain.update(seen)
+        return -1
+
+    def at(self, position: int) -> tuple[str | None, bool, str | None, str, int]:
+        page, n = self.page, len(self.page)
+        if page[position] != "<":
+            end = page.find("<", position)
+            end = n if end < 0 else end
+            return page[position:end], False, None, "", end
+        if page.startswith("<!--", position):
+            end = page.find("-->", position + 4)
+            return None, False, None, "", n if end < 0 else end + 3
+        tag = TAG.match(page, position)
+        if tag:
+            name = self._next(NAME_END, tag.end())
+            end = self._tag_end(name)
+            if end >= 0:
+                return None, bool(tag[1]), page[tag.end() - 1:name], page[name:end], end + 1
+            if not tag[1]:
+                cut_off = page.find("<", position + 1) < 0
+                return (None, False, None, "", n) if cut_off else ("<", False, None, "", position + 1)
+        if page[position + 1:position + 2] in ("!", "?", "/") and position + 1 < n:
+            end = page.find(">", position)
+            return None, False, None, "", n if end < 0 else end + 1
+        return "<", False, None, "", position + 1
+
+
+KINDS: dict[tuple[str, str, bool], tuple[str, str, int]] = {}
+
+
+def _kind(tag: str, attributes: str, inside: bool) -> tuple[str, str, int]:
+    """(key, how far outside the article: '' / around / strange, level). ``inside``: in a named article."""
+    if (tag, attributes, inside) not in KINDS:
         if len(KINDS) > 10_000:
             KINDS.clear()
-        KINDS[tag, attributes] = _read_kind(tag, attributes)
-    return KINDS[tag, attributes]
+        KINDS[tag, attributes, inside] = _read_kind(tag, attributes, inside)
+    return KINDS[tag, attributes, inside]
+
+
+def _leading(label: str) -> set[str]:
+    """The first part of each class or id: 'comment-body' is a comment, 'category-social' isn't social."""
+    return {re.split("[-_:]", token)[0].lower() for token in label.split()}
+
+
+def _closing(label: str) -> set[str]:
+    """The last part of each class or id: 'site-footer' is a footer, 'legal-analysis' is an analysis."""
+    return {re.split("[-_:]", token)[-1].lower() for token in label.split()}
 
 
-def _read_kind(tag: str, attributes: str) -> tuple[str, str, int]:
-    named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
+def _read_kind(tag: str, attributes: str, inside: bool) -> tuple[str, str, int]:
+    named = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        if m[1] and m[1].lower() not in named:
+            named[m[1].lower()] = m[2] or m[3] or m[4] or ""
     label = f"{named.get('class', '')} {named.get('id', '')}"
     names = _names(label) if label != " " else ()
     role = named.get("role", "").lower()
@@ -110,13 +186,15 @@ def _read_kind(tag: str, attributes: str) -> tuple[str, str, int]:
         out = "strange"
     elif tag in ("article", "main") or role in ("main", "article") or named.get("itemprop", "").lower() == "articlebody":
         level = ARTICLE
-        out = "strange" if names and not STRANGE.isdisjoint(names) else ""
+        # themes name an article after its categories and tags as well
+        out = "strange" if names and not STRANGE.isdisjoint(_leading(label)) else ""
     elif tag not in ("html", "body") and tag not in INLINE:
         if names and not STRANGE.isdisjoint(names):
             out = "strange"
         elif tag in ASIDE or role in ROLES:
             out = "around"
-        elif names and not (AROUND - {"header"} if not MAIN.isdisjoint(names) else AROUND).isdisjoint(names):
+        elif names and not (AROUND - {"header"} if not MAIN.isdisjoint(names) else AROUND).isdisjoint(
+                _closing(label) if inside else names):
             out = "around"  # an article's header holds its title
         if names and not out and not MAIN.isdisjoint(names):
             level = ARTICLE_LIKE
@@ -137,6 +215,7 @@ def parse(page: str) -> tuple[list[Slot], list[tuple[int, str, str, int, float]]
     linked = 0
     at = None
     position, n = 0, len(page)
+    tokens, opened = Tokens(page), Counter()
 
     def flush():
         nonlocal held, linked
@@ -149,12 +228,10 @@ def parse(page: str) -> tuple[list[Slot], list[tuple[int, str, str, int, float]]
 
     def close(to: int):
         while len(stack) > to:
-            stack.pop()
+            opened[stack.pop().tag] -= 1
 
     while position < n:
-        m = TOKEN.match(page, position)
-        position = m.end()
-        _, tag, attributes, text = m.groups()
+        text, end, tag, attributes, position = tokens.at(position)
         if text is not None:
             top = stack[-1]
             if not held:
@@ -170,10 +247,10 @@ def parse(page: str) -> tuple[list[Slot], list[tuple[int, str, str, int, float]]
             continue
         tag = tag.lower()
         inline = tag in INLINE
-        if m["end"]:
+        if end:
             if not inline:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i].tag == tag:
                     close(i)
                     break
@@ -187,7 +264,8 @@ def parse(page: str) -> tuple[list[Slot], list[tuple[int, str, str, int, float]]
         if not inline:
             flush()
             shuts = CLOSES.get(tag)
-            for i in range(len(stack) - 1, 0, -1):
+            some = opened["p"] or shuts and any(opened[name] for name in shuts)
+            for i in range(len(stack) - 1, 0, -1) if some else ():
                 name = stack[i].tag
                 if name == "p" or shuts and name in shuts:
                     close(i)
@@ -197,13 +275,13 @@ def parse(page: str) -> tuple[list[Slot], list[tuple[int, str, str, int, float]]
                     if not shuts or name in SCOPE.get(tag, ()):
                         break
             while stack[-1].tag in INLINE and len(stack) > 1 and stack[-1].tag != "a":
-                stack.pop()  # formatting that was never closed ends with its block
+                close(len(stack) - 1)  # formatting that was never closed ends with its block
         if tag in VOID:
             if tag == "hr":
                 flush()
             continue
-        key, out, level = _kind(tag, attributes if tag != "a" or "class" in attributes else "")
         top = stack[-1]
+        key, out, level = _kind(tag, attributes if tag != "a" or "class" in attributes else "", top.level == ARTICLE)
         if level == ARTICLE and not out and top.out == "around":
             inherited = ""
         elif tag in ("h1", "h2", "h3", "h4", "h5", "h6") and top.level == ARTICLE and top.tag == "header":
@@ -216,7 +294,7 @@ def parse(page: str) -> tuple[list[Slot], list[tuple[int, str, str, int, float]]
             close_tag = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, position)
             position = close_tag.end() if close_tag else n
             continue
-        if page[m.end() - 2] == "/" and tag in ("svg", "math"):
+        if page[position - 2] == "/" and tag in ("svg", "math"):
             continue
         slot = top.slot
         if not inline and len(stack) < MOST_DEPTH:
@@ -227,8 +305,8 @@ def parse(page: str) -> tuple[list[Slot], list[tuple[int, str, str, int, float]]
                 slot.kids.append(child)
                 slots.append(child)
                 slot = child
-        if len(stack) < 2 * MOST_DEPTH:
-            stack.append(Open(tag, slot, out, level, top.link or tag == "a"))
+        stack.append(Open(tag, slot, out, level, top.link or tag == "a"))
+        opened[tag] += 1
     flush()
     return slots, blocks
 
@@ -261,21 +339,64 @@ def from_skeleton(text: str) -> Slot:
         else:
             stack[-1].kids.append(Slot(token, number))
             number += 1
+    todo = [root.kids[0]]
+    for slot in todo:
+        todo += slot.kids
+    for slot in reversed(todo):  # children before their parents
+        slot.size = 1 + sum(kid.size for kid in slot.kids)
+        slot.shape = text_hash(f"{slot.key} {' '.join(str(kid.shape) for kid in slot.kids)}")
     return root.kids[0]
 
 
 def tree_matching(a: Slot, b: Slot) -> tuple[int, list[tuple[int, int]]]:
-    """Simple tree matching: the size of the largest match that keeps order and depth, and its pairs of slots."""
+    """Simple tree matching: the size of the largest match that keeps order and depth, and its pairs of slots.
+
+    Equal subtrees at the beginning and the end of two lists of children match as they are. Of more than ``MOST_CELLS`` pairs of
+    the others, the next ones of equal kind are matched in order.
+    """
     if a.key != b.key:
         return 0, []
-    rows, columns = len(a.kids), len(b.kids)
-    found = {(i, j): tree_matching(x, y) for i, x in enumerate(a.kids) for j, y in enumerate(b.kids) if x.key == y.key}
+    if a.shape == b.shape:
+        return a.size, _alike(a, b)
+    pairs, size = [(a.number, b.number)], 1
+    first, rest_a, rest_b = 0, len(a.kids), len(b.kids)
+    while first < min(rest_a, rest_b) and a.kids[first].shape == b.kids[first].shape:
+        pairs += _alike(a.kids[first], b.kids[first])
+        size += a.kids[first].size
+        first += 1
+    while min(rest_a, rest_b) > first and a.kids[rest_a - 1].shape == b.kids[rest_b - 1].shape:
+        rest_a, rest_b = rest_a - 1, rest_b - 1
+        pairs += _alike(a.kids[rest_a], b.kids[rest_b])
+        size += a.kids[rest_a].size
+    more, found = _match_lists(a.kids[first:rest_a], b.kids[first:rest_b])
+    return size + more, pairs + found
+
+
+def _alike(a: Slot, b: Slot) -> list[tuple[int, int]]:
+    """The pairs of two equal trees; numbers follow the reading order."""
+    return [(a.number + i, b.number + i) for i in range(a.size)]
+
+
+def _match_lists(left: list[Slot], right: list[Slot]) -> tuple[int, list[tuple[int, int]]]:
+    rows, columns = len(left), len(right)
+    if rows * columns > MOST_CELLS:
+        size, pairs, at = 0, [], 0
+        places: dict[str, list[int]] = {}
+        for j, y in enumerate(right):
+            places.setdefault(y.key, []).append(j)
+        for x in left:
+            j = next((j for j in places.get(x.key, [])[bisect_left(places.get(x.key, []), at):][:1]), None)
+            if j is not None:
+                n, found = tree_matching(x, right[j])
+                size, pairs, at = size + n, pairs + found, j + 1
+        return size, pairs
+    found = {(i, j): tree_matching(x, y) for i, x in enumerate(left) for j, y in enumerate(right) if x.key == y.key}
     best = [[0] * (columns + 1) for _ in range(rows + 1)]
     for i in range(1, rows + 1):
         for j in range(1, columns + 1):
             w = found[i - 1, j - 1][0] if (i - 1, j - 1) in found else 0
             best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + w)
-    pairs, i, j = [(a.number, b.number)], rows, columns
+    pairs, i, j = [], rows, columns
     while i and j:
         if best[i][j] == best[i - 1][j]:
             i -= 1
@@ -284,7 +405,7 @@ def tree_matching(a: Slot, b: Slot) -> tuple[int, list[tuple[int, int]]]:
         else:
             pairs += found[i - 1, j - 1][1]
             i, j = i - 1, j - 1
-    return best[rows][columns] + 1, pairs
+    return best[rows][columns], pairs
 
 
 class Aligner:
@@ -365,9 +486,16 @@ def main_text(names: list[str], texts: list[str], outs: list[str], levels: list[
     if template := template if level == PLAIN else everywhere:
         constant = {k for k, v in whole_texts(names, texts, outs).items() if template.get(k) == text_hash(v)}
         content = [i for i in inside if names[i] not in constant]
+    def length(some):
+        return sum(len(texts[i]) for i in some)
+
     if level == PLAIN:
         content = [i for i in content if links[i] < 0.5]
-    elif not content:  # a host whose pages all say the same: nothing varies, the article stays
+        # a host whose pages have one body under their own headlines: long prose that outweighs what varies is no template
+        prose = [i for i in inside if links[i] < 0.2 and len(texts[i]) >= LONG_BLOCK]
+        if 4 * length(content) < length(prose):
+            content = sorted({*content, *prose})
+    elif 2 * length(content) < length(inside):  # what most of an article says is not its template, even if nothing varies
         content = inside
     return " ".join(texts[i] for i in content)
 
@@ -440,7 +568,11 @@ def induce(read: DataFrame, min_pages: int = 3, share: float = 0.8) -> DataFrame
 
 def with_wrapper(pages: DataFrame, wrappers: DataFrame, how: str, max_broadcast: int = 16 << 20) -> DataFrame:
     """``pages`` joined to the wrappers of their hosts, which are broadcast if their trees are small together."""
-    size = wrappers.agg(F.sum(F.length("reference") + 200)).first()[0] or 0
+    bytes_of = F.length("reference") + 200
+    if "template" in wrappers.columns:
+        slots = F.aggregate("template", F.lit(0), lambda total, x: total + F.length(x["slot"]) + 50)
+        bytes_of = bytes_of + F.coalesce(slots, F.lit(0))
+    size = wrappers.agg(F.sum(bytes_of)).first()[0] or 0
     side = F.broadcast(wrappers) if size <= max_broadcast else wrappers
     return pages.join(side, "host", how)
 

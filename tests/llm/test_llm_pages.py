@@ -277,3 +277,103 @@ def test_archives_of_awkward_pages(spark, awkward, nothing):
             r["refers_to"] and int(r["refers_to"])) for r in found]
     assert sorted(got, key=repr) == expected(rows)
     assert round_trip(spark, nothing, "warc-none").count() == 0
+
+
+# pages that lost their article, or held a task up
+
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(i, f"http://h{host}.org/{i}", page) for i, (host, page) in enumerate(pages)],
+                               "page_id int, url string, html string")
+    return [r["text"] for r in html_extraction.extract(df).orderBy("page_id").collect()]
+
+
+def test_names_do_not_hide_an_article(spark):
+    """Themes name articles after categories; words in other attributes and inside longer names don't count."""
+    body = "<h1>Title</h1><p>First words of it.</p>"
+    pages = [
+        f'<nav>Menu</nav><article class="post-12 post type-post category-social tag-share">{body}</article><footer>End</footer>',
+        f'<article>{body}<p title="a hidden gem">Second.</p></article>',
+        f'<article>{body}<p title="class=ad" data-x=\'id="comments"\'>Second.</p></article>',
+        f'<article>{body}<section class="legal-analysis"><p>Second.</p></section></article>',
+        f'<article>{body}<div class="search-results-study"><p>Second.</p></div></article>',
+        f'<article>{body}<p>Second.</p><div class="site-notice">Notice</div><p hidden>no</p><p style="display:none">no</p></article>',
+        f'<article>{body}<p>Second.</p></article><article class="comment-body"><p>Me too</p></article>',
+    ]
+    got = texts_of(spark, list(enumerate(pages)))
+    assert got == ["Title First words of it."] + ["Title First words of it. Second."] * 6
+
+
+def test_one_body_under_several_headlines(spark):
+    """Four pages of a host with their own headlines and one long body keep the body; the menu goes."""
+    prose = " ".join(f"word{i} and more of it" for i in range(30))
+    for open_, shut in (("<article>", "</article>"), ("<div>", "</div>")):
+        pages = [(1, f"<body><div><a href=/>Home</a> <a href=/b>More</a></div>{open_}<h1>Headline {i}</h1><p>{prose}</p>{shut}</body>")
+                 for i in range(4)]
+        assert texts_of(spark, pages) == [f"Headline {i} {prose}" for i in range(4)]
+
+
+def test_the_wrapper_decides_without_an_article(spark):
+    """No element says what it is: what all pages of the host say goes, what varies stays, also beside unlike pages."""
+    def page(i):
+        return (f"<body><div class=a1><p>Welcome to the site of all things</p></div><div class=b2><h2>Number {i}</h2>"
+                f"<p>Text of number {i}.</p></div><div class=c3><p>All rights are kept by the owner</p></div></body>")
+
+    pages = [(1, page(i)) for i in range(6)] + [(2, page(9))]
+    got = texts_of(spark, pages)
+    assert got[:6] == [f"Number {i} Text of number {i}." for i in range(6)]
+    assert "Welcome" in got[6] and "rights" in got[6]  # a host of one page has no wrapper
+
+
+def test_elements_nested_deeply(spark):
+    """However deep, a part that isn't the article stays out, and end tags close their own elements."""
+    for depth in (150, 250, 500, 3000):
+        page = f"<article><p>One.</p>{'<div>' * depth}<nav>Menu</nav><p>Two.</p>{'</div>' * depth}<p>Three.</p></article><p>After</p>"
+        assert texts_of(spark, [(1, page)]) == ["One. Two. Three."]
+
+
+@pytest.mark.parametrize("piece", ['<a x="', "<a x='", "<a ", "<", "</a", "<a x=\"<b y='", "<!--", "<!", "<div>", "<li>", "<p", "</p>", "<b>",
+                                   "<i></b>", "<svg/", "<td><li>", "<div></li>", "\"<a '>", "<script>"])
+def test_broken_markup_is_read_in_linear_time(piece):
+    import time
+
+    begun = time.process_time()
+    blocks = html_extraction.read_page("<p>words</p>" + piece * (400_000 // len(piece)))[2]
+    assert time.process_time() - begun < 20 and blocks[0] == "words"
+
+
+def test_long_lists_of_children_match_quickly():
+    import time
+
+    a = "body ( " + "p div " * 3000 + ")"
+    b = "body ( h1 " + "div p " * 2500 + "p )"
+    begun = time.process_time()
+    for x, y in ((a, a), (a, b), (b, a)):
+        size, pairs = html_extraction.tree_matching(html_extraction.from_skeleton(x), html_extraction.from_skeleton(y))
+        assert size == len(pairs) and size > 4000
+        assert sorted(pairs) == sorted(pairs, key=lambda p: p[1])
+    assert time.process_time() - begun < 20
+
+
+def test_matching_with_equal_ends_is_the_largest():
+    """Against the plain rule without short cuts, on small random trees."""
+    import random
+
+    rng = random.Random(3)
+
+    def tree(depth):
+        kids = [tree(depth - 1) for _ in range(rng.randint(0, 3))] if depth else []
+        return rng.choice("ab") + (f" ( {' '.join(kids)} )" if kids else "")
+
+    def plain(a, b):
+        if a.key != b.key:
+            return 0
+        best = [[0] * (len(b.kids) + 1) for _ in range(len(a.kids) + 1)]
+        for i, x in enumerate(a.kids, 1):
+            for j, y in enumerate(b.kids, 1):
+                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + plain(x, y))
+        return best[-1][-1] + 1
+
+    for _ in range(300):
+        a, b = (html_extraction.from_skeleton(f"r ( {tree(3)} {tree(2)} )") for _ in range(2))
+        size, pairs = html_extraction.tree_matching(a, b)
+        assert size == plain(a, b) == len(pairs) == len(dict(pairs))
