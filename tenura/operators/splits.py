@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tenura import config
 from tenura.functions.tables import materialize, q
 
-HASH_BITS, STEP_BITS = 60, 15
+HASH_BITS = 60
 
 
 def key_hash(key: str, seed: int) -> Column:
@@ -67,7 +67,7 @@ def assign_parts(
 
 
 def _wanted_rows(sizes: DataFrame, ends: Sequence[Fraction]) -> DataFrame:
-    """Rows up to each cut per stratum (s, cut, goal): proportional in whole numbers, with
+    """Rows up to each cut per stratum (s, rows, cut, goal): proportional in whole numbers, with
     the largest remainders topped up to the rounded-up total (ties by stratum)."""
     each = F.array(
         *[
@@ -90,46 +90,45 @@ def _wanted_rows(sizes: DataFrame, ends: Sequence[Fraction]) -> DataFrame:
     by_rest = Window.partitionBy("cut").orderBy(F.desc("rest"), F.col("s").cast("string"))
     missing = F.col("wanted") - F.sum("base").over(Window.partitionBy("cut"))
     top_up = F.when(F.row_number().over(by_rest) <= missing, 1).otherwise(0)
-    return rows.select("s", "cut", (F.col("base") + top_up).cast("long").alias("goal"))
+    return rows.select("s", F.col("n").alias("rows"), "cut", (F.col("base") + top_up).cast("long").alias("goal"))
 
 
-def _exact_cuts(hashed: DataFrame, ends: Sequence[Fraction]) -> DataFrame:
+def _exact_cuts(hashed: DataFrame, ends: Sequence[Fraction], spread: float = 8.0) -> DataFrame:
     """Per stratum ``s`` the hash (``cut0``, ``cut1``, ...) at which each running share of its rows is reached.
 
-    The hash is selected 15 bits at a time: rows are counted by the next bits, only where
-    the bits before hold a cut. Counts combine on the map side, and there are at most
-    32,768 for each stratum and cut. The input is evaluated once.
+    Hashes are uniform, so a cut lies within a few standard deviations (``spread``) of its expected place. One pass counts
+    the rows below that bracket and the different hashes inside it, some sixteen times the square root of the rows; where a cut
+    turns out to lie outside, the bracket is widened and the pass repeated. The input is evaluated once.
     """
     hashed = materialize(hashed)
     sizes = hashed.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-    found = _wanted_rows(sizes, ends).select(
-        "s", "cut", "goal", F.lit(0).cast("long").alias("bits"), F.lit(0).cast("long").alias("before")
-    )
-    earlier = (Window.unboundedPreceding, -1)
-    for step in range(1, HASH_BITS // STEP_BITS + 1):
-        shift = HASH_BITS - step * STEP_BITS
-        found = materialize(found)
-        known = found.select(F.col("s").alias("s0"), F.col("bits").alias("b0")).distinct()
-        at = hashed.select("s", F.shiftright("h", shift).alias("bits"))
-        inside = at.join(
-            known,
-            F.col("s").eqNullSafe(F.col("s0")) & (F.shiftright("bits", STEP_BITS) == F.col("b0")),
-            "left_semi",
-        )
-        counts = inside.groupBy("s", "bits").agg(F.count(F.lit(1)).alias("n"))
-        group = Window.partitionBy("s", F.shiftright("bits", STEP_BITS)).orderBy("bits")
-        counts = counts.select(
-            F.col("s").alias("s1"), F.col("bits").alias("b1"), "n",
-            F.coalesce(F.sum("n").over(group.rowsBetween(*earlier)), F.lit(0)).alias("less"),
-        )
-        same = F.col("s").eqNullSafe(F.col("s1")) & (F.shiftright("b1", STEP_BITS) == F.col("bits"))
-        need = F.col("goal") - F.col("before")
-        found = found.join(counts, same).filter((F.col("less") < need) & (F.col("less") + F.col("n") >= need))
-        found = found.select(
-            "s", "cut", "goal", F.col("b1").alias("bits"), (F.col("before") + F.col("less")).alias("before")
+    goals = materialize(_wanted_rows(sizes, ends).filter(F.col("goal") > 0))
+    found, whole = None, float(1 << HASH_BITS)
+    while True:
+        share = F.col("goal") / F.col("rows")
+        half = F.lit(spread) * (F.sqrt(share * (1 - share) / F.col("rows")) + 1 / F.col("rows"))
+        brackets = goals.select(
+            F.col("s").alias("s0"), "cut", "goal",
+            F.floor(F.greatest(F.lit(0.0), share - half) * whole).alias("low"),
+            F.ceil(F.least(F.lit(1.0), share + half) * whole).alias("high"),
         )
-    at = [F.max(F.when(F.col("cut") == i, F.col("bits"))).alias(f"cut{i}") for i in range(len(ends))]
-    return found.groupBy("s").agg(*at)
+        at = hashed.join(brackets, F.col("s").eqNullSafe(F.col("s0"))).filter(F.col("h") <= F.col("high"))
+        place = F.when(F.col("h") >= F.col("low"), F.col("h")).otherwise(F.lit(-1))
+        counts = at.groupBy("s0", "cut", "goal", place.alias("place")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("s0", "cut").orderBy("place"))
+        reached = counts.withColumn("upto", upto).filter(
+            (F.col("upto") >= F.col("goal")) & (F.col("upto") - F.col("n") < F.col("goal")))
+        hits = reached.select("s0", F.col("cut").alias("cut0"), "place")
+        same = F.col("s").eqNullSafe(F.col("s0")) & (F.col("cut") == F.col("cut0"))
+        looked = materialize(goals.join(hits, same, "left").select("s", "cut", "goal", "rows", "place"))
+        inside = looked.filter(F.col("place") >= 0)  # -1: below the bracket, null: above it
+        found = inside if found is None else found.unionByName(inside)
+        goals = looked.filter(F.coalesce(F.col("place"), F.lit(-1)) < 0).drop("place")
+        if goals.isEmpty():
+            break
+        spread *= 16
+    cuts = [F.max(F.when(F.col("cut") == i, F.col("place"))).alias(f"cut{i}") for i in range(len(ends))]
+    return found.groupBy("s").agg(*cuts)
 
 
 def train_test_split(

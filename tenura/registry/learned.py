@@ -131,6 +131,55 @@ def component_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.projection(scaled, rotation)
 
 
+@query(
+    "component_totals",
+    with_stage(
+        "featured",
+        """SELECT 26 AS components, 100.0 AS total, true AS falling, true AS reached, count(*) AS rows, 0.0 AS mean_1, 0.0 AS mean_2,
+             true AS spread_1, true AS spread_2 FROM parted WHERE split = 'train'""",
+        SPLIT_SQL,
+    ),
+)
+def component_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any components: the shares add up to 100 and fall, the first that reach 95 percent do and one less does
+    not, and the training rows' coordinates have a mean of 0 and the variance that the share says."""
+    df = table(spark, sf_dir).filter(q("split") == "train")
+    features = names_of(df)
+    _, rotation, scaled = selection.fit_components(df, features)
+    variance = materialize(selection.explained_variance(spark, rotation))
+    shares = [r["variance_pct"] for r in variance.orderBy("component").collect()]
+    needed = selection.components_for(variance).first()["components"]
+    reached = sum(shares[:needed]) >= 95 - 1e-9 > sum(shares[: needed - 1])
+    points = selection.projection(scaled, rotation)
+    near = [F.abs(F.var_samp(f"pc{i + 1}") * 100 / len(features) - shares[i]) < 1e-6 for i in range(2)]
+    return points.agg(
+        F.lit(len(shares)).alias("components"), F.lit(round(sum(shares), 6)).alias("total"),
+        F.lit(shares == sorted(shares, reverse=True)).alias("falling"), F.lit(reached).alias("reached"),
+        F.count(F.lit(1)).alias("rows"), *[F.abs(F.round(F.avg(f"pc{i}"), 6)).alias(f"mean_{i}") for i in (1, 2)],
+        *[near[i].alias(f"spread_{i + 1}") for i in range(2)])
+
+
+@query(
+    "subset_fold_counts",
+    with_stage(
+        "featured",
+        """SELECT c.candidate, f.fold, count(*) AS rows, true AS valid
+           FROM folded AS f, (VALUES ('charges'), ('spearman')) AS c(candidate) WHERE split = 'train' GROUP BY 1, 2""",
+        SPLIT_SQL,
+        FOLDS_SQL,
+    ),
+)
+def subset_fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subsets of features compared: every fold of every subset is scored, with an area between 0 and 1."""
+    train = table(spark, sf_dir).filter(q("split") == "train")
+    subsets = {"spearman": config.SELECTED_FEATURES, "charges": ["tenure", "MonthlyCharges"]}
+    boards = [models.cross_validate_params(models.prepare(train, f), "Decision Tree", {"max_depth": 3}, candidate=n)
+              for n, f in subsets.items()]
+    sizes = train.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+    board = boards[0].unionByName(boards[1]).join(sizes, "fold")
+    return board.select("candidate", "fold", "rows", q("ROC-AUC").between(0, 1).alias("valid"))
+
+
 @query("component_loadings")
 def component_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loadings of the first components that reach 95 percent of the variance."""

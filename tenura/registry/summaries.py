@@ -11,7 +11,7 @@ from tenura import config
 from tenura.functions import columns as C
 from tenura.functions.tables import materialize, q
 from tenura.operators import (
-    correlation, metrics, ordered, profile, quality, rates, segments, splits,
+    correlation, metrics, ordered, profile, quality, rates, segments, selection, splits,
 )
 from tenura.plans import dashboard, eda, validation
 from tenura.registry import inputs
@@ -963,20 +963,25 @@ register(
     lambda s, d: metrics.best_model(_board(s, d)),
     _board_sql('SELECT * FROM board ORDER BY "ROC-AUC" DESC, "Model" LIMIT 1'),
 )
-register(
-    "rule_scorecard",
-    lambda s, d: metrics.scorecard(_board(s, d)),
-    _board_sql(
-        'SELECT "Model", '
-        + ", ".join(f'"{m}"' for m in metrics.STANDARD)
-        + ", "
-        + ", ".join(
-            f'"{m}" = max("{m}") OVER () AS "best_{m}", printf(\'%.4f\', "{m}") AS "text_{m}"'
-            for m in metrics.STANDARD
-        )
-        + " FROM board"
-    ),
+SCORECARD_SQL = _board_sql(
+    'SELECT "Model", '
+    + ", ".join(f'"{m}"' for m in metrics.STANDARD)
+    + ", "
+    + ", ".join(
+        f'"{m}" = max("{m}") OVER () AS "best_{m}", printf(\'%.4f\', "{m}") AS "text_{m}"'
+        for m in metrics.STANDARD
+    )
+    + " FROM board"
 )
+register("rule_scorecard", lambda s, d: metrics.scorecard(_board(s, d)), SCORECARD_SQL)
+
+
+@query("written_scorecard", SCORECARD_SQL)
+def written_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard as the dashboard shows it: over a results table that was written and read again."""
+    path = scratch(spark) + "/model_results"
+    accounts.write_results(_board(spark, sf_dir), path)
+    return metrics.scorecard(accounts.read_results(spark, path))
 
 
 @query(
@@ -1173,3 +1178,25 @@ def distinct_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = df.agg(*[F.count_distinct(q(c)).alias(c) for c in columns]).unpivot([], columns, "column_name", "exact")
     near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.04 * F.col("exact")
     return found.join(exact, "column_name").select("column_name", "rows", "exact", near.alias("within"))
+
+
+@query(
+    "importance_tiers",
+    with_stage(
+        "cleaned",
+        """SELECT "PaymentMethod" AS feature, round(gap, 6) AS importance,
+             CASE WHEN gap >= 0.01 THEN 'strong' WHEN gap > 0 THEN 'moderate' ELSE 'weak' END AS tier,
+             CASE WHEN gap > 0 THEN row_number() OVER (ORDER BY gap >= 0.01 DESC, gap DESC) END AS place
+           FROM (SELECT "PaymentMethod", avg("Churn") - (SELECT avg("Churn") FROM cleaned) AS gap FROM cleaned GROUP BY 1) AS t""",
+    ),
+)
+def importance_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiers and the order of the kept names, for numbers that SQL can make: how far each payment method's rate lies above
+    the rate of all."""
+    df = inputs.cleaned(spark, sf_dir, "PaymentMethod", "Churn")
+    whole = df.agg(F.avg("Churn")).first()[0]
+    gaps = df.groupBy(q("PaymentMethod").alias("feature")).agg((F.avg("Churn") - F.lit(whole)).alias("importance"))
+    tiers = materialize(gaps.withColumn("tier", selection.tier(F.col("importance"))))
+    kept = {name: i + 1 for i, name in enumerate(selection.kept_features(tiers))}
+    place = F.coalesce(*[F.when(F.col("feature") == n, F.lit(i).cast("bigint")) for n, i in kept.items()], F.lit(None).cast("bigint"))
+    return tiers.withColumn("place", place)

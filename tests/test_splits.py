@@ -1,3 +1,4 @@
+import random
 from fractions import Fraction
 
 import pytest
@@ -106,3 +107,18 @@ def test_missing_and_empty_strata_are_two(spark):
     found = {r["Churn"]: r["n"] for r in parts.filter("split = 'test'").groupBy("Churn").agg(F.count("*").alias("n")).collect()}
     assert found == {None: 2, "": 2, "x": 8}
     assert parts.count() == 60 and splits.train_test_split(df.limit(0), mode="exact").count() == 0
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.001, 8.0])
+def test_cuts_outside_their_bracket(spark, spread):
+    """Narrow brackets miss the cuts, below and above; wider ones find the same."""
+    rows = [(s, h << 50) for s, n in (("a", 301), ("b", 7), (None, 40), ("c", 1)) for h in random.Random(n).sample(range(1000), n)]
+    rows += [("skewed", 5 + i) for i in range(50)]  # far from uniform
+    df = spark.createDataFrame(rows, "s string, h bigint")
+    ends = [Fraction(1, 5), Fraction(1, 2), Fraction(9, 10)]
+    goals = {(r["s"], r["cut"]): r["goal"] for r in splits._wanted_rows(df.groupBy("s").agg(F.count("*").alias("n")), ends).collect()}
+    for r in splits._exact_cuts(df, ends, max(spread, 1e-9)).collect():
+        mine = sorted(h for s, h in rows if s == r["s"])
+        for i in range(3):
+            goal = goals[r["s"], i]
+            assert r[f"cut{i}"] == (mine[goal - 1] if goal else None)
