@@ -29,7 +29,7 @@ MAGIC = b"\x1f\x8b\x08"
 EMPTY_MEMBER = bytes.fromhex("1f8b08 00 00000000 00 ff 0300 00000000 00000000")
 PAGE = "urn:page:"
 RECORD = ("page_id string, url string, record_type string, refers_to string, "
-          "payload_bytes bigint, payload_digest string, payload binary")
+          "payload_bytes bigint, payload_digest string, payload binary, record_id string, refers_to_id string")
 
 
 def _record(page_id, url, payload: bytes, digest: str, n_bytes: int, refers_to) -> bytes:
@@ -56,19 +56,74 @@ def _member(record: bytes, level: int) -> bytes:
     return member if member[-1] == 0 else member + EMPTY_MEMBER
 
 
+def _text(head: bytes) -> str:
+    try:
+        return head.decode()
+    except UnicodeDecodeError:
+        return head.decode("latin-1")
+
+
+def _fields(head: bytes) -> dict[str, str]:
+    """Header fields by lower-case name, the first of each; a line that begins with white space goes on with the one before."""
+    lines: list[str] = []
+    for line in _text(head).replace("\r\n", "\n").split("\n")[1:]:
+        if line[:1] in (" ", "\t") and lines:
+            lines[-1] += " " + line.strip()
+        else:
+            lines.append(line)
+    fields: dict[str, str] = {}
+    for line in lines:
+        name, colon, value = line.partition(":")
+        if colon:
+            fields.setdefault(name.strip().lower(), value.strip())
+    return fields
+
+
+def _dechunked(body: bytes) -> bytes:
+    """The body of a chunked transfer; one that isn't chunked properly stays as it is."""
+    out, at = [], 0
+    while at < len(body):
+        end = body.find(b"\r\n", at)
+        try:
+            size = int(body[at:end].split(b";")[0], 16) if end >= 0 else -1
+        except ValueError:
+            size = -1
+        if size < 0:
+            return body
+        if size == 0:
+            break
+        out.append(body[end + 2:end + 2 + size])
+        at = end + 2 + size + 2
+    return b"".join(out)
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.isdigit() else None
+
+
 def _parse(data: bytes) -> tuple:
     """A row of RECORD."""
     head, _, block = data.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    block = block[:int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    n_bytes = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.startswith(b"Content-Length:"))
-    kind = fields["WARC-Type"]
-    name = lambda field: fields[field][len(PAGE) + 1:-1] or None if field in fields else None
-    response = kind == "response"
-    digest = hashlib.sha256(payload).hexdigest() if response else fields["WARC-Payload-Digest"][7:]
-    return (name("WARC-Record-ID"), fields.get("WARC-Target-URI"), kind, name("WARC-Refers-To"),
-            len(payload) if response else n_bytes, digest, payload if response else None)
+    fields = _fields(head)
+    size = _number(fields.get("content-length"))
+    block = block[:size] if size is not None else block.removesuffix(b"\r\n\r\n")
+    kind = fields.get("warc-type")
+    digest = fields.get("warc-payload-digest")
+    digest = digest.removeprefix("sha256:") if digest else None
+    payload, n_bytes = block, None
+    if kind in ("response", "revisit") and block.startswith(b"HTTP/"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        http = _fields(http)
+        n_bytes = _number(http.get("content-length"))
+        if http.get("transfer-encoding", "").lower().split(",")[-1].strip() == "chunked":
+            payload = _dechunked(payload)
+    if kind == "revisit":
+        payload = None
+    else:
+        n_bytes, digest = len(payload), hashlib.sha256(payload).hexdigest()
+    ids = [fields[f].removeprefix("<").removesuffix(">") if f in fields else None for f in ("warc-record-id", "warc-refers-to")]
+    own = [i[len(PAGE):] or None if i and i.startswith(PAGE) else None for i in ids]
+    return own[0], fields.get("warc-target-uri"), kind, own[1], n_bytes, digest, payload, *ids
 
 
 def _starts_record(chunk: bytes) -> bool | None:
@@ -164,8 +219,12 @@ def write(pages: DataFrame, path: str, page_id="page_id", url="url", html="html"
 def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """The records below ``path``: ``page_id`` (string), ``url``, ``record_type``, ``refers_to`` (string),
     ``payload_bytes`` and ``payload_digest`` (of the full payload, for revisits as recorded), ``payload`` (null for
-    revisits, or without ``with_payload``).
+    revisits, or without ``with_payload``), ``record_id`` and ``refers_to_id`` as written.
 
+    Archives of other writers are read too, records of all types. A response's payload is its HTTP body, put together if it was
+    sent in chunks; other records' is their whole block. The bare digest is SHA-256, a revisit's of another kind stands
+    with its name (``sha1:...``). ``page_id`` and ``refers_to`` are null for ids that ``write`` did not make. Header names are
+    in any case, values may go on over lines, and headers that aren't UTF-8 are read as Latin-1.
     An archive without records gives an empty table. Records that do not inflate are errors.
     """
     chunks = spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
@@ -175,13 +234,11 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame
 
     def rows(parts: list[tuple]) -> pa.RecordBatch:
         """Of (kind, file, at, data)."""
-        out = [(*((None,) * 7), k, f, a, d) if k != "record" else
-               (*(x := _parse(d))[:6], x[6] if with_payload else None, k, None, None, None)
+        out = [(*((None,) * 9), k, f, a, d) if k != "record" else
+               (*(x := _parse(d))[:6], x[6] if with_payload else None, *x[7:], k, None, None, None)
                for k, f, a, d in parts]
-        kinds = [pa.string()] * 4 + [pa.int64(), pa.string(), pa.binary(), pa.string(), pa.string(),
-                                     pa.int64(), pa.binary()]
-        names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest",
-                 "payload", "kind", "file", "at", "part"]
+        kinds = [pa.string()] * 4 + [pa.int64(), pa.string(), pa.binary()] + [pa.string()] * 4 + [pa.int64(), pa.binary()]
+        names = [x.split()[0] for x in RECORD.split(", ")] + ["kind", "file", "at", "part"]
         columns = list(zip(*out)) if out else [()] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 

@@ -377,3 +377,42 @@ def test_matching_with_equal_ends_is_the_largest():
         a, b = (html_extraction.from_skeleton(f"r ( {tree(3)} {tree(2)} )") for _ in range(2))
         size, pairs = html_extraction.tree_matching(a, b)
         assert size == plain(a, b) == len(pairs) == len(dict(pairs))
+
+
+def _foreign(kind, block, *lines, version="1.1"):
+    head = [f"WARC/{version}", f"WARC-Type: {kind}", *lines, f"content-length:{len(block)}"]
+    return "\r\n".join(head).encode("latin-1") + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    """Records of all types, chunked bodies, digests as written, continued and Latin-1 headers, names in any case."""
+    import gzip
+    import hashlib
+
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5\r\nhello\r\n7;x=y\r\n, world\r\n0\r\n\r\n"
+    broken = b"HTTP/1.1 200 OK\r\ntransfer-encoding: chunked\r\n\r\nnot chunked at all"
+    records = [
+        _foreign("warcinfo", b"software: x\r\n", "WARC-Record-ID: <urn:uuid:0>", version="1.0"),
+        _foreign("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Record-ID: <urn:uuid:1>"),
+        _foreign("response", chunked, "WARC-Record-ID: <urn:uuid:2>", "WARC-Target-URI: http://a.org/\xe9"),
+        _foreign("response", broken, "warc-record-id:<urn:uuid:3>", "WARC-Target-URI:", " http://a.org/", "\tlong"),
+        _foreign("revisit", b"HTTP/1.1 200 OK\r\nContent-Length: x\r\n\r\n", "WARC-Record-ID: <urn:uuid:4>",
+                 "WARC-Refers-To: <urn:uuid:2>", "WARC-Payload-Digest: sha1:ABCDEF"),
+        _foreign("revisit", b"", "WARC-Record-ID: <urn:uuid:5>"),
+        _foreign("resource", b"\x00\xff data", "WARC-Record-ID: <urn:uuid:6>"),
+        _foreign("metadata", b"", "no colon here", "WARC-Record-ID: <urn:uuid:7>"),
+        b"WARC/1.0\r\nWARC-Type: conversion\r\n\r\nno length\r\n\r\n",
+    ]
+    (tmp_path / "crawl.warc.members").write_bytes(b"".join(gzip.compress(r) for r in records))
+    rows = {r["record_id"]: r for r in warc.read(spark, str(tmp_path)).collect()}
+    assert len(rows) == len(records)
+    got = {(k or "-")[-1]: (r["record_type"], None if r["payload"] is None else bytes(r["payload"]), r["url"]) for k, r in rows.items()}
+    assert got == {
+        "0": ("warcinfo", b"software: x\r\n", None), "1": ("request", b"GET / HTTP/1.1\r\n\r\n", None),
+        "2": ("response", b"hello, world", "http://a.org/\xe9"), "3": ("response", b"not chunked at all", "http://a.org/ long"),
+        "4": ("revisit", None, None), "5": ("revisit", None, None), "6": ("resource", b"\x00\xff data", None),
+        "7": ("metadata", b"", None), "-": ("conversion", b"no length", None)}
+    again, bare = rows["urn:uuid:4"], rows["urn:uuid:5"]
+    assert (again["payload_digest"], again["refers_to_id"], again["refers_to"], again["payload_bytes"]) == ("sha1:ABCDEF", "urn:uuid:2", None, None)
+    assert (bare["payload_digest"], bare["payload_bytes"], bare["page_id"]) == (None, None, None)
+    assert rows["urn:uuid:2"]["payload_digest"] == hashlib.sha256(b"hello, world").hexdigest()
