@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from tenura.functions.tables import materialize, q
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
 SKETCH_ACCURACY = 20_000
 
 
