@@ -27,6 +27,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_WORD = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
 BLOCK_TEXTS, BLOCK_WORDS = 2048, 500_000
+#: Bytes of text that are hashed at once; a word costs some hundred bytes while its n-grams are hashed.
+PIECE_BYTES = 1 << 18
 
 
 def band_plan(threshold: float, recall: float, most_hashes: int = 128) -> tuple[int, int]:
@@ -108,7 +110,7 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
             data, offsets = kernels.utf8(batch.column("text"))
             n = len(offsets) - 1
             signs, counts = [None] * n, np.zeros(n, np.int64)
-            for a, b in kernels.in_pieces(offsets):
+            for a, b in kernels.in_pieces(offsets, PIECE_BYTES):
                 piece, inner = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
                 made, owner = band_hashes(piece, inner, k, bands, rows)
                 counts[a:b] = np.maximum(kernels.per_text(kernels.word_starts(IS_WORD[piece], inner), inner) - k + 1, 1)
@@ -128,7 +130,7 @@ def compare(texts: list[str], k: int, threshold: float) -> Iterator[tuple[int, n
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
     hashes, owners = [], []
-    for a, b in kernels.in_pieces(offsets):
+    for a, b in kernels.in_pieces(offsets, PIECE_BYTES):
         made, owner = shingles(np.frombuffer(b"".join(raw[a:b]), np.uint8), offsets[a:b + 1] - offsets[a], k)
         hashes.append(made)
         owners.append(owner + a)
@@ -217,9 +219,10 @@ def text_links(docs: DataFrame, sign: DataFrame, k: int, threshold: float) -> Da
         F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"))
 
     full = docs.select(F.col("id").alias("text_id"), F.col("key").alias("text_key"), "text")
-    needed = member.select("key", "id").distinct()
+    # texts meet by shuffle whatever the size: a broadcast of what is needed would grow with the table
+    needed = member.select("key", "id").distinct().hint("merge")
     full = full.join(needed, (F.col("text_key") == F.col("key")) & F.col("text_id").eqNullSafe(F.col("id")), "left_semi")
-    work = member.join(full.select("text_key", "text"), F.col("key") == F.col("text_key"))
+    work = member.join(full.select("text_key", "text").hint("merge"), F.col("key") == F.col("text_key"))
     work = work.select("hub", "left", "right", "key", "text", "block", "copies", "hubs")
     work = work.repartition("hub", "left", "right").sortWithinPartitions("hub", "left", "right")
 

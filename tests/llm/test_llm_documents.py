@@ -555,3 +555,19 @@ def test_plain_white_space():
 def test_digits():
     for c in map(chr, range(0x3100)):
         assert line_templates._has_digit(f"a{c}b") == bool(re.search(r"\d", c)) == line_templates._has_digit(f"{c}\u4e00")
+
+
+def test_texts_of_near_duplicates_meet_by_shuffle_at_any_size(spark, monkeypatch):
+    """No broadcast of the texts or of the rows that need them: what a join costs grows with the table alone."""
+    plans, stored = [], ngram_join.stored
+
+    def keep(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr(ngram_join, "stored", keep)
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(words[:59] + [f"x{i}"])) for i in range(4)], "doc_id long, text string")
+    assert {r["n_links"] for r in ngram_join.near_duplicates(docs).collect()} == {3}
+    joins = [line for p in plans for line in p.split("== Initial Plan ==")[-1].split("\n") if "Join" in line and "text_key" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
