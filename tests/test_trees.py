@@ -255,3 +255,32 @@ def test_awkward_rows(spark):
     assert trees.tally(made.table, grown[1:2], [trees.Variant(0, 0, 1)]).first()["tp"] == 1
     empty = trees.grow(made.table.filter("label > 5"), made.cuts, [trees.Setting(), trees.Setting(boosted=True)])
     assert [float(m.nodes["value"][0]) for m in empty] == [0.0, 0.0]
+
+
+def test_waves_do_not_ask_earlier_rounds_again(rows, monkeypatch):
+    """A finished round is in the rows' margins before the next one waits."""
+    asked, best = [], trees.best_splits
+
+    def keep(table, wave):
+        asked.append(len(wave.done_root))
+        return best(table, wave)
+
+    monkeypatch.setattr(trees, "best_splits", keep)
+    trees.grow(rows.table, rows.cuts, [trees.Setting(boosted=True, trees=4, max_depth=2, rate=r) for r in (0.1, 0.5)])
+    assert max(asked) < 2
+
+
+def test_cells_come_in_order_once_each_for_all_trees(rows, monkeypatch):
+    """What a task counts needs no sorting: a part for each tree, in the order of its nodes."""
+    waves = []
+    best = trees.best_splits
+    monkeypatch.setattr(trees, "best_splits", lambda table, wave: waves.append(wave) or best(table, wave))
+    grown = trees.grow(rows.table, rows.cuts, [trees.Setting(trees=6, max_depth=3, bootstrap=True, node_columns=2)])
+    assert len(grown[0].roots) == 6
+    table = rows.table.toArrow()
+    bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.uint8).reshape(-1, len(rows.cuts))
+    label, fold, row = (table.column(c).to_numpy() for c in ("label", "fold", "row"))
+    for wave in waves:
+        parts = list(trees._count(wave, label, fold, row, bins, None))
+        assert 1 < len(parts) <= len(wave.roots)
+        assert (np.diff(np.concatenate([p[0] for p in parts])) > 0).all()
