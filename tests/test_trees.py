@@ -284,3 +284,55 @@ def test_cells_come_in_order_once_each_for_all_trees(rows, monkeypatch):
         parts = list(trees._count(wave, label, fold, row, bins, None))
         assert 1 < len(parts) <= len(wave.roots)
         assert (np.diff(np.concatenate([p[0] for p in parts])) > 0).all()
+
+
+def test_nodes_grown_alone_are_those_of_waves(rows, monkeypatch):
+    """Tasks that grow small nodes by themselves find the trees that waves find, in fewer jobs; also cut to buckets."""
+    settings = [
+        trees.Setting(trees=6, max_depth=7, bootstrap=True, node_columns=2, weights=(0.7, 1.9), left_out=f) for f in range(3)
+    ] + [trees.Setting(max_depth=5, min_split=6, min_leaf=3), trees.Setting(trees=2, bootstrap=True, node_columns=3, left_out=1)]
+
+    def grown(alone, together):
+        monkeypatch.setattr(trees, "ALONE", alone)
+        monkeypatch.setattr(trees, "TOGETHER", together)
+        grower = trees.Grower(rows.table, rows.cuts, settings)
+        return grower.grow(), grower.waves
+
+    def outline(model):
+        def below(i):
+            v = {k: x[i] for k, x in model.nodes.items()}
+            here = (int(v["n"]), int(v["depth"]), float(v["value"]), int(v["feature"]))
+            return (*here, int(v["cut"]), float(v["gain"]), below(v["left"]), below(v["right"])) if v["feature"] >= 0 else here
+        return [below(r) for r in model.roots]
+
+    by_waves, many = grown(0, 1)
+    for together in (1 << 17, 50):
+        alone, few = grown(100, together)
+        assert few < many
+        assert [outline(m) for m in alone] == [outline(m) for m in by_waves]
+
+
+def test_features_counted_jointly_give_each_ones_sums():
+    rng = np.random.default_rng(3)
+    sizes = np.array([2, 7, 3, 90, 2, 1, 130, 2])
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    bins = np.stack([rng.integers(0, s, 400) for s in sizes], 1).astype(np.uint8)
+    node, r = rng.integers(0, 3, 300), np.sort(rng.choice(400, 300, replace=False))
+    g, h = (rng.integers(-50, 50, 300).astype(float) for _ in range(2))
+    groups = trees._groups(sizes)
+    assert sorted(f for group in groups for f in group) == list(range(len(sizes))) and len(groups) < len(sizes)
+    found = trees._counted_jointly(node, 3, r, g, h, bins, {}, groups, {0, 2, 3, 6}, offsets)
+    for got, v in zip(found, (g, h, np.ones(300))):
+        wanted = np.zeros((3, offsets[-1]), np.int64)
+        for f in (0, 2, 3, 6):
+            np.add.at(wanted, (node, offsets[f] + bins[r, f]), v.astype(np.int64))
+        assert np.array_equal(got, wanted.reshape(-1))
+
+
+def test_models_are_asked_in_several_passes(rows, monkeypatch):
+    settings = [trees.Setting(trees=3, max_depth=4, bootstrap=True, node_columns=2, left_out=f) for f in range(3)]
+    models_of = trees.grow(rows.table, rows.cuts, settings)
+    variants = [trees.Variant(c, m, t) for m in range(3) for c, t in enumerate((1, 3))]
+    whole = sorted(trees.tally(rows.table, models_of, variants).collect())
+    monkeypatch.setattr(trees, "NODES", 1)
+    assert sorted(trees.tally(rows.table, models_of, variants).collect()) == whole
