@@ -336,3 +336,26 @@ def test_models_are_asked_in_several_passes(rows, monkeypatch):
     whole = sorted(trees.tally(rows.table, models_of, variants).collect())
     monkeypatch.setattr(trees, "NODES", 1)
     assert sorted(trees.tally(rows.table, models_of, variants).collect()) == whole
+
+
+def test_models_boosted_in_a_task_are_those_of_waves(rows, monkeypatch):
+    """Tasks that grow all rounds of small boosted models find the models that waves find, in fewer jobs; also beside larger ones."""
+    one = trees.Setting(boosted=True, trees=5, max_depth=3, l2=1.0, rate=0.3, row_share=0.8, column_share=0.6, weights=(1.0, 1.7))
+    leafy = trees.Setting(boosted=True, trees=4, leaves=9, min_leaf=3, rate=0.5)
+    settings = [replace(s, left_out=f) for s in (one, replace(one, row_share=1.0), leafy) for f in (-1, 0, 1, 2)]
+    settings += [replace(leafy, leaves=n, left_out=0) for n in range(4, 9)] + [trees.Setting(max_depth=4, left_out=1)]
+
+    def grown(whole):
+        monkeypatch.setattr(trees, "WHOLE", whole)
+        grower = trees.Grower(rows.table, rows.cuts, settings)
+        return grower.grow(), grower.waves, len(grower.small)
+
+    by_waves, many, none = grown(0)
+    assert none == 0
+    for whole, small in ((200, len(settings) - 4), (1 << 17, len(settings) - 1)):
+        alone, few, count = grown(whole)
+        assert count == small
+        for a, b in zip(alone, by_waves):
+            assert a.roots.tolist() == b.roots.tolist()
+            assert all(np.array_equal(a.nodes[k], b.nodes[k]) and a.nodes[k].dtype == b.nodes[k].dtype for k in b.nodes)
+    assert few < many / 3
