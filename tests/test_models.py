@@ -231,3 +231,17 @@ def test_whole_run_is_saved(spark, tmp_path):
     assert again.nodes["depth"].max() <= 2 and again.setting.max_depth == 2
     logged = {r["key"] for r in log.filter("kind = 'param'").collect()}
     assert {"max_depth", "min_split", "l2", "weights", "seed"} <= logged
+
+
+def test_queries_search_the_declared_settings_each_time(spark, monkeypatch):
+    """All 124 settings with their declared rounds; what one query has found is not taken over by another."""
+    from tenura.registry import learned
+
+    declared = [p for _, grid in models.FAMILIES.values() for p in models.combinations_of(grid)]
+    assert [p for grid in learned.GRIDS.values() for p in models.combinations_of(grid)] == declared and len(declared) == 124
+    assert {p["trees"] for p in declared if "learning_rate" in p} == {200, 300}
+    fits, search = [], models.search_cells
+    monkeypatch.setattr(models, "search_cells", lambda *given: fits.append(list(given[1])) or search(*given))
+    monkeypatch.setitem(learned.GRIDS, "Random Forest", {"trees": [2, 3], "max_depth": [3], "min_split": [2]})
+    found = [learned.forest_grid_search(spark, SF).collect() for _ in range(2)]
+    assert fits == [["Random Forest"]] * 2 and found[0] == found[1]

@@ -359,3 +359,35 @@ def test_models_boosted_in_a_task_are_those_of_waves(rows, monkeypatch):
             assert a.roots.tolist() == b.roots.tolist()
             assert all(np.array_equal(a.nodes[k], b.nodes[k]) and a.nodes[k].dtype == b.nodes[k].dtype for k in b.nodes)
     assert few < many / 3
+
+
+def test_search_counts_what_grown_models_give(rows, monkeypatch):
+    """Cells of a search, whose models do not come to the driver as a whole, against those of grown models."""
+    settings, variants = [], []
+    for f in range(3):
+        settings += [trees.Setting(trees=7, max_depth=8, bootstrap=True, node_columns=2, weights=(0.7, 1.9), left_out=f),
+                     trees.Setting(max_depth=5, left_out=f),
+                     trees.Setting(boosted=True, trees=5, max_depth=3, l2=1.0, rate=0.3, row_share=0.8, column_share=0.6, left_out=f),
+                     trees.Setting(boosted=True, trees=4, leaves=6, min_leaf=3, rate=0.5, left_out=f)]
+        parts = [(0, 3), (0, 7), (0, 7, 3, 6), (0, 3, 4), (1, 1), (1, 1, 2, 5), (2, 2), (2, 5), (3, 4)]
+        variants += [trees.Variant(c, 4 * f + m, *of) for c, (m, *of) in enumerate(parts)]
+    order = ["candidate", "fold", "tn", "fp", "fn", "tp"]
+    grown = trees.grow(rows.table, rows.cuts, settings)
+    want = sorted(tuple(r[k] for k in order) for r in trees.tally(rows.table, grown, variants).collect())
+    alone = trees.boosted_alone
+    asked = []
+    monkeypatch.setattr(trees, "boosted_alone", lambda *given: asked.append(1) or alone(*given))
+    assert sorted(trees.search(rows.table, rows.cuts, settings, variants)) == want
+    assert not asked  # boosted trees stay in the tasks
+    monkeypatch.setattr(trees, "HELD", 300)
+    held, grow = [], trees.Grower.grow
+
+    def kept(grower):
+        made = grow(grower)
+        held.append(sum(len(m.roots) for m in made))
+        return made
+
+    monkeypatch.setattr(trees.Grower, "grow", kept)
+    monkeypatch.setattr(trees, "WHOLE", 0)
+    assert sorted(trees.search(rows.table.repartition(3), rows.cuts, settings, variants)) == want
+    assert max(held) < sum(s.trees for s in settings) / 2
